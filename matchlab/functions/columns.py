@@ -20,7 +20,7 @@ def col_of(c) -> Column:
 
 def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
     """String -> DATE; malformed text gives null (ANSI-safe)."""
-    return F.try_to_date(col_of(c), F.lit(fmt))
+    return F.try_to_date(col_of(c), fmt)
 
 
 def parse_bool(c) -> Column:

@@ -152,3 +152,46 @@ def fixtures_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "yyyy-MM-dd").alias("match_date"),
         )
     )
+
+
+def raw_goalscorers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Goal rows in the raw CSV shape, one per ``lineitem`` row of a match's
+    order: the side's team scored; scorer from the part key, minute from
+    the line number (half minutes included, as in the original data),
+    own goal for returned lines, penalty for the first line of a finished
+    order. Some team names are padded and some dates unparsable."""
+    m = _pivot_sides(order_sides(spark, sf_dir)).filter(
+        F.col("home_team").isNotNull() & F.col("away_team").isNotNull()
+        & (F.col("home_team") != F.col("away_team")))
+    li = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    j = li.join(m, F.expr("l_orderkey div 2") == F.col("match_id"))
+    team = F.when(F.col("l_orderkey") % 2 == 0, F.col("home_team")).otherwise(F.col("away_team"))
+    k = F.col("l_partkey")
+    return j.select(
+        F.when(k % 211 == 3, F.lit("bad-date")).otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
+        "home_team", "away_team",
+        F.when(k % 50 == 1, F.concat(F.lit(" "), team)).when(k % 199 == 2, F.lit(None)).otherwise(team).alias("team"),
+        F.concat(F.lit("Player "), k.cast("string")).alias("scorer"),
+        ((F.col("l_linenumber") * 13) % 90 + 0.5).cast("double").alias("minute"),
+        F.when(F.col("l_returnflag") == "R", "TRUE").otherwise("FALSE").alias("own_goal"),
+        F.when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 1), "TRUE")
+        .otherwise("FALSE").alias("penalty"),
+    )
+
+
+def raw_shootouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shootout rows in the raw CSV shape: one per drawn match; the winner
+    is the home side for even match ids, else the away side; some winners
+    padded or missing, some first shooters empty."""
+    m = matches(spark, sf_dir).filter(F.col("result") == "D")
+    k = F.col("match_id")
+    winner = F.when(k % 2 == 0, F.col("home_team")).otherwise(F.col("away_team"))
+    return m.select(
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.when(k % 9 == 4, F.concat(F.col("home_team"), F.lit(" "))).otherwise(F.col("home_team")).alias("home_team"),
+        "away_team",
+        F.when(k % 37 == 5, F.lit(None)).when(k % 7 == 1, F.concat(F.lit(" "), winner))
+        .otherwise(winner).alias("winner"),
+        F.when(k % 3 == 0, F.lit(None)).otherwise(winner).alias("first_shooter"),
+    )
