@@ -87,8 +87,9 @@ def label_text(c) -> Column:
 
 
 def pct_text(c, digits: int = 1) -> Column:
-    """0.4567 -> '45.7%'."""
-    return F.format_string(f"%.{digits}f%%", col_of(c) * 100.0)
+    """0.4567 -> '45.7%' (rounded half up first, so the text does not
+    depend on how a formatter breaks binary ties)."""
+    return F.format_string(f"%.{digits}f%%", F.round(col_of(c) * 100.0, digits))
 
 
 def day_month(c) -> Column:

@@ -55,7 +55,7 @@ def train_test(spark, sf):
 def as_of(spark, sf):
     """Run timestamp of the registered scoring queries: the latest match
     date of the data (a deterministic stand-in for ``current_timestamp``)."""
-    return matches(spark, sf).select(F.max("date").cast("timestamp")).scalar()
+    return matches(spark, sf).select(F.max("date").cast("timestamp_ntz")).scalar()
 
 
 def fixture_inputs(spark, sf):
