@@ -37,6 +37,10 @@ class FeatureConfig:
     strategy: str = "auto"
     # at most this many rows of one key share a bucket: bucket = match_id div bucket_rows
     bucket_rows: int = 1 << 20
+    # write the match input of the feature build once to the shared
+    # checkpoint folder (it feeds several branches: team windows, pair
+    # windows, hot-key checks)
+    materialize_input: bool = True
 
     def with_(self, **kw) -> "FeatureConfig":
         return replace(self, **kw)

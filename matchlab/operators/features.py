@@ -14,6 +14,7 @@ from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.operators.h2h import h2h_features
 from matchlab.operators.perspective import team_view
 from matchlab.operators.rolling import rolling_features
+from matchlab.session import materialize
 from matchlab.schemas import EXTRA_FORM_COLS, H2H_COLS, TEAM_FEATURE_COLS
 
 BASE_COLS = ["match_id", "date", "home_team", "away_team", "home_score", "away_score",
@@ -50,6 +51,8 @@ def match_features(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFra
     m = matches.select(*BASE_COLS)
     if cfg.min_date is not None and cfg.min_date_applied == "before":
         m = m.filter(F.col("date") >= F.lit(cfg.min_date))
+    if cfg.materialize_input:
+        m = materialize(m, "matches")
     sides = sides_to_match(team_features(m, cfg))
     h2h = h2h_features(m, cfg)
     out = h2h.join(sides, on="match_id", how="left")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import day_number, pair_a, pair_b
-from matchlab.operators.skew import split_hot
+from matchlab.operators.skew import route
 
 PAIR = ["team_a", "team_b"]
 _COUNTS = [("a_won", "h2h_team_a_wins"), ("b_won", "h2h_team_b_wins"), ("is_draw", "h2h_draws")]
@@ -77,8 +77,7 @@ def h2h_features(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame
     elif cfg.strategy == "bucketed":
         out = _h2h_bucketed(base, cfg)
     elif cfg.strategy == "auto":
-        cold, hot = split_hot(base, PAIR, cfg.bucket_rows)
-        out = _h2h_plain(cold).unionByName(_h2h_bucketed(hot, cfg))
+        out = route(base, PAIR, cfg.bucket_rows, _h2h_plain, lambda d: _h2h_bucketed(d, cfg))
     else:
         raise ValueError(f"unknown strategy {cfg.strategy!r}")
     return out.withColumn("h2h_team_a_win_rate", _rate(cfg)).drop("a_won", "b_won", "is_draw", "_day")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.frames import frame_avg, frame_count, last_n
-from matchlab.operators.skew import split_hot
+from matchlab.operators.skew import route
 
 # Fixed values: (output column, input column, first offset, last offset).
 ROW_FRAMES = [
@@ -122,8 +122,8 @@ def rolling_features(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "t
     elif cfg.strategy == "bucketed":
         f = _bucketed(tv, cfg, key)
     elif cfg.strategy == "auto":
-        cold, hot = split_hot(tv, [key], cfg.bucket_rows)
-        f = _plain(cold, cfg, key).unionByName(_bucketed(hot, cfg, key))
+        f = route(tv, [key], cfg.bucket_rows, lambda d: _plain(d, cfg, key),
+                  lambda d: _bucketed(d, cfg, key))
     else:
         raise ValueError(f"unknown strategy {cfg.strategy!r}")
     last, prev = F.col("form_last6m"), F.col("form_prev6m")

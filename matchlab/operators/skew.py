@@ -21,3 +21,15 @@ def split_hot(df: DataFrame, keys: list[str], threshold: int) -> tuple[DataFrame
     """(cold rows, hot rows) of ``df`` by the row count of ``keys``."""
     hot = hot_keys(df, keys, threshold)
     return df.join(hot, on=keys, how="left_anti"), df.join(hot, on=keys, how="left_semi")
+
+
+def route(df: DataFrame, keys: list[str], threshold: int, plain, bounded) -> DataFrame:
+    """Apply ``plain`` to the rows of cold keys and ``bounded`` to the rows of
+    hot keys. The hot-key table is checked for emptiness first (one
+    partial aggregate over ``df``); with no hot key the plan is ``plain``
+    alone, with no routing joins."""
+    hot = hot_keys(df, keys, threshold)
+    if hot.isEmpty():
+        return plain(df)
+    return plain(df.join(hot, on=keys, how="left_anti")).unionByName(
+        bounded(df.join(hot, on=keys, how="left_semi")))

@@ -11,7 +11,7 @@ from matchlab.operators import clean, h2h, marts, ml, quality, reports, snapshot
 from matchlab.operators.features import match_features, team_features
 from matchlab.operators.perspective import team_view
 from matchlab.schemas import FEATURE_COLS, FORMER_NAMES, RESULTS
-from matchlab.session import scratch_path
+from matchlab.session import materialize, scratch_path
 from matchlab.sources import adapter, files
 
 # Minimum rows per table, as the original's table contract states.
@@ -31,8 +31,11 @@ def matches(spark, sf):
     return adapter.matches(spark, sf)
 
 
-def features(spark, sf):
-    return match_features(matches(spark, sf), NOTEBOOK)
+def features(spark, sf, reuse=True):
+    """The match feature table; written once per query to the shared
+    checkpoint folder when the query reads it in several branches."""
+    mf = match_features(matches(spark, sf), NOTEBOOK)
+    return materialize(mf, "match_features") if reuse else mf
 
 
 def fixtures(spark, sf):
@@ -219,7 +222,7 @@ def w16_w20_h2h_features(spark, sf):
 
 
 def j02_j04_match_features(spark, sf):
-    return features(spark, sf)
+    return features(spark, sf, reuse=False)
 
 
 # ------------------------------------------------------- snapshots, reports

@@ -54,3 +54,15 @@ def is_local_path(path: str) -> bool:
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
+
+
+def materialize(df, name: str):
+    """Cut the lineage of ``df``: write it as parquet to a fresh folder under
+    the shared checkpoint dir and return a DataFrame that scans it. Plans
+    that use one input in several branches then read a columnar table
+    instead of recomputing it per branch, and a lost executor re-reads
+    files instead of recomputing the lineage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
