@@ -117,11 +117,26 @@ def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest",
     """
     assembler = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features_raw", handleInvalid="keep")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
-    if model == "gbt":
-        return OneVsRestGBT(cfg, max_depth, rate, subsample, num_trees, early_stopping_rounds,
-                            validation_ratio).fit(train, assembler, scaler)
-    clf = _classifier(model, cfg, num_trees, max_depth, rate, subsample, colsample)
-    return Pipeline(stages=[assembler, scaler, clf]).fit(train)
+    data = _training_input(train)
+    try:
+        if model == "gbt":
+            return OneVsRestGBT(cfg, max_depth, rate, subsample, num_trees, early_stopping_rounds,
+                                validation_ratio).fit(data, assembler, scaler)
+        clf = _classifier(model, cfg, num_trees, max_depth, rate, subsample, colsample)
+        return Pipeline(stages=[assembler, scaler, clf]).fit(data)
+    finally:
+        data.unpersist()
+
+
+def _training_input(train: DataFrame) -> DataFrame:
+    """Spread a small training table over at least the default parallelism
+    (a large one keeps its partitions, no extra shuffle) and keep it for
+    the several passes of scaler and tree fitting. A lost cached block is
+    recomputed from its lineage."""
+    from pyspark import StorageLevel
+    n = train.sparkSession.sparkContext.defaultParallelism
+    data = train.repartition(n) if train.rdd.getNumPartitions() < n else train
+    return data.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 class OneVsRestGBT:

@@ -61,14 +61,21 @@ def as_of(spark, sf):
     return matches(spark, sf).select(F.max("date").cast("timestamp_ntz")).scalar()
 
 
-def fixture_inputs(spark, sf):
-    mf = features(spark, sf)
+def _as_of_mf(mf):
+    """Run timestamp of the registered scoring queries: the latest match
+    date of the data (a deterministic stand-in for ``current_timestamp``)."""
+    return mf.select(F.max("date").cast("timestamp_ntz")).scalar()
+
+
+def fixture_inputs(spark, sf, mf=None):
+    mf = features(spark, sf) if mf is None else mf
     return snapshot.fixture_features(fixtures(spark, sf), snapshot.latest_form(mf), snapshot.latest_h2h(mf))
 
 
 def prior_predictions(spark, sf, keep_features=False):
-    train, _ = train_test(spark, sf)
-    return ml.score_prior(train, fixture_inputs(spark, sf), NOTEBOOK, as_of(spark, sf), keep_features)
+    mf = features(spark, sf)
+    train, _ = ml.split(ml.training_set(mf, NOTEBOOK), NOTEBOOK)
+    return ml.score_prior(train, fixture_inputs(spark, sf, mf), NOTEBOOK, _as_of_mf(mf), keep_features)
 
 
 # ----------------------------------------------------------------- sources
@@ -354,7 +361,10 @@ def l15_group_lines(spark, sf):
 
 
 def j09_predictions_with_features(spark, sf):
-    return reports.with_features(prior_predictions(spark, sf), fixture_inputs(spark, sf))
+    mf = features(spark, sf)
+    train, _ = ml.split(ml.training_set(mf, NOTEBOOK), NOTEBOOK)
+    ff = fixture_inputs(spark, sf, mf)
+    return reports.with_features(ml.score_prior(train, ff, NOTEBOOK, _as_of_mf(mf)), ff)
 
 
 def m19_result_text(spark, sf):
@@ -365,29 +375,31 @@ def m19_result_text(spark, sf):
 # ------------------------------------------ model-dependent (rows-only check)
 
 def _forest(spark, sf):
-    train, test = train_test(spark, sf)
+    """Feature table (built once), imputed train/test split, fitted forest."""
+    mf = features(spark, sf)
+    train, test = ml.split(ml.training_set(mf, NOTEBOOK), NOTEBOOK)
     train, test = ml.impute(train, [test], NOTEBOOK)
-    return ml.fit(train, NOTEBOOK, "forest"), train, test
+    return ml.fit(train, NOTEBOOK, "forest"), train, test, mf
 
 
 def m05_forest_test_predictions(spark, sf):
-    model, _, test = _forest(spark, sf)
+    model, _, test, _ = _forest(spark, sf)
     return ml.predict(model, test).select("match_id", "label", "prediction", "predicted_result", *ml.PROB_COLS)
 
 
 def m12_feature_importance(spark, sf):
-    model, _, _ = _forest(spark, sf)
+    model, _, _, _ = _forest(spark, sf)
     return ml.feature_importance(model)
 
 
 def m14_score_fixtures(spark, sf):
-    model, _, _ = _forest(spark, sf)
-    return ml.score(model, fixture_inputs(spark, sf), NOTEBOOK, as_of(spark, sf))
+    model, _, _, mf = _forest(spark, sf)
+    return ml.score(model, fixture_inputs(spark, sf, mf), NOTEBOOK, _as_of_mf(mf))
 
 
 def m17_drivers(spark, sf):
-    model, train, _ = _forest(spark, sf)
-    scored = ml.score(model, fixture_inputs(spark, sf), NOTEBOOK, as_of(spark, sf), keep_features=True)
+    model, train, _, mf = _forest(spark, sf)
+    scored = ml.score(model, fixture_inputs(spark, sf, mf), NOTEBOOK, _as_of_mf(mf), keep_features=True)
     return ml.drivers(reports.top_k(scored, 10), ml.scaler_stats(train), ml.feature_importance(model), 5, "z")
 
 
