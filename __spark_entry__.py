@@ -535,6 +535,25 @@ WHERE team NOT IN (SELECT home_team FROM cleaned WHERE date >= DATE '1950-01-01'
         " FROM latest_home h FULL OUTER JOIN latest_away a ON h.team = a.team"
     q["m13_fixture_features"] = F + "SELECT * FROM ff"
     q["l04_last_10"] = _with(_MATCHES, _last_n_sql(10)) + "SELECT * FROM lastn"
+    live = []
+    for s in _STEMS:
+        d = "0.33" if "rate" in s else "0.0"
+        for p, t in (("home", "fh"), ("away", "fa")):
+            live.append(f"coalesce({t}.{s}, {d}) AS {p}_{s}")
+    live.append("CASE WHEN r.total IS NULL THEN 0.33 "
+                "WHEN f.home_team = r.team_a THEN (CASE WHEN r.total > 0 THEN r.team_a_wins / r.total ELSE 0.33 END) "
+                "ELSE greatest(0.0, 1.0 - (CASE WHEN r.total > 0 THEN r.team_a_wins / r.total ELSE 0.33 END) - 0.25) "
+                "END AS h2h_team_a_win_rate")
+    live.append("coalesce(r.total, 0) AS h2h_total")
+    q["m15_live_pair_features"] = _with(_ALL, _FFQ, _h2h_all()) + """
+, pairs AS (SELECT min(match_id) AS fixture_id, 'Custom' AS group_name, home_team, away_team,
+                   CAST(NULL AS DATE) AS match_date FROM matches GROUP BY home_team, away_team),
+hf AS (SELECT coalesce(h.team, a.team) AS team, """ + ", ".join(
+        f"coalesce(h.{s}, a.{s}) AS {s}" for s in _STEMS) + """
+       FROM latest_home h FULL OUTER JOIN latest_away a ON h.team = a.team)
+SELECT f.fixture_id, f.group_name, f.home_team, f.away_team, f.match_date, """ + ", ".join(live) + """
+FROM pairs f LEFT JOIN hf fh ON fh.team = f.home_team LEFT JOIN hf fa ON fa.team = f.away_team
+LEFT JOIN h2h_all r ON r.team_a = least(f.home_team, f.away_team) AND r.team_b = greatest(f.home_team, f.away_team)"""
     q["l05_form_summary"] = _with(_MATCHES, _last_n_sql(10)) + """
 SELECT team, count_if(team_result = 'W') AS wins, count_if(team_result = 'D') AS draws,
        count_if(team_result = 'L') AS losses, count(*) AS n,

@@ -156,23 +156,23 @@ class OneVsRestGBT:
         for k in sorted(LABEL_MAP.values()):
             gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxDepth=self.max_depth,
                                 stepSize=self.rate, subsamplingRate=self.subsample, maxIter=self.max_iter,
-                                validationIndicatorCol="_val", validationTol=0.01, seed=self.cfg.seed,
-                                probabilityCol=f"_p{k}", rawPredictionCol=f"_r{k}", predictionCol=f"_c{k}")
+                                validationIndicatorCol="_val", validationTol=0.01, seed=self.cfg.seed)
             self.models.append(gbt.fit(data.withColumn("_y", (F.col("label") == k).cast("double"))))
         return self
 
     def transform(self, df):
         out = self.prep.transform(df)
         for k, m in enumerate(self.models):
-            out = m.transform(out).withColumn(f"_q{k}", vector_to_array(F.col(f"_p{k}"))[1])
+            out = (m.transform(out).withColumn(f"_q{k}", vector_to_array(F.col("probability"))[1])
+                   .drop("probability", "rawPrediction", "prediction"))
         total = sum((F.col(f"_q{k}") for k in range(1, 3)), F.col("_q0"))
         probs = F.array(*[F.col(f"_q{k}") / total for k in range(3)])
         out = out.withColumn("_pa", probs)
         pred = (F.when((F.col("_pa")[0] >= F.col("_pa")[1]) & (F.col("_pa")[0] >= F.col("_pa")[2]), 0.0)
                 .when(F.col("_pa")[1] >= F.col("_pa")[2], 1.0).otherwise(2.0))
         from pyspark.ml.functions import array_to_vector
-        drop = [c for c in out.columns if c.startswith(("_p", "_r", "_c", "_q")) and c != "_pa"]
-        return (out.drop(*drop).withColumn("probability", array_to_vector("_pa"))
+        drop = [c for c in out.columns if c.startswith("_q")] + ["features", "features_raw", "_val"]
+        return (out.drop(*[c for c in drop if c in out.columns]).withColumn("probability", array_to_vector("_pa"))
                 .withColumn("prediction", pred).drop("_pa"))
 
 

@@ -130,3 +130,23 @@ def unmatched_teams(fixtures: DataFrame, form: DataFrame) -> DataFrame:
     teams = (fixtures.select(F.col("home_team").alias("team"))
              .union(fixtures.select(F.col("away_team").alias("team"))).distinct())
     return teams.join(form.select("team"), on="team", how="left_anti")
+
+
+def all_time_rate(record: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
+    """The live scorer's h2h input: all meetings of a pair (``h2h_all_time``)
+    as team_a, team_b, h2h_team_a_win_rate (``h2h_default`` without a
+    meeting), h2h_total."""
+    t = F.col("total")
+    return record.select("team_a", "team_b",
+                         F.when(t > 0, F.col("team_a_wins") / t).otherwise(F.lit(cfg.h2h_default))
+                         .alias("h2h_team_a_win_rate"),
+                         t.alias("h2h_total"))
+
+
+def live_pair_features(pairs: DataFrame, mf: DataFrame, record: DataFrame,
+                       cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
+    """Model inputs for any table of pairs (fixture_id, group_name,
+    home_team, away_team, match_date) by the live rules: latest home-role
+    form else away-role form (L08), h2h over all meetings (L06), flipped
+    and clamped for the away-listed team."""
+    return fixture_features(pairs, latest_form_home_first(mf), all_time_rate(record, cfg), cfg)

@@ -274,6 +274,16 @@ def m13_fixture_features(spark, sf):
     return fixture_inputs(spark, sf)
 
 
+def m15_live_pair_features(spark, sf):
+    """Every ordered pair that has met, scored by the live rules; the pair's
+    first match id is its id."""
+    m = matches(spark, sf)
+    pairs = m.groupBy("home_team", "away_team").agg(F.min("match_id").alias("fixture_id")).select(
+        "fixture_id", F.lit("Custom").alias("group_name"), "home_team", "away_team",
+        F.lit(None).cast("date").alias("match_date"))
+    return snapshot.live_pair_features(pairs, features(spark, sf), h2h.h2h_all_time(m), NOTEBOOK)
+
+
 def d02_stg_rankings(spark, sf):
     return marts.stg_rankings(matches(spark, sf))
 
