@@ -153,6 +153,12 @@ _ROWS = [("win_rate_last10", "win", 10, 1), ("draw_rate_last10", "draw", 10, 1),
          ("avg_gd_prev5", "gd", 10, 6), ("avg_goal_diff_last10", "gd", 10, 1),
          ("win_rate_prev10", "win", 20, 11)]
 
+def _tf_sql(prior_days=365, zero_prior=False):
+    change = ("form_last6m - coalesce(form_prev6m, 0.0)" if zero_prior else
+              "CASE WHEN form_prev6m IS NOT NULL THEN form_last6m - form_prev6m ELSE 0.0 END")
+    return _TF.replace("365 PRECEDING", f"{prior_days} PRECEDING").replace("__CHANGE__", change)
+
+
 _TF = """,
 tfr AS (
   SELECT *,
@@ -172,8 +178,7 @@ tf AS (
             "    coalesce(form_prev6m, 0.0) AS form_prev6m",
             "    coalesce(avg_gd_last5 - avg_gd_prev5, 0.0) AS goal_diff_trend",
             "    coalesce(form_last6m, 0.0) AS ranking_proxy",
-            "    coalesce(CASE WHEN form_prev6m IS NOT NULL THEN form_last6m - form_prev6m "
-            "ELSE 0.0 END, 0.0) AS ranking_change"]) + """
+            "    coalesce(__CHANGE__, 0.0) AS ranking_change"]) + """
   FROM tfr)"""
 
 _H2HQ = """,
@@ -215,7 +220,7 @@ def _with(*parts):
     return "WITH " + "".join(parts).lstrip().lstrip(",").lstrip() + "\n"
 
 
-_FEAT = _with(_MATCHES, _tv(), _TF, _H2HQ, _MF)
+_FEAT = _with(_MATCHES, _tv(), _tf_sql(), _H2HQ, _MF)
 
 _FIX = """,
 fixtures_raw AS (
@@ -307,7 +312,7 @@ preds AS (
          (SELECT CAST(max(date) AS TIMESTAMP) FROM matches) AS predicted_at
   FROM ff f CROSS JOIN prim p)"""
 
-_ALL = _MATCHES + _tv() + _TF + _H2HQ + _MF
+_ALL = _MATCHES + _tv() + _tf_sql() + _H2HQ + _MF
 _SQL_PRED = _with(_ALL, _PREDQ)
 _SQL_FF = _with(_ALL, _FFQ)
 _SQL_ML = _with(_ALL, _MLQ)
@@ -517,10 +522,14 @@ WHERE team NOT IN (SELECT home_team FROM cleaned WHERE date >= DATE '1950-01-01'
 
     # perspective, windows, features
     q["u01_team_view"] = _with(_MATCHES, _tv()) + "SELECT * FROM tv"
-    q["w01_w15_rolling_features"] = _with(_MATCHES, _tv(), _TF) + (
+    q["w01_w15_rolling_features"] = _with(_MATCHES, _tv(), _tf_sql()) + (
+        "SELECT match_id, date, team, opponent, venue, " + ", ".join(_SIDE) + " FROM tf")
+    q["w01_w15_rolling_bucketed"] = q["w01_w15_rolling_features"]
+    q["w10_w13_rolling_dag_preset"] = _with(_MATCHES, _tv(), _tf_sql(360, zero_prior=True)) + (
         "SELECT match_id, date, team, opponent, venue, " + ", ".join(_SIDE) + " FROM tf")
     q["w16_w20_h2h_features"] = _with(_MATCHES, _H2HQ) + (
         "SELECT match_id, date, home_team, away_team, team_a, team_b, " + ", ".join(_H2H) + " FROM h2h")
+    q["w16_w20_h2h_bucketed"] = q["w16_w20_h2h_features"]
     q["j02_j04_match_features"] = _FEAT + "SELECT * FROM mf"
 
     # snapshots and reports

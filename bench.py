@@ -33,7 +33,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from matchlab.session import local_session
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="matchlab-bench")
+    spark = local_session(cpus, shuffle_partitions=int(cpus), app="matchlab-bench")
     from matchlab.plans.catalog import QUERIES
 
     warm = str(Path(sf_dir).parent / "sf0.001")

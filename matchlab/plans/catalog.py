@@ -228,6 +228,32 @@ def w16_w20_h2h_features(spark, sf):
         "match_id", "date", "home_team", "away_team", "team_a", "team_b", *H2H_COLS)
 
 
+# the bounded-task path on every key, with small buckets so that most
+# histories cross bucket boundaries (same result as the plain windows)
+BUCKETED = NOTEBOOK.with_(strategy="bucketed", bucket_rows=64)
+
+
+def w01_w15_rolling_bucketed(spark, sf):
+    from matchlab.schemas import EXTRA_FORM_COLS, TEAM_FEATURE_COLS
+    tf = team_features(matches(spark, sf), BUCKETED)
+    return tf.select("match_id", "date", "team", "opponent", "venue", *TEAM_FEATURE_COLS, *EXTRA_FORM_COLS)
+
+
+def w16_w20_h2h_bucketed(spark, sf):
+    from matchlab.schemas import H2H_COLS
+    return h2h.h2h_features(matches(spark, sf), BUCKETED).select(
+        "match_id", "date", "home_team", "away_team", "team_a", "team_b", *H2H_COLS)
+
+
+def w10_w13_rolling_dag_preset(spark, sf):
+    """The scheduled-job variant: prior frame [-360, -181] days and
+    ranking_change = last6m - coalesce(prev6m, 0)."""
+    from matchlab.config import DAG
+    from matchlab.schemas import EXTRA_FORM_COLS, TEAM_FEATURE_COLS
+    tf = team_features(matches(spark, sf), DAG)
+    return tf.select("match_id", "date", "team", "opponent", "venue", *TEAM_FEATURE_COLS, *EXTRA_FORM_COLS)
+
+
 def j02_j04_match_features(spark, sf):
     return features(spark, sf, reuse=False)
 
