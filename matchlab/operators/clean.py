@@ -57,14 +57,28 @@ def normalise_names(df: DataFrame, former_names: DataFrame, cols=("home_team", "
 
 
 def with_match_id(df: DataFrame) -> DataFrame:
-    """A stable bigint key for rows read from a file without one: hash of
-    (date, home, away, tournament, city) and the occurrence number among
-    identical keys (ordered by the remaining columns)."""
+    """A bigint key for rows read from a file without one.
+
+    Distinct rows get the hash of all their columns (so the tie order of
+    two same-day matches does not depend on file layout). Exact copies of a
+    row share that hash and are numbered in two levels, so a group of copies
+    holding a third of the input never sits in one task: a running number
+    within (hash, input partition) — bounded by the input split size — plus
+    the number of copies in earlier input partitions (a window over the
+    per-(hash, partition) counts, at most one row per input partition).
+    Copies are indistinguishable, so which copy gets which number does not
+    change any result."""
     if "match_id" in df.columns:
         return df
-    rest = [c for c in df.columns if c not in MATCH_KEY]
-    w = Window.partitionBy(*MATCH_KEY).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
-    return df.withColumn("match_id", F.xxhash64(*MATCH_KEY, F.row_number().over(w)))
+    cols = list(df.columns)
+    d = df.select("*", F.xxhash64(*cols).alias("_h"), F.spark_partition_id().alias("_pid"))
+    local = Window.partitionBy("_h", "_pid").orderBy("_h")
+    d = d.withColumn("_k", F.row_number().over(local))
+    counts = d.groupBy("_h", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_h").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_h", "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    d = d.join(offsets, on=["_h", "_pid"], how="inner")
+    return d.select(*cols, F.xxhash64(F.col("_h"), F.col("_off") + F.col("_k")).alias("match_id"))
 
 
 def keep_predicate() -> F.Column:

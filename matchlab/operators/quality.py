@@ -145,12 +145,13 @@ RATE_COLS = ["win_rate_last10", "draw_rate_last10", "loss_rate_last10", "form_la
 GOAL_COLS = ["avg_goals_scored_last20", "avg_goals_conceded_last20"]
 
 
-def range_checks(mf: DataFrame) -> DataFrame:
+def range_checks(mf: DataFrame, bucket_rows: int = 1 << 20) -> DataFrame:
     """Q13: check_name, failures. Rates in [0,1], goal means in [0,5] for
     both sides, and h2h_total non-decreasing along each pair's matches.
     The monotone check is two-level so a hot pair never lands in one
-    task: within (pair, day) by lag, across days by comparing a day's
-    minimum with the previous day's maximum on a per-(pair, day) table."""
+    task: within buckets of (pair, day, match_id div bucket_rows) by lag,
+    across buckets by comparing a bucket's minimum with the previous
+    bucket's maximum on the per-bucket table (one row per bucket)."""
     exprs = {}
     for side in ("home", "away"):
         for c in RATE_COLS:
@@ -160,13 +161,15 @@ def range_checks(mf: DataFrame) -> DataFrame:
     exprs["rate_in_0_1|h2h_team_a_win_rate"] = F.count_if(~F.col("h2h_team_a_win_rate").between(0.0, 1.0))
     ranges = _unpivot_counts(mf, exprs, "check_name", "failures")
 
-    pk = ["team_a", "team_b", "date"]
-    w_in = Window.partitionBy(*pk).orderBy("match_id")
-    within = (mf.select(*pk, "match_id", "h2h_total",
-                        F.lag("h2h_total").over(w_in).alias("_prev"))
+    # buckets of at most `bucket_rows` matches of one pair and day
+    bk = ["team_a", "team_b", "date", "_sub"]
+    b = mf.select("team_a", "team_b", "date", "match_id", "h2h_total",
+                  F.expr(f"match_id div {int(bucket_rows)}").alias("_sub"))
+    w_in = Window.partitionBy(*bk).orderBy("match_id")
+    within = (b.select(F.col("h2h_total"), F.lag("h2h_total").over(w_in).alias("_prev"))
               .filter(F.col("_prev") > F.col("h2h_total")).agg(F.count(F.lit(1)).alias("n")))
-    days = mf.groupBy(*pk).agg(F.min("h2h_total").alias("_lo"), F.max("h2h_total").alias("_hi"))
-    w_day = Window.partitionBy("team_a", "team_b").orderBy("date")
+    days = b.groupBy(*bk).agg(F.min("h2h_total").alias("_lo"), F.max("h2h_total").alias("_hi"))
+    w_day = Window.partitionBy("team_a", "team_b").orderBy("date", "_sub")
     across = (days.select(F.col("_lo"), F.lag("_hi").over(w_day).alias("_prev_hi"))
               .filter(F.col("_prev_hi") > F.col("_lo")).agg(F.count(F.lit(1)).alias("n")))
     mono = within.unionByName(across).agg(
