@@ -37,3 +37,23 @@ def test_contract_keys_match(spark):
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     assert len(q) >= 60
+
+
+def test_bucketed_plan_shuffles_rows_on_bucket_key(spark):
+    tv = team_view(adapter.matches(spark, SF001))
+    df = rolling_features(tv, NOTEBOOK.with_(strategy="bucketed", bucket_rows=64))
+    df.write.format("noop").mode("overwrite").save()
+    p = _plan(df)
+    # row-level data is clustered by (team, day, sub-bucket); only the
+    # per-bucket table is clustered by team
+    assert "hashpartitioning(team#" in p
+    assert p.count("Window") >= 3
+    import re
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+    assert any("_sub" in k and "day" in k for k in keys)
+
+
+def test_auto_without_hot_keys_is_plain_window(spark):
+    tv = team_view(adapter.matches(spark, SF001))
+    p = _plan(rolling_features(tv, NOTEBOOK))
+    assert "_sub" not in p and "Union" not in p
