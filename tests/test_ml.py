@@ -82,3 +82,13 @@ def test_drivers_fixed_weights(spark):
     d = ml.drivers(scored, stats, imp, k=3)
     got = rows(d.orderBy("rank"), "rank", "feature")
     assert [f for _, f in got] == FEATURE_COLS[::-1][:3]
+
+
+def test_exact_median_hot_value_many_ranges(spark):
+    rng = np.random.default_rng(3)
+    a = np.concatenate([np.zeros(4000), rng.normal(1.0, 2.0, 8001)])
+    b = np.concatenate([rng.integers(0, 50, 6000).astype(float), np.full(3000, 7.0)])
+    df_a = spark.createDataFrame([(float(x),) for x in a], "x double").repartition(8)
+    df_b = spark.createDataFrame([(float(x),) for x in b], "x double").repartition(8)
+    assert ml.feature_medians(df_a, ["x"]).first()["median"] == float(np.median(a))
+    assert ml.feature_medians(df_b, ["x"]).first()["median"] == float(np.median(b))
