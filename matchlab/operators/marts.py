@@ -12,6 +12,7 @@ from matchlab.operators.clean import clean_matches
 from matchlab.operators.h2h import h2h_all_time
 from matchlab.operators.perspective import team_view
 from matchlab.operators.reports import last_n
+from matchlab.operators.skew import running_total
 from matchlab.operators.snapshot import fixture_features
 
 
@@ -37,9 +38,8 @@ def stg_rankings(matches: DataFrame, days: int = 365, points=(3, 1, 0)) -> DataF
         F.sum(F.col("win") * pw + F.col("draw") * pd_ + F.col("loss") * pl).alias("points"))
     per_team = per_team.withColumn("points_per_match", F.round(F.col("points") / F.col("matches"), 6))
     scores = per_team.groupBy("points_per_match").agg(F.count(F.lit(1)).alias("_k"))
-    better = scores.select("points_per_match", (F.coalesce(F.sum("_k").over(
-        Window.orderBy(F.desc("points_per_match")).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)) + 1).alias("strength_rank"))
+    better = running_total(scores, [], "points_per_match", "_k", "_higher", descending=True,
+                           inclusive=False).select("points_per_match", (F.col("_higher") + 1).alias("strength_rank"))
     return per_team.join(better, on="points_per_match").select(
         "team", "matches", "points", "points_per_match", "strength_rank")
 

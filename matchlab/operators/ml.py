@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import label_code, label_text, result_text
+from matchlab.operators.skew import running_total
 from matchlab.schemas import FEATURE_COLS, LABEL_MAP
 
 EPS = 1e-15
@@ -58,26 +59,15 @@ def feature_medians(df: DataFrame, cols=FEATURE_COLS) -> DataFrame:
 
     1. values are counted per (column, value) — partial aggregation, so a
        value held by a third of the rows costs one row per map task;
-    2. the distinct (column, value) rows are range-partitioned on
-       (column, value): each range is one task, sampled boundaries keep
-       ranges balanced however many distinct values a column has;
-    3. the running count inside a range is a window over that range only;
-       the rows of earlier ranges come from a per-(column, range) totals
-       table (at most columns x ranges rows), summed by a window.
+    2. the running count over the distinct values of each column is
+       ``skew.running_total``: range-partitioned, so however many distinct
+       values a column has, no task holds more than one range.
     """
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                  F.col(c).cast("double").alias("v")) for c in cols])))
     hist = long.filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("k"))
-    ranged = hist.repartitionByRange("column_name", "v").withColumn("_r", F.spark_partition_id())
-    totals = ranged.groupBy("column_name", "_r").agg(F.sum("k").alias("_t"))
-    totals = totals.select(
-        "column_name", "_r",
-        F.coalesce(F.sum("_t").over(Window.partitionBy("column_name").orderBy("_r")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_t").over(Window.partitionBy("column_name")).alias("n"))
-    h = ranged.join(totals, on=["column_name", "_r"], how="inner").select(
-        "column_name", "v", "n",
-        (F.col("_before") + F.sum("k").over(Window.partitionBy("column_name", "_r").orderBy("v"))).alias("cum"))
+    n = hist.groupBy("column_name").agg(F.sum("k").alias("n"))
+    h = running_total(hist, ["column_name"], "v", "k", "cum").join(n, on="column_name")
     lo = F.floor((F.col("n") + 1) / 2)
     hi = F.ceil((F.col("n") + 1) / 2)
     # value at rank r = smallest v with cum >= r

@@ -9,7 +9,7 @@ turns into broadcast filters once it sees how small the list is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
@@ -33,3 +33,27 @@ def route(df: DataFrame, keys: list[str], threshold: int, plain, bounded) -> Dat
         return plain(df)
     return plain(df.join(hot, on=keys, how="left_anti")).unionByName(
         bounded(df.join(hot, on=keys, how="left_semi")))
+
+
+def running_total(df: DataFrame, group: list[str], order: str, amount: str, out: str,
+                  descending: bool = False, inclusive: bool = True) -> DataFrame:
+    """Running sum of ``amount`` in ``order`` within each ``group``, for any
+    number of rows per group, with bounded tasks: rows are
+    range-partitioned on (group, order) — sampled boundaries split a big
+    group into many ranges — the running sum inside a range is a window
+    over that range only, and the totals of earlier ranges of the group
+    come from a per-(group, range) table (at most groups x ranges rows).
+    Rows with equal ``order`` share a range, so ties are summed together
+    when ``inclusive`` (RANGE semantics)."""
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    ranged = df.repartitionByRange(*[F.col(g) for g in group], o).withColumn("_r", F.spark_partition_id())
+    totals = ranged.groupBy(*group, "_r").agg(F.sum(amount).alias("_t"))
+    wg = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    totals = totals.select(*group, "_r", F.coalesce(F.sum("_t").over(
+        wg.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    w = Window.partitionBy(*group, "_r").orderBy(o).rangeBetween(Window.unboundedPreceding, 0)
+    j = ranged.join(totals, on=[*group, "_r"], how="inner")
+    run = F.sum(amount).over(w)
+    if not inclusive:   # strictly before: drop the rows tied with this one
+        run = run - F.sum(amount).over(Window.partitionBy(*group, "_r", order))
+    return j.select(*df.columns, (F.col("_before") + run).alias(out))
