@@ -139,8 +139,13 @@ def _training_input(train: DataFrame) -> DataFrame:
     the several passes of scaler and tree fitting. A lost cached block is
     recomputed from its lineage."""
     from pyspark import StorageLevel
-    n = train.sparkSession.sparkContext.defaultParallelism
-    data = train.repartition(n) if train.rdd.getNumPartitions() < n else train
+    data = train
+    try:
+        n = train.sparkSession.sparkContext.defaultParallelism
+        if train.rdd.getNumPartitions() < n:
+            data = train.repartition(n)
+    except Exception:   # no RDD view (Spark Connect): keep the partitioning
+        pass
     return data.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -319,10 +324,9 @@ def tree_split_stats(model, path: str) -> DataFrame:
     own node table: mean gain per split and split count per feature."""
     model.write().overwrite().save(path)
     spark = _spark()
-    import glob
-    import os
-    stage_dirs = sorted(glob.glob(os.path.join(path.replace("file:", ""), "stages", "*")))
-    data = spark.read.parquet(os.path.join(stage_dirs[-1], "data"))
+    # the classifier is the last pipeline stage; Spark resolves the glob on
+    # any file system
+    data = spark.read.parquet(f"{path}/stages/{len(model.stages) - 1}_*/data")
     nodes = data.select(F.col("nodeData.split.featureIndex").alias("fi"), F.col("nodeData.gain").alias("gain"),
                         F.col("nodeData.leftChild").alias("left"))
     splits = nodes.filter(F.col("left") >= 0)

@@ -32,12 +32,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``; only when it is unset (local tests) a
     folder of our own is created and set."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext          # absent in Spark Connect sessions
+        d = d or sc.getCheckpointDir()
+    except Exception:
+        sc = None
     if not d:
         d = tempfile.mkdtemp(prefix="matchlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
