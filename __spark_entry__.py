@@ -461,8 +461,8 @@ FROM (SELECT DISTINCT team FROM (SELECT home_team AS team FROM cleaned
                                  UNION ALL SELECT away_team FROM cleaned)) t
 WHERE team IN (SELECT trim(former) FROM former)"""
     contract = [("raw_results", 40000), ("raw_goalscorers", 10000), ("raw_shootouts", 100),
-                ("raw_former_names", 10), ("match_features", 20000), ("wc2026_fixtures", 48),
-                ("wc2026_predictions", 48), ("mart_team_form", 50), ("mart_head_to_head", 100),
+                ("raw_former_names", 10), ("match_features", 20000), ("fixtures", 48),
+                ("predictions", 48), ("mart_team_form", 50), ("mart_head_to_head", 100),
                 ("mart_predictions_input", 48)]
     counts = [
         "SELECT 'raw_results' AS table_name, count(*) AS actual_rows FROM pivot_ok",
@@ -470,7 +470,7 @@ WHERE team IN (SELECT trim(former) FROM former)"""
         "SELECT 'raw_shootouts', count(*) FROM matches WHERE result = 'D'",
         "SELECT 'raw_former_names', count(*) FROM former",
         "SELECT 'match_features', count(*) FROM mf",
-        "SELECT 'wc2026_fixtures', count(*) FROM fixtures",
+        "SELECT 'fixtures', count(*) FROM fixtures",
         "SELECT 'mart_team_form', count(DISTINCT team) FROM (SELECT home_team AS team FROM matches "
         "UNION ALL SELECT away_team FROM matches)",
         "SELECT 'mart_head_to_head', count(*) FROM h2h_all",

@@ -17,8 +17,8 @@ from matchlab.sources import adapter, files
 # Minimum rows per table, as the original's table contract states.
 ROW_MINIMUMS = {
     "raw_results": 40000, "raw_goalscorers": 10000, "raw_shootouts": 100,
-    "raw_former_names": 10, "match_features": 20000, "wc2026_fixtures": 48,
-    "wc2026_predictions": 48, "mart_team_form": 50, "mart_head_to_head": 100,
+    "raw_former_names": 10, "match_features": 20000, "fixtures": 48,
+    "predictions": 48, "mart_team_form": 50, "mart_head_to_head": 100,
     "mart_predictions_input": 48,
 }
 RESULT_CODES = ["W", "D", "L"]
@@ -179,7 +179,7 @@ def q09_row_contract(spark, sf):
         "raw_shootouts": adapter.raw_shootouts(spark, sf),
         "raw_former_names": adapter.former_names(spark, sf),
         "match_features": mf,
-        "wc2026_fixtures": fx,
+        "fixtures": fx,
         "mart_team_form": marts.mart_team_form(matches(spark, sf)),
         "mart_head_to_head": marts.mart_head_to_head(matches(spark, sf)),
         "mart_predictions_input": fixture_inputs(spark, sf),
