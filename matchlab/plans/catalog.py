@@ -171,18 +171,19 @@ def q08_forbidden_names(spark, sf):
 
 
 def q09_row_contract(spark, sf):
-    mf = features(spark, sf)
+    m = materialize(matches(spark, sf), "matches")
+    mf = materialize(match_features(m, NOTEBOOK.with_(materialize_input=False)), "match_features")
     fx = fixtures(spark, sf)
     tables = {
         "raw_results": raw_results(spark, sf),
         "raw_goalscorers": adapter.raw_goalscorers(spark, sf),
-        "raw_shootouts": adapter.raw_shootouts(spark, sf),
+        "raw_shootouts": adapter.raw_shootouts(spark, sf, m),
         "raw_former_names": adapter.former_names(spark, sf),
         "match_features": mf,
         "fixtures": fx,
-        "mart_team_form": marts.mart_team_form(matches(spark, sf)),
-        "mart_head_to_head": marts.mart_head_to_head(matches(spark, sf)),
-        "mart_predictions_input": fixture_inputs(spark, sf),
+        "mart_team_form": marts.mart_team_form(m),
+        "mart_head_to_head": marts.mart_head_to_head(m),
+        "mart_predictions_input": fixture_inputs(spark, sf, mf),
     }
     return quality.row_contract(tables, ROW_MINIMUMS)
 

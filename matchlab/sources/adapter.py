@@ -180,11 +180,11 @@ def raw_goalscorers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_shootouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_shootouts(spark: SparkSession, sf_dir: str, match_table: DataFrame | None = None) -> DataFrame:
     """Shootout rows in the raw CSV shape: one per drawn match; the winner
     is the home side for even match ids, else the away side; some winners
     padded or missing, some first shooters empty."""
-    m = matches(spark, sf_dir).filter(F.col("result") == "D")
+    m = (matches(spark, sf_dir) if match_table is None else match_table).filter(F.col("result") == "D")
     k = F.col("match_id")
     winner = F.when(k % 2 == 0, F.col("home_team")).otherwise(F.col("away_team"))
     return m.select(
