@@ -72,3 +72,14 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_counted(df, name: str):
+    """``materialize`` that also returns the row count, taken on the write
+    path with ``observe`` (no extra job)."""
+    from pyspark.sql import Observation, functions as F
+    spark = df.sparkSession
+    obs = Observation(f"rows_{name}")
+    path = scratch_path(spark, name)
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["n"])
