@@ -32,7 +32,6 @@ def rows(df, *cols):
 def make_matches(spark, data):
     """data: (match_id, 'yyyy-mm-dd', home, away, home_score, away_score)."""
     import datetime as dt
-    from pyspark.sql import functions as F
     from matchlab.functions.columns import goal_diff, result_code
     recs = [(mid, dt.date.fromisoformat(d), h, a, hs, as_, "T", False) for mid, d, h, a, hs, as_ in data]
     df = spark.createDataFrame(recs, "match_id bigint, date date, home_team string, away_team string, "

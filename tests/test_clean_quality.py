@@ -1,8 +1,6 @@
 """Cleaning, name maps, quality checks."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from conftest import rows
 from matchlab.operators import clean, quality
 from matchlab.schemas import RESULTS

@@ -1,7 +1,5 @@
 """ML metrics on fixed scores, medians, split, model sanity."""
 
-import math
-
 import numpy as np
 from pyspark.sql import functions as F
 

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from conftest import make_matches, rows
 from matchlab.config import NOTEBOOK
 from matchlab.operators import reports, snapshot
