@@ -30,9 +30,34 @@ def feature_columns():
     return side_columns("home") + side_columns("away") + ["team_a", "team_b"] + H2H_COLS
 
 
+def prepare_input(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK):
+    """The match input of a feature build and the config to build with:
+    the "before" date cut applied, the table written once to the shared
+    checkpoint folder (it feeds several branches) with its row count taken
+    on the write path, and ``auto`` resolved to the plain windows when the
+    whole input is below the bucket bound (a team or a pair has at most one
+    row per match, so no key can be hot)."""
+    m = matches.select(*BASE_COLS)
+    if cfg.min_date is not None and cfg.min_date_applied == "before":
+        m = m.filter(F.col("date") >= F.lit(cfg.min_date))
+    if cfg.materialize_input:
+        m, n = materialize_counted(m, "matches")
+        if cfg.strategy == "auto" and 2 * n <= cfg.bucket_rows:
+            cfg = cfg.with_(strategy="window")
+        cfg = cfg.with_(materialize_input=False)
+    return m, cfg
+
+
 def team_features(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
     """Team view + rolling features (one row per match and side)."""
-    return rolling_features(team_view(matches), cfg)
+    m, cfg = prepare_input(matches, cfg)
+    return rolling_features(team_view(m), cfg)
+
+
+def pair_features(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
+    """Head-to-head before every match (one row per match)."""
+    m, cfg = prepare_input(matches, cfg)
+    return h2h_features(m, cfg)
 
 
 def sides_to_match(tf: DataFrame) -> DataFrame:
@@ -48,18 +73,8 @@ def sides_to_match(tf: DataFrame) -> DataFrame:
 def match_features(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
     """Columns: BASE_COLS, home_*, away_* (14 form columns + win_rate_prev10
     each), team_a, team_b, five h2h columns."""
-    m = matches.select(*BASE_COLS)
-    if cfg.min_date is not None and cfg.min_date_applied == "before":
-        m = m.filter(F.col("date") >= F.lit(cfg.min_date))
-    if cfg.materialize_input:
-        m, n = materialize_counted(m, "matches")
-        if cfg.strategy == "auto" and 2 * n <= cfg.bucket_rows:
-            # a team and a pair have at most one row per match, so no key
-            # can exceed the bound when the whole team view (2 rows per
-            # match) does not: the hot-key check is skipped and the plain
-            # windows are used (proven bound, not a guess)
-            cfg = cfg.with_(strategy="window")
-    sides = sides_to_match(team_features(m, cfg))
+    m, cfg = prepare_input(matches, cfg)
+    sides = sides_to_match(rolling_features(team_view(m), cfg))
     h2h = h2h_features(m, cfg)
     out = h2h.join(sides, on="match_id", how="left")
     num = [c for c in side_columns("home") + side_columns("away")]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from matchlab.config import NOTEBOOK
 from matchlab.operators import clean, h2h, marts, ml, quality, reports, snapshot
-from matchlab.operators.features import match_features, team_features
+from matchlab.operators.features import match_features, pair_features, team_features
 from matchlab.operators.perspective import team_view
 from matchlab.schemas import FEATURE_COLS, RESULTS
 from matchlab.session import materialize, scratch_path
@@ -225,7 +225,7 @@ def w01_w15_rolling_features(spark, sf):
 
 def w16_w20_h2h_features(spark, sf):
     from matchlab.schemas import H2H_COLS
-    return h2h.h2h_features(matches(spark, sf), NOTEBOOK).select(
+    return pair_features(matches(spark, sf), NOTEBOOK).select(
         "match_id", "date", "home_team", "away_team", "team_a", "team_b", *H2H_COLS)
 
 
@@ -242,7 +242,7 @@ def w01_w15_rolling_bucketed(spark, sf):
 
 def w16_w20_h2h_bucketed(spark, sf):
     from matchlab.schemas import H2H_COLS
-    return h2h.h2h_features(matches(spark, sf), BUCKETED).select(
+    return pair_features(matches(spark, sf), BUCKETED).select(
         "match_id", "date", "home_team", "away_team", "team_a", "team_b", *H2H_COLS)
 
 
