@@ -443,6 +443,8 @@ WHERE date IS NOT NULL AND winner IS NOT NULL"""
     q["q06_feature_summary"] = _FEAT + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, "
         f"round(stddev_samp({c}), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+        f"round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+        f"round(quantile_cont({c}, 0.75), 6) AS p75, "
         f"CAST(max({c}) AS DOUBLE) AS max FROM mf" for c in _FEATURES)
     q["q07_cleaning_report"] = R + """
 SELECT count(*) AS original_rows, count_if(date IS NOT NULL AND home_team IS NOT NULL

@@ -77,3 +77,14 @@ def test_row_contract(spark):
     got = {r["table_name"]: r["status"] for r in quality.row_contract(
         {"a": a, "b": a.limit(1)}, {"a": 3, "b": 3, "c": 1}).collect()}
     assert got == {"a": "PASS", "b": "LOW", "c": "MISSING"}
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    x = np.concatenate([np.full(2000, 1.0), rng.normal(0, 3, 3001)])
+    df = spark.createDataFrame([(float(v), float(v) * 2) for v in x], "a double, b double").repartition(8)
+    got = {r["column_name"]: r for r in quality.exact_quantiles(df, ["a", "b"]).collect()}
+    for c, arr in (("a", x), ("b", x * 2)):
+        for p in (25, 50, 75):
+            assert abs(got[c][f"p{p}"] - float(np.percentile(arr, p))) < 1e-9
