@@ -54,6 +54,10 @@ def _j(parts):
     return ",\n".join(parts)
 
 
+def _zero(c):
+    return "0" if c == "matches_available" else "0.0"
+
+
 _PIVOT = """
 sides AS (
   SELECT o.o_orderkey // 2 AS match_id, o.o_orderkey % 2 AS side, n.n_name AS team,
@@ -207,8 +211,8 @@ h2h AS (
 _MF = """,
 mf AS (
   SELECT """ + ", ".join(f"x.{c}" for c in _BASE) + """,
-""" + _j([f"    coalesce(h.{c}, 0.0) AS home_{c}" for c in _SIDE]
-         + [f"    coalesce(a.{c}, 0.0) AS away_{c}" for c in _SIDE]
+""" + _j([f"    coalesce(h.{c}, {_zero(c)}) AS home_{c}" for c in _SIDE]
+         + [f"    coalesce(a.{c}, {_zero(c)}) AS away_{c}" for c in _SIDE]
          + ["    x.team_a", "    x.team_b"] + [f"    x.{c}" for c in _H2H]) + """
   FROM h2h x
   LEFT JOIN tf h ON h.match_id = x.match_id AND h.venue = 'home'
@@ -288,7 +292,7 @@ _BUCKET = "CAST(('0x' || substr(md5(CAST(match_id AS VARCHAR)), 1, 8)) AS BIGINT
 _MLQ = """,
 ts AS (
   SELECT match_id, date, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FEATURES) + """,
-         CASE result WHEN 'W' THEN 0.0 WHEN 'D' THEN 1.0 WHEN 'L' THEN 2.0 END AS label
+         CAST(CASE result WHEN 'W' THEN 0 WHEN 'D' THEN 1 WHEN 'L' THEN 2 END AS DOUBLE) AS label
   FROM mf WHERE result IS NOT NULL AND date >= DATE '1990-01-01'),
 train AS (SELECT * FROM ts WHERE """ + _BUCKET + """ >= 2000),
 test AS (SELECT * FROM ts WHERE """ + _BUCKET + """ < 2000),
@@ -296,8 +300,8 @@ pri AS (
   SELECT count_if(label = 0) / count(*) AS win_prob, count_if(label = 1) / count(*) AS draw_prob,
          count_if(label = 2) / count(*) AS loss_prob FROM train),
 prim AS (
-  SELECT *, CASE WHEN win_prob >= draw_prob AND win_prob >= loss_prob THEN 0.0
-                 WHEN draw_prob >= loss_prob THEN 1.0 ELSE 2.0 END AS majority FROM pri),
+  SELECT *, CAST(CASE WHEN win_prob >= draw_prob AND win_prob >= loss_prob THEN 0
+                      WHEN draw_prob >= loss_prob THEN 1 ELSE 2 END AS DOUBLE) AS majority FROM pri),
 tpred AS (
   SELECT t.*, p.majority AS prediction, p.win_prob, p.draw_prob, p.loss_prob
   FROM test t CROSS JOIN prim p)"""
@@ -321,8 +325,8 @@ _SQL_ML = _with(_ALL, _MLQ)
 def _last_n_sql(n):
     return f""",
 lastn AS (
-  SELECT team, rn, match_id, date, home_team, away_team, home_score, away_score, result,
-         tournament,
+  SELECT team, CAST(rn AS INTEGER) AS rn, match_id, date, home_team, away_team, home_score,
+         away_score, result, tournament,
          CASE WHEN is_home THEN result WHEN result = 'W' THEN 'L' WHEN result = 'L' THEN 'W'
               ELSE result END AS team_result
   FROM (
@@ -368,7 +372,29 @@ def _union_counts(table, items):
     return "\nUNION ALL\n".join(items)
 
 
+def _count_filter(sql: str) -> str:
+    """count_if(x) -> count(*) FILTER (WHERE x): BIGINT like Spark's count_if
+    (DuckDB's count_if returns HUGEINT)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(f"count(*) FILTER (WHERE {_count_filter(sql[j + len(key):k - 1])})")
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
+    return {k: _count_filter(v) for k, v in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     M = _with(_MATCHES)
     R = _with(_MATCHES, _RAW)

@@ -1,6 +1,6 @@
 """Run registered queries against their oracle SQL (DuckDB) and compare
-row count, column names and the order-insensitive multiset of rows
-(floats compared after rounding to 9 significant digits).
+row count, column names, column types and the order-insensitive multiset
+of rows (floats compared after rounding to 9 significant digits).
 
     python tests/oracle_compare.py [sf_dir] [query-prefix ...]
 """
@@ -54,10 +54,21 @@ def duck(sf_dir):
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     df = fn(spark, sf_dir)
     s_rows = [r.asDict() for r in df.collect()]
     s_cols = sorted(df.columns)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    bad_types = {c: (t, d_types.get(c)) for c, t in s_types.items() if t != d_types.get(c)}
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     cur = con.execute(sql)
     d_cols_raw = [d[0] for d in cur.description]
     d_rows = [dict(zip(d_cols_raw, r)) for r in cur.fetchall()]
