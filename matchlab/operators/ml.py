@@ -78,12 +78,19 @@ def feature_medians(df: DataFrame, cols=FEATURE_COLS) -> DataFrame:
 
 def impute(train: DataFrame, others: list[DataFrame], cfg: FeatureConfig = NOTEBOOK, cols=FEATURE_COLS):
     """Fill feature nulls with the train medians (``impute='median'``)
-    or 0 (``'zero'``). Collects one number per feature."""
+    or 0 (``'zero'``). Only columns of ``train`` that have nulls are
+    imputed (one aggregate finds them); their medians are one number per
+    column, collected."""
     if cfg.impute == "zero":
         values = {c: 0.0 for c in cols}
     else:
-        values = {r["column_name"]: float(r["median"]) for r in feature_medians(train, cols).collect()
-                  if r["median"] is not None}
+        nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+        todo = [c for c in cols if nulls[c]]
+        values = {} if not todo else {
+            r["column_name"]: float(r["median"]) for r in feature_medians(train, todo).collect()
+            if r["median"] is not None}
+    if not values:
+        return [train] + list(others)
     return [d.fillna(values) for d in [train] + list(others)]
 
 

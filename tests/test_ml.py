@@ -90,3 +90,12 @@ def test_exact_median_hot_value_many_ranges(spark):
     df_b = spark.createDataFrame([(float(x),) for x in b], "x double").repartition(8)
     assert ml.feature_medians(df_a, ["x"]).first()["median"] == float(np.median(a))
     assert ml.feature_medians(df_b, ["x"]).first()["median"] == float(np.median(b))
+
+
+def test_impute_only_columns_with_nulls(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, 2.0), (None, 4.0), (5.0, 6.0)], "a double, b double")
+    tr, te = ml.impute(df, [df], NOTEBOOK, cols=["a", "b"])
+    assert sorted(rows(tr, "a")) == [(1.0,), (3.0,), (3.0,), (5.0,)]
+    assert sorted(rows(te, "b")) == [(2.0,), (4.0,), (4.0,), (6.0,)]
+    z, = ml.impute(df, [], NOTEBOOK.with_(impute="zero"), cols=["a", "b"])
+    assert sorted(rows(z, "a")) == [(0.0,), (1.0,), (3.0,), (5.0,)]
