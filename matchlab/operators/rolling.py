@@ -24,8 +24,10 @@ Three strategies give identical results:
 
 ``auto`` (default)
     Keys with more than ``bucket_rows`` rows take the bucketed path, all
-    other keys the plain one (see ``skew.split_hot``); the two results
-    are unioned.
+    other keys the plain one (see ``skew.route``); the two results are
+    unioned. When the feature build knows the whole input is below the
+    bound (``features.prepare_input``), no key can be hot and the plain
+    windows are used without a check.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.frames import frame_avg, frame_count, last_n
 from matchlab.operators.skew import route
+from matchlab.schemas import EXTRA_FORM_COLS, FORM_COLS
 
 # Fixed values: (output column, input column, first offset, last offset).
 ROW_FRAMES = [
@@ -139,5 +142,4 @@ def rolling_features(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "t
         last.alias("ranking_proxy"),
         change.alias("ranking_change"),
     )
-    from matchlab.schemas import FORM_COLS, EXTRA_FORM_COLS
     return f.fillna(cfg.fill, subset=FORM_COLS + EXTRA_FORM_COLS)
