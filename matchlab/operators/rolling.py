@@ -75,6 +75,10 @@ def _plain(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
     return tv.select("*", *cols)
 
 
+def _field(name: str):
+    return lambda x: x[name]
+
+
 def _bucketed(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
     depth = _depth()
     row_inputs = sorted({c for _, c, _, _ in ROW_FRAMES + COUNT_FRAMES})
@@ -84,19 +88,24 @@ def _bucketed(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
 
     b = tv.withColumn("_sub", F.expr(f"match_id div {int(cfg.bucket_rows)}"))
     wb = Window.partitionBy(*bkey).orderBy("match_id")
-    # per input column: the previous (at most depth) values inside the bucket
+    # the one big shuffle: rows clustered by bucket, the previous (at most
+    # depth) values of each input column inside the bucket
     a = b.select("*", *[F.collect_list(c).over(wb.rowsBetween(-depth, -1)).alias(f"_in_{c}")
-                        for c in row_inputs],
-                 F.row_number().over(wb).alias("_k"))
-
-    # one row per bucket (count, sums, last `depth` values); `a` is already
-    # clustered by the bucket key, so this aggregate adds no shuffle
-    buckets = a.groupBy(*bkey).agg(
-        *[last_n(F.max_by(F.concat(F.col(f"_in_{c}"), F.array(F.col(c))), F.col("_k")), depth)
-          .alias(f"_t_{c}") for c in row_inputs],
-        *[F.sum(c).alias(f"_s_{c}") for c in rng_inputs],
-        *[F.count(c).alias(f"_c_{c}") for c in rng_inputs],
-    )
+                        for c in row_inputs])
+
+    # per bucket, from small inputs only: the last `depth` rows
+    # (row_number <= depth is planned as a WindowGroupLimit that filters
+    # before its shuffle) and the sums/counts of the calendar frames
+    # (partial aggregation)
+    last = (b.withColumn("_rk", F.row_number().over(
+        Window.partitionBy(*bkey).orderBy(F.col("match_id").desc())))
+        .filter(F.col("_rk") <= depth))
+    tails = last.groupBy(*bkey).agg(
+        F.array_sort(F.collect_list(F.struct("match_id", *row_inputs))).alias("_t"))
+    tails = tails.select(*bkey, *[F.transform("_t", _field(c)).alias(f"_t_{c}") for c in row_inputs])
+    stats = b.groupBy(*bkey).agg(*[F.sum(c).alias(f"_s_{c}") for c in rng_inputs],
+                                 *[F.count(c).alias(f"_c_{c}") for c in rng_inputs])
+    buckets = tails.join(stats, on=bkey, how="inner")
     wa = Window.partitionBy(key).orderBy("day", "_sub").rowsBetween(-depth, -1)
     wd = Window.partitionBy(key).orderBy("day")
     across = buckets.select(
