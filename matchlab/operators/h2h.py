@@ -52,7 +52,9 @@ def _h2h_bucketed(base: DataFrame, cfg: FeatureConfig) -> DataFrame:
     wb = Window.partitionBy(*bkey).orderBy("match_id").rowsBetween(Window.unboundedPreceding, -1)
     a = b.select("*", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_i_{c}") for c, _ in _COUNTS],
                  F.count(F.lit(1)).over(wb).alias("_i_n"))
-    buckets = a.groupBy(*bkey).agg(*[F.sum(c).alias(f"_b_{c}") for c, _ in _COUNTS],
+    # bucket sums from the input (partial aggregation), so all rows are
+    # shuffled once (for the within-bucket window) and never again
+    buckets = b.groupBy(*bkey).agg(*[F.sum(c).alias(f"_b_{c}") for c, _ in _COUNTS],
                                    F.count(F.lit(1)).alias("_b_n"))
     wa = Window.partitionBy(*PAIR).orderBy("_day", "_sub").rowsBetween(Window.unboundedPreceding, -1)
     across = buckets.select(*bkey, *[F.coalesce(F.sum(f"_b_{c}").over(wa), F.lit(0)).alias(f"_p_{c}")
