@@ -70,8 +70,11 @@ def with_match_id(df: DataFrame) -> DataFrame:
     change any result."""
     if "match_id" in df.columns:
         return df
+    from matchlab.session import materialize
     cols = list(df.columns)
-    d = df.select("*", F.xxhash64(*cols).alias("_h"), F.spark_partition_id().alias("_pid"))
+    # written once, so every branch below sees the same partition ids
+    d = materialize(df.select("*", F.xxhash64(*cols).alias("_h"), F.spark_partition_id().alias("_pid")),
+                    "rows_with_split_ids")
     local = Window.partitionBy("_h", "_pid").orderBy("_h")
     d = d.withColumn("_k", F.row_number().over(local))
     counts = d.groupBy("_h", "_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -36,21 +36,36 @@ def route(df: DataFrame, keys: list[str], threshold: int, plain, bounded) -> Dat
 
 
 def running_total(df: DataFrame, group: list[str], order: str, amount: str, out: str,
-                  descending: bool = False, inclusive: bool = True) -> DataFrame:
+                  descending: bool = False, inclusive: bool = True, ranges: int = 64) -> DataFrame:
     """Running sum of ``amount`` in ``order`` within each ``group``, for any
-    number of rows per group, with bounded tasks: rows are
-    range-partitioned on (group, order) — sampled boundaries split a big
-    group into many ranges — the running sum inside a range is a window
-    over that range only, and the totals of earlier ranges of the group
-    come from a per-(group, range) table (at most groups x ranges rows).
-    Rows with equal ``order`` share a range, so ties are summed together
-    when ``inclusive`` (RANGE semantics)."""
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    ranged = df.repartitionByRange(*[F.col(g) for g in group], o).withColumn("_r", F.spark_partition_id())
+    number of rows per group, with bounded tasks.
+
+    Each group's ``order`` values are cut into ``ranges`` ranges at
+    approximate quantiles (``percentile_approx``: a mergeable sketch,
+    partial aggregation). A row's range id is a pure function of its value
+    and its group's boundaries, so ties share a range and every branch
+    that uses the id agrees. The running sum inside a range is a window
+    over (group, range); the totals of earlier ranges come from a
+    per-(group, range) table (at most groups x ranges rows). With
+    ``inclusive`` ties are summed together (RANGE semantics); otherwise
+    only strictly earlier rows count."""
+    if not group:   # one group: a constant key keeps the same plan shape
+        out_df = running_total(df.withColumn("_g0", F.lit(0)), ["_g0"], order, amount, out,
+                               descending, inclusive, ranges)
+        return out_df.drop("_g0")
+    probs = [i / ranges for i in range(1, ranges)]
+    v = F.col(order)
+    bounds = df.groupBy(*group).agg(F.percentile_approx(v, probs).alias("_bounds"))
+    d = df.join(bounds, on=group, how="inner")
+    b = F.col("_bounds")
+    rid = (F.size(F.filter(b, lambda x: x > v)) if descending
+           else F.size(F.filter(b, lambda x: x < v)))
+    ranged = d.withColumn("_r", rid)
     totals = ranged.groupBy(*group, "_r").agg(F.sum(amount).alias("_t"))
-    wg = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    wg = Window.partitionBy(*group)
     totals = totals.select(*group, "_r", F.coalesce(F.sum("_t").over(
         wg.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    o = v.desc() if descending else v.asc()
     w = Window.partitionBy(*group, "_r").orderBy(o).rangeBetween(Window.unboundedPreceding, 0)
     j = ranged.join(totals, on=[*group, "_r"], how="inner")
     run = F.sum(amount).over(w)

@@ -29,3 +29,12 @@ def test_running_total_matches_brute_force(spark, descending, inclusive):
 def test_hot_keys(spark):
     df = spark.createDataFrame([("a",)] * 10 + [("b",)] * 2, "k string")
     assert [r["k"] for r in hot_keys(df, ["k"], 5).collect()] == ["a"]
+
+
+def test_running_total_without_group(spark):
+    recs = [(v % 37, 1 + v % 3) for v in range(2000)]
+    df = spark.createDataFrame(recs, "v int, a int").repartition(8)
+    got = {r["v"]: r["c"] for r in running_total(df, [], "v", "a", "c", descending=True,
+                                                  inclusive=False).collect()}
+    for v, c in got.items():
+        assert c == sum(a for vv, a in recs if vv > v)
