@@ -129,3 +129,18 @@ def test_no_leakage(spark):
     later_a = f1.filter("match_id = 13").first()
     later_b = f2.filter("match_id = 13").first()
     assert later_a != later_b
+
+
+def test_dag_preset_cuts_before_windows(spark):
+    from matchlab.config import DAG
+    import datetime as dt
+    data = [(1, "1949-06-01", "A", "B", 3, 0), (2, "1950-02-01", "A", "B", 0, 1)]
+    m = make_matches(spark, data)
+    nb = match_features(m, NOTEBOOK.with_(materialize_input=False)).collect()
+    dag = match_features(m, DAG.with_(materialize_input=False)).collect()
+    # both keep only the 1950 match; the notebook rule saw the 1949 win, the
+    # scheduled-job rule cut it before the windows
+    assert [r["match_id"] for r in nb] == [2] and [r["match_id"] for r in dag] == [2]
+    assert nb[0]["home_win_rate_last10"] == 1.0 and nb[0]["h2h_total"] == 1
+    assert dag[0]["home_win_rate_last10"] == 0.0 and dag[0]["h2h_total"] == 0
+    assert dt.date(1950, 2, 1) == dag[0]["date"]
