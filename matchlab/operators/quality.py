@@ -109,6 +109,8 @@ def forbidden_names(df: DataFrame, former_names: DataFrame) -> DataFrame:
 def row_contract(tables: dict, minimums: dict) -> DataFrame:
     """Q09: table_name, min_rows, actual_rows, status (PASS / LOW / MISSING).
     ``tables`` maps a name to a DataFrame (absent -> MISSING)."""
+    if not tables:
+        raise ValueError("row_contract needs at least one table")
     spark = next(iter(tables.values())).sparkSession
     counts = None
     for name, df in tables.items():
@@ -139,6 +141,8 @@ def column_tests(df: DataFrame, table: str, not_null=(), unique=(), accepted=Non
         dup = (df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
                .filter(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("failures")))
         parts.append(dup.select(F.lit(f"unique|{c}").alias("_t"), "failures"))
+    if not parts:
+        raise ValueError("column_tests needs at least one test")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

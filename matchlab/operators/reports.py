@@ -114,6 +114,8 @@ def table_inventory(spark: SparkSession, tables: dict | None = None) -> DataFram
         tables = {t.name: spark.table(t.name) for t in spark.catalog.listTables()}
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
              for n, df in tables.items()]
+    if not parts:
+        return spark.createDataFrame([("TOTAL", 0)], "table_name string, n_rows bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
