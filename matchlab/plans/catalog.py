@@ -33,7 +33,8 @@ def matches(spark, sf):
 
 def features(spark, sf, reuse=True):
     """The match feature table; written once per query to the shared
-    checkpoint folder when the query reads it in several branches."""
+    checkpoint folder when the query reads it in several branches
+    (``reuse=False`` for a single consumer)."""
     mf = match_features(matches(spark, sf), NOTEBOOK)
     return materialize(mf, "match_features") if reuse else mf
 
@@ -262,19 +263,19 @@ def j02_j04_match_features(spark, sf):
 # ------------------------------------------------------- snapshots, reports
 
 def l01_latest_home(spark, sf):
-    return snapshot.latest_role(features(spark, sf), "home")
+    return snapshot.latest_role(features(spark, sf, reuse=False), "home")
 
 
 def l02_latest_away(spark, sf):
-    return snapshot.latest_role(features(spark, sf), "away")
+    return snapshot.latest_role(features(spark, sf, reuse=False), "away")
 
 
 def j06_latest_form(spark, sf):
-    return snapshot.latest_form(features(spark, sf))
+    return snapshot.latest_form(features(spark, sf, reuse=False))
 
 
 def l03_latest_h2h(spark, sf):
-    return snapshot.latest_h2h(features(spark, sf))
+    return snapshot.latest_h2h(features(spark, sf, reuse=False))
 
 
 def l04_last_10(spark, sf):
@@ -294,7 +295,7 @@ def l07_h2h_for_fixtures(spark, sf):
 
 
 def l08_latest_form_home_first(spark, sf):
-    return snapshot.latest_form_home_first(features(spark, sf))
+    return snapshot.latest_form_home_first(features(spark, sf, reuse=False))
 
 
 def m13_fixture_features(spark, sf):
