@@ -30,16 +30,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def order_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: match_id, side (0 home, 1 away), team, score,
-    date, priority. ``nation`` has a fixed size (25 rows in TPC-H), so it
-    is broadcast; ``customer`` is left to the planner (sort-merge or AQE
-    broadcast by runtime size)."""
+    date, priority. Join strategies are left to the planner's size check:
+    ``nation`` (25 rows) and, at small scale, ``customer`` fall under the
+    broadcast threshold; beyond it Spark uses sort-merge joins (and AQE can
+    still switch by runtime size)."""
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         o.join(c, o.o_custkey == c.c_custkey)
-        .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.expr("o_orderkey div 2").alias("match_id"),
             (F.col("o_orderkey") % 2).cast("int").alias("side"),
