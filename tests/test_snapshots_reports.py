@@ -84,3 +84,14 @@ def test_standings(spark):
     got = rows(reports.standings(preds))
     assert got == [("A", "T1", 2), ("A", "T2", 0), ("A", "T3", 0),
                    ("B", "T4", 0), ("B", "T5", 0), ("B", "T6", 0)]
+
+
+def test_latest_by_role_matches_per_role(spark):
+    from matchlab.sources import adapter
+    from conftest import SF001
+    mf = match_features(adapter.matches(spark, SF001), CFG)
+    both = snapshot.latest_by_role(mf)
+    for role in ("home", "away"):
+        a = sorted(rows(both.filter(both.role == role).drop("role")))
+        b = sorted(rows(snapshot.latest_role(mf, role)))
+        assert a == b and len(a) == 25
