@@ -36,7 +36,8 @@ def route(df: DataFrame, keys: list[str], threshold: int, plain, bounded) -> Dat
 
 
 def running_total(df: DataFrame, group: list[str], order: str, amount: str, out: str,
-                  descending: bool = False, inclusive: bool = True, ranges: int = 64) -> DataFrame:
+                  descending: bool = False, inclusive: bool = True, ranges: int = 64,
+                  materialize_input: bool = True) -> DataFrame:
     """Running sum of ``amount`` in ``order`` within each ``group``, for any
     number of rows per group, with bounded tasks.
 
@@ -48,11 +49,16 @@ def running_total(df: DataFrame, group: list[str], order: str, amount: str, out:
     over (group, range); the totals of earlier ranges come from a
     per-(group, range) table (at most groups x ranges rows). With
     ``inclusive`` ties are summed together (RANGE semantics); otherwise
-    only strictly earlier rows count."""
+    only strictly earlier rows count. The input is read three times
+    (boundaries, range totals, rows), so it is written once to the shared
+    checkpoint folder unless ``materialize_input`` is off."""
     if not group:   # one group: a constant key keeps the same plan shape
         out_df = running_total(df.withColumn("_g0", F.lit(0)), ["_g0"], order, amount, out,
-                               descending, inclusive, ranges)
+                               descending, inclusive, ranges, materialize_input)
         return out_df.drop("_g0")
+    if materialize_input:
+        from matchlab.session import materialize
+        df = materialize(df, "running_total_input")
     probs = [i / ranges for i in range(1, ranges)]
     v = F.col(order)
     bounds = df.groupBy(*group).agg(F.percentile_approx(v, probs).alias("_bounds"))
