@@ -25,9 +25,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return j02_j04_match_features(spark, SF_SMOKE)
 
 
+def _corpus() -> tuple[dict, dict]:
+    """Queries and SQL of the corpus operators and their pipeline, if that
+    subpackage is there."""
+    try:
+        import corpus_pipeline
+        from matchlab.llm import queries as corpus
+    except ModuleNotFoundError as e:
+        if (e.name or "").split(".")[0] not in ("corpus_pipeline", "matchlab"):
+            raise
+        return {}, {}
+    sql = dict(corpus.SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return corpus.QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from matchlab.plans.catalog import QUERIES
-    return dict(sorted(QUERIES.items()))
+    return dict(sorted((QUERIES | _corpus()[0]).items()))
 
 
 # ---------------------------------------------------------------------------
@@ -391,7 +407,7 @@ def _count_filter(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _count_filter(v) for k, v in _oracle_sql().items()}
+    return {k: _count_filter(v) for k, v in _oracle_sql().items()} | _corpus()[1]
 
 
 def _oracle_sql() -> dict[str, str]:
