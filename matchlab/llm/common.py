@@ -3,7 +3,10 @@ every operator works on, held-out splits and bounded batches for Arrow tasks."""
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlab.session import materialize  # noqa: F401  (cut lineage in the shared folder)
@@ -12,7 +15,17 @@ from matchlab.session import materialize  # noqa: F401  (cut lineage in the shar
 SLICE_CHARS = 1 << 21
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers on this machine find the package where the driver found
+    it; on other machines it is sent along with the application (--py-files)."""
+    environment = spark.sparkContext.environment
+    top = str(Path(__file__).resolve().parents[2])
+    if top not in environment.get("PYTHONPATH", "").split(":"):
+        environment["PYTHONPATH"] = ":".join(filter(None, [top, environment.get("PYTHONPATH")]))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -29,3 +29,10 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 1024 ids."""
     from matchlab.llm.packing import pack
     return pack(load(spark, sf_dir), TOKENIZER)
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text."""
+    from matchlab.llm.langid import identify
+    return identify(load(spark, sf_dir))
