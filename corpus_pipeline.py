@@ -1,23 +1,56 @@
 """The corpus pipeline: language ID, line dedup, near-dedup, substring dedup,
-packing. Each stage gets its predecessor's rows, read again from Parquet."""
+packing. Each stage gets its predecessor's rows, read again from Parquet, and
+works on all of them. All but the last return the columns of documents;
+``n_chars`` follows the text."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlab.llm.common import load, materialize
+from matchlab.llm.common import importable, load, materialize
+from matchlab.llm.langid import keep_identified
+from matchlab.llm.linededup import drop_repeated_lines
+from matchlab.llm.minhash import drop_near_duplicates
 from matchlab.llm.packing import pack
 from matchlab.llm.queries import TOKENIZER
+from matchlab.llm.suffixdedup import drop_repeats
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told with probability 0.5 or more."""
+    importable(spark)
+    return keep_identified(docs, 0.5)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of two or more lines deleted; documents with nothing left go."""
+    importable(spark)
+    return drop_repeated_lines(docs, run=2)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of documents whose sets of five-word
+    shingles have a similarity of 0.8 or more."""
+    importable(spark)
+    return drop_near_duplicates(docs, percent=80, size=5)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in strings of 200 bytes that occur elsewhere removed; documents with nothing left go."""
+    importable(spark)
+    return drop_repeats(docs, length=200)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, cut and packed into sequences of 1024 ids."""
+    importable(spark)
     return pack(docs, TOKENIZER)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("substring_dedup", substring_dedup), ("packing", packing)]
 
-#: Tokenization and classifiers aren't SQL; tests hold the stages against brute force.
+#: Classifiers, suffix arrays and tokenization aren't SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
