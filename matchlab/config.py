@@ -32,14 +32,14 @@ class FeatureConfig:
     test_ratio: float = 0.2
     seed: int = 42
     round_digits: int = 4
-    # window strategy: "auto" (hot keys bucketed, others plain), "bucketed"
-    # (two-level, bounded task size) or "window" (one Window per team / pair)
-    strategy: str = "auto"
-    # at most this many rows of one key share a bucket: bucket = match_id div bucket_rows
-    bucket_rows: int = 1 << 20
+    # window strategy: "ranged" (a team's or pair's rows spread over sorted
+    # ranges) or "window" (one Window per team / pair)
+    strategy: str = "ranged"
+    # ranges of the ranged strategy; None: the session's shuffle partitions,
+    # fewer where they would be small
+    range_partitions: int | None = None
     # write the match input of the feature build once to the shared
-    # checkpoint folder (it feeds several branches: team windows, pair
-    # windows, hot-key checks)
+    # checkpoint folder (it feeds the team and the pair windows)
     materialize_input: bool = True
 
     def with_(self, **kw) -> "FeatureConfig":

@@ -1,9 +1,10 @@
-"""Array-frame helpers for the bucketed windows.
+"""Array-frame helpers for the ranged windows.
 
-A "history" is an array of the (non-null) values that precede the
-current row, oldest first, at most ``depth`` of them. ``frame(h, lo,
-hi)`` selects the values at offsets lo..hi (lo <= hi <= -1, -1 = the
-previous row): the rows a ``rowsBetween(lo, hi)`` frame would see.
+A "history" is an array of the rows (structs) that precede the current
+row, oldest first, at most ``depth`` of them. ``frame(h, lo, hi)`` selects
+the rows at offsets lo..hi (lo <= hi <= -1, -1 = the previous row): those
+that a ``rowsBetween(lo, hi)`` frame would see. As in a window, nulls take
+a row of the frame but aren't averaged or counted.
 """
 
 from __future__ import annotations
@@ -23,15 +24,18 @@ def frame(h: Column, lo: int, hi: int) -> Column:
     return F.slice(h, start, length)
 
 
-def frame_avg(h: Column, lo: int, hi: int) -> Column:
-    """avg over the frame, null on an empty frame — what
-    ``F.avg(x).over(w.rowsBetween(lo, hi))`` gives for non-null x."""
-    fr = frame(h, lo, hi)
-    total = F.aggregate(fr, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    n = F.size(fr)
+def _values(h: Column, field: str, lo: int, hi: int) -> Column:
+    return F.filter(F.transform(frame(h, lo, hi), lambda x: x[field]), lambda x: x.isNotNull())
+
+
+def frame_avg(h: Column, field: str, lo: int, hi: int) -> Column:
+    """What ``F.avg(field).over(w.rowsBetween(lo, hi))`` gives."""
+    v = _values(h, field, lo, hi)
+    total = F.aggregate(v, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    n = F.size(v)
     return F.when(n > 0, total / n)
 
 
-def frame_count(h: Column, lo: int, hi: int) -> Column:
-    """count over the frame (bigint, 0 when empty)."""
-    return F.size(frame(h, lo, hi)).cast("bigint")
+def frame_count(h: Column, field: str, lo: int, hi: int) -> Column:
+    """What ``F.count(field).over(w.rowsBetween(lo, hi))`` gives."""
+    return F.size(_values(h, field, lo, hi)).cast("bigint")

@@ -14,7 +14,7 @@ from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.operators.h2h import h2h_features
 from matchlab.operators.perspective import team_view
 from matchlab.operators.rolling import rolling_features
-from matchlab.session import materialize_counted
+from matchlab.session import materialize
 from matchlab.schemas import EXTRA_FORM_COLS, H2H_COLS, TEAM_FEATURE_COLS
 
 BASE_COLS = ["match_id", "date", "home_team", "away_team", "home_score", "away_score",
@@ -32,19 +32,13 @@ def feature_columns():
 
 def prepare_input(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK):
     """The match input of a feature build and the config to build with:
-    the "before" date cut applied, the table written once to the shared
-    checkpoint folder (it feeds several branches) with its row count taken
-    on the write path, and ``auto`` resolved to the plain windows when the
-    whole input is below the bucket bound (a team or a pair has at most one
-    row per match, so no key can be hot)."""
+    the "before" date cut applied, and the table written once to the shared
+    checkpoint folder (it feeds several branches)."""
     m = matches.select(*BASE_COLS)
     if cfg.min_date is not None and cfg.min_date_applied == "before":
         m = m.filter(F.col("date") >= F.lit(cfg.min_date))
     if cfg.materialize_input:
-        m, n = materialize_counted(m, "matches")
-        if cfg.strategy == "auto" and 2 * n <= cfg.bucket_rows:
-            cfg = cfg.with_(strategy="window")
-        cfg = cfg.with_(materialize_input=False)
+        m, cfg = materialize(m, "matches"), cfg.with_(materialize_input=False)
     return m, cfg
 
 

@@ -1,9 +1,9 @@
 """Head-to-head: cumulative record of a pair before each match (W16-W20),
 all-time record per pair (L06) and its orientation to a home side (L07).
 
-The cumulative sums are additive, so the bucketed strategy needs no row
-history: within-bucket running sums plus the sums of all earlier buckets
-of the pair (a window over the small per-bucket table).
+The cumulative sums are additive, so the ranged strategy (see ``rolling``)
+needs no row history: running sums within (pair, range) plus the sums of
+the pair's earlier ranges (a window over one row per pair and range).
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
-from matchlab.functions.columns import day_number, pair_a, pair_b
-from matchlab.operators.skew import route
+from matchlab.functions.columns import day_number, flip_result, pair_a, pair_b
+from matchlab.operators.skew import ranged
 
 PAIR = ["team_a", "team_b"]
 _COUNTS = [("a_won", "h2h_team_a_wins"), ("b_won", "h2h_team_b_wins"), ("is_draw", "h2h_draws")]
@@ -22,13 +22,10 @@ def pair_outcomes(matches: DataFrame) -> DataFrame:
     """Canonical pair (P15) and per-match outcome flags from team_a's side."""
     h, a, r = F.col("home_team"), F.col("away_team"), F.col("result")
     ta, tb = pair_a(h, a), pair_b(h, a)
-    return matches.select(
-        "*",
-        ta.alias("team_a"), tb.alias("team_b"),
-        F.when(((h == ta) & (r == "W")) | ((a == ta) & (r == "L")), 1).otherwise(0).alias("a_won"),
-        F.when(((h == tb) & (r == "W")) | ((a == tb) & (r == "L")), 1).otherwise(0).alias("b_won"),
-        F.when(r == "D", 1).otherwise(0).alias("is_draw"),
-    )
+    from_a = F.when(h == ta, r).otherwise(flip_result(r))      # the result as team_a sees it
+    flag = lambda code: F.when(from_a == code, 1).otherwise(0)
+    return matches.select("*", ta.alias("team_a"), tb.alias("team_b"), flag("W").alias("a_won"),
+                          flag("L").alias("b_won"), flag("D").alias("is_draw"))
 
 
 def _rate(cfg: FeatureConfig):
@@ -46,20 +43,18 @@ def _h2h_plain(base: DataFrame) -> DataFrame:
     )
 
 
-def _h2h_bucketed(base: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    bkey = PAIR + ["_day", "_sub"]
-    b = base.withColumn("_sub", F.expr(f"match_id div {int(cfg.bucket_rows)}"))
-    wb = Window.partitionBy(*bkey).orderBy("match_id").rowsBetween(Window.unboundedPreceding, -1)
-    a = b.select("*", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_i_{c}") for c, _ in _COUNTS],
-                 F.count(F.lit(1)).over(wb).alias("_i_n"))
-    # bucket sums from the input (partial aggregation), so all rows are
-    # shuffled once (for the within-bucket window) and never again
-    buckets = b.groupBy(*bkey).agg(*[F.sum(c).alias(f"_b_{c}") for c, _ in _COUNTS],
-                                   F.count(F.lit(1)).alias("_b_n"))
-    wa = Window.partitionBy(*PAIR).orderBy("_day", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    across = buckets.select(*bkey, *[F.coalesce(F.sum(f"_b_{c}").over(wa), F.lit(0)).alias(f"_p_{c}")
-                                     for c, _ in _COUNTS + [("n", None)]])
-    return a.join(across, on=bkey, how="inner").select(
+def _h2h_ranged(base: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    part = PAIR + ["_range"]
+    r = ranged(base, PAIR + ["_day", "match_id"], cfg.range_partitions)
+    w = Window.partitionBy(*part).orderBy("_day", "match_id").rowsBetween(Window.unboundedPreceding, -1)
+    a = r.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_i_{c}") for c, _ in _COUNTS],
+                 F.count(F.lit(1)).over(w).alias("_i_n"))
+    # sums of ranges from the input (partial aggregation)
+    sums = r.groupBy(*part).agg(*[F.sum(c).alias(f"_b_{c}") for c, _ in _COUNTS], F.count(F.lit(1)).alias("_b_n"))
+    wa = Window.partitionBy(*PAIR).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*part, *[F.coalesce(F.sum(f"_b_{c}").over(wa), F.lit(0)).alias(f"_p_{c}")
+                                  for c, _ in _COUNTS + [("n", None)]])
+    return a.join(before, on=part, how="inner").select(
         *base.columns,
         *[(F.col(f"_p_{c}") + F.col(f"_i_{c}")).cast("bigint").alias(n) for c, n in _COUNTS],
         (F.col("_p_n") + F.col("_i_n")).cast("bigint").alias("h2h_total"),
@@ -71,15 +66,12 @@ def h2h_features(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame
     h2h_total (bigint, 0 before the first meeting) and
     h2h_team_a_win_rate (``cfg.h2h_default`` before the first meeting) to
     every match row, counting only earlier meetings (day, match_id).
-    Strategies as in ``rolling``: window, bucketed, auto (hot pairs
-    bucketed)."""
+    Strategies as in ``rolling``."""
     base = pair_outcomes(matches).withColumn("_day", day_number("date"))
     if cfg.strategy == "window":
         out = _h2h_plain(base)
-    elif cfg.strategy == "bucketed":
-        out = _h2h_bucketed(base, cfg)
-    elif cfg.strategy == "auto":
-        out = route(base, PAIR, cfg.bucket_rows, _h2h_plain, lambda d: _h2h_bucketed(d, cfg))
+    elif cfg.strategy == "ranged":
+        out = _h2h_ranged(base, cfg)
     else:
         raise ValueError(f"unknown strategy {cfg.strategy!r}")
     return out.withColumn("h2h_team_a_win_rate", _rate(cfg)).drop("a_won", "b_won", "is_draw", "_day")

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from matchlab.operators.skew import ranged, running_total
+from matchlab.session import materialize
+
 
 def _unpivot_counts(df: DataFrame, exprs: dict, name: str, value: str) -> DataFrame:
     row = df.agg(*[e.alias(k) for k, e in exprs.items()])
@@ -33,9 +36,8 @@ def top_values(df: DataFrame, col: str, k: int = 15) -> DataFrame:
 
 
 def distinct_teams(df: DataFrame) -> DataFrame:
-    """Q04: distinct team names over home and away."""
-    return (df.select(F.col("home_team").alias("team"))
-            .union(df.select(F.col("away_team").alias("team"))).distinct())
+    """Q04: distinct team names over home and away (one pass)."""
+    return df.select(F.explode(F.array("home_team", "away_team")).alias("team")).distinct()
 
 
 def class_distribution(df: DataFrame, col: str = "result") -> DataFrame:
@@ -52,7 +54,6 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) ->
     pandas / ``quantile_cont`` rule). Values are counted per (column,
     value) with partial aggregation and ranked with a range-partitioned
     running count, so no task holds a whole column."""
-    from matchlab.operators.skew import running_total
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                  F.col(c).cast("double").alias("v")) for c in cols])))
     hist = long.filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("k"))
@@ -127,8 +128,11 @@ def row_contract(tables: dict, minimums: dict) -> DataFrame:
 def column_tests(df: DataFrame, table: str, not_null=(), unique=(), accepted=None) -> DataFrame:
     """Q10: test_name, table_name, column_name, failures, status.
     not_null and accepted_values share one aggregate; each unique test is
-    a groupBy on its column (partial aggregation before the shuffle)."""
+    a groupBy on its column (partial aggregation before the shuffle). With
+    unique tests the input is written once, as it is read several times."""
     accepted = accepted or {}
+    if unique:
+        df = materialize(df.select(*dict.fromkeys([*not_null, *unique, *accepted])), "column_tests")
     exprs = {}
     for c in not_null:
         exprs[f"not_null|{c}"] = F.count_if(F.col(c).isNull())
@@ -177,13 +181,13 @@ RATE_COLS = ["win_rate_last10", "draw_rate_last10", "loss_rate_last10", "form_la
 GOAL_COLS = ["avg_goals_scored_last20", "avg_goals_conceded_last20"]
 
 
-def range_checks(mf: DataFrame, bucket_rows: int = 1 << 20) -> DataFrame:
+def range_checks(mf: DataFrame, partitions: int | None = None) -> DataFrame:
     """Q13: check_name, failures. Rates in [0,1], goal means in [0,5] for
     both sides, and h2h_total non-decreasing along each pair's matches.
-    The monotone check is two-level so a hot pair never lands in one
-    task: within buckets of (pair, day, match_id div bucket_rows) by lag,
-    across buckets by comparing a bucket's minimum with the previous
-    bucket's maximum on the per-bucket table (one row per bucket)."""
+    The monotone check runs on sorted ranges (``skew.ranged``), so a hot pair
+    never lands in one task: within (pair, range) by lag, across ranges by
+    comparing a range's first value with the one before's last (one row per
+    pair and range)."""
     exprs = {}
     for side in ("home", "away"):
         for c in RATE_COLS:
@@ -193,17 +197,15 @@ def range_checks(mf: DataFrame, bucket_rows: int = 1 << 20) -> DataFrame:
     exprs["rate_in_0_1|h2h_team_a_win_rate"] = F.count_if(~F.col("h2h_team_a_win_rate").between(0.0, 1.0))
     ranges = _unpivot_counts(mf, exprs, "check_name", "failures")
 
-    # buckets of at most `bucket_rows` matches of one pair and day
-    bk = ["team_a", "team_b", "date", "_sub"]
-    b = mf.select("team_a", "team_b", "date", "match_id", "h2h_total",
-                  F.expr(f"match_id div {int(bucket_rows)}").alias("_sub"))
-    w_in = Window.partitionBy(*bk).orderBy("match_id")
-    within = (b.select(F.col("h2h_total"), F.lag("h2h_total").over(w_in).alias("_prev"))
-              .filter(F.col("_prev") > F.col("h2h_total")).agg(F.count(F.lit(1)).alias("n")))
-    days = b.groupBy(*bk).agg(F.min("h2h_total").alias("_lo"), F.max("h2h_total").alias("_hi"))
-    w_day = Window.partitionBy("team_a", "team_b").orderBy("date", "_sub")
-    across = (days.select(F.col("_lo"), F.lag("_hi").over(w_day).alias("_prev_hi"))
-              .filter(F.col("_prev_hi") > F.col("_lo")).agg(F.count(F.lit(1)).alias("n")))
+    part = ["team_a", "team_b", "_range"]
+    r = ranged(mf.select("team_a", "team_b", "date", "match_id", "h2h_total"), ["team_a", "team_b", "date", "match_id"], partitions)
+    falls = lambda before, now: F.col(before) > F.col(now)
+    within = (r.select("h2h_total", F.lag("h2h_total").over(Window.partitionBy(*part).orderBy("date", "match_id")).alias("_prev"))
+              .filter(falls("_prev", "h2h_total")).agg(F.count(F.lit(1)).alias("n")))
+    place = F.struct("date", "match_id")
+    ends = r.groupBy(*part).agg(F.min_by("h2h_total", place).alias("_first"), F.max_by("h2h_total", place).alias("_last"))
+    across = (ends.select("_first", F.lag("_last").over(Window.partitionBy("team_a", "team_b").orderBy("_range")).alias("_prev"))
+              .filter(falls("_prev", "_first")).agg(F.count(F.lit(1)).alias("n")))
     mono = within.unionByName(across).agg(
         F.sum("n").cast("bigint").alias("failures"))
     mono = mono.select(F.lit("h2h_total_non_decreasing").alias("check_name"), "failures")

@@ -4,30 +4,21 @@ Every frame ends before the current row. Row frames order a team's
 matches by (day, match_id); calendar frames order by day and exclude
 the current day entirely.
 
-Three strategies give identical results:
+Two strategies give identical results, nulls included:
+
+``ranged`` (default, at every size)
+    Rows are range-partitioned on (team, day, match_id) and written once
+    with their range's number (``skew.ranged``), so a team's history is
+    spread over as many ranges as its size needs, whatever its ids and
+    dates look like. Inside (team, range), a window collects the previous
+    (at most 20) rows. Across ranges, a table with one row per (team,
+    range) carries each range's last 20 rows on. Calendar frames come from
+    a table with one row per (team, day), joined before the ranges are cut.
+    Second-level tables have at most teams + ranges, and team-days, rows.
 
 ``window``
     One ``Window.partitionBy(team)``: one shuffle by team, and each team's
-    whole history in one task. Fine for many small keys.
-
-``bucketed`` (default)
-    Bounded task size for hot keys. Rows are bucketed by
-    (team, day, match_id div bucket_rows), so no bucket holds more than
-    ``bucket_rows`` rows of one team. Inside a bucket, ordinary windows
-    collect the previous (at most 20) rows. A per-bucket table (count,
-    sums, last 20 rows) is windowed per team: the rows of the previous
-    20 buckets supply the history that crosses a bucket boundary, and
-    day-range sums supply the calendar frames. That table has one row per
-    (team, day, sub-bucket), so a team holding a third of all matches
-    still has at most (days + rows / bucket_rows) bucket rows. The join
-    back is on the bucket key; the big side keeps its partitioning.
-
-``auto`` (default)
-    Keys with more than ``bucket_rows`` rows take the bucketed path, all
-    other keys the plain one (see ``skew.route``); the two results are
-    unioned. When the feature build knows the whole input is below the
-    bound (``features.prepare_input``), no key can be hot and the plain
-    windows are used without a check.
+    whole history in one task. For callers who know that no team is hot.
 """
 
 from __future__ import annotations
@@ -36,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.frames import frame_avg, frame_count, last_n
-from matchlab.operators.skew import route
+from matchlab.operators.skew import ranged
 from matchlab.schemas import EXTRA_FORM_COLS, FORM_COLS
 
 # Fixed values: (output column, input column, first offset, last offset).
@@ -75,54 +66,38 @@ def _plain(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
     return tv.select("*", *cols)
 
 
-def _field(name: str):
-    return lambda x: x[name]
-
-
-def _bucketed(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
+def _ranged(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
     depth = _depth()
-    row_inputs = sorted({c for _, c, _, _ in ROW_FRAMES + COUNT_FRAMES})
+    inputs = sorted({c for _, c, _, _ in ROW_FRAMES + COUNT_FRAMES})
     rng = range_frames(cfg)
     rng_inputs = sorted({c for _, c, _, _ in rng})
-    bkey = [key, "day", "_sub"]
-
-    b = tv.withColumn("_sub", F.expr(f"match_id div {int(cfg.bucket_rows)}"))
-    wb = Window.partitionBy(*bkey).orderBy("match_id")
-    # the one big shuffle: rows clustered by bucket, the previous (at most
-    # depth) values of each input column inside the bucket
-    a = b.select("*", *[F.collect_list(c).over(wb.rowsBetween(-depth, -1)).alias(f"_in_{c}")
-                        for c in row_inputs])
-
-    # per bucket, from small inputs only: the last `depth` rows
-    # (row_number <= depth is planned as a WindowGroupLimit that filters
-    # before its shuffle) and the sums/counts of the calendar frames
-    # (partial aggregation)
-    last = (b.withColumn("_rk", F.row_number().over(
-        Window.partitionBy(*bkey).orderBy(F.col("match_id").desc())))
-        .filter(F.col("_rk") <= depth))
-    tails = last.groupBy(*bkey).agg(
-        F.array_sort(F.collect_list(F.struct("match_id", *row_inputs))).alias("_t"))
-    tails = tails.select(*bkey, *[F.transform("_t", _field(c)).alias(f"_t_{c}") for c in row_inputs])
-    stats = b.groupBy(*bkey).agg(*[F.sum(c).alias(f"_s_{c}") for c in rng_inputs],
-                                 *[F.count(c).alias(f"_c_{c}") for c in rng_inputs])
-    buckets = tails.join(stats, on=bkey, how="inner")
-    wa = Window.partitionBy(key).orderBy("day", "_sub").rowsBetween(-depth, -1)
+
+    # calendar frames: sums and counts of days (partial aggregation), then
+    # windows over a team's days
     wd = Window.partitionBy(key).orderBy("day")
-    across = buckets.select(
-        *bkey,
-        *[last_n(F.flatten(F.collect_list(f"_t_{c}").over(wa)), depth).alias(f"_p_{c}")
-          for c in row_inputs],
-        *[F.sum(f"_s_{c}").over(wd.rangeBetween(lo, hi)).alias(f"_rs_{n}") for n, c, lo, hi in rng],
-        *[F.sum(f"_c_{c}").over(wd.rangeBetween(lo, hi)).alias(f"_rc_{n}") for n, c, lo, hi in rng],
-    )
-    j = a.join(across, on=bkey, how="inner")
-    j = j.select("*", *[last_n(F.concat(F.col(f"_p_{c}"), F.col(f"_in_{c}")), depth).alias(f"_h_{c}")
-                        for c in row_inputs])
-    cols = [frame_avg(F.col(f"_h_{c}"), lo, hi).alias(n) for n, c, lo, hi in ROW_FRAMES]
-    cols += [frame_count(F.col(f"_h_{c}"), lo, hi).alias(n) for n, c, lo, hi in COUNT_FRAMES]
-    cols += [F.when(F.col(f"_rc_{n}") > 0, F.col(f"_rs_{n}") / F.col(f"_rc_{n}")).alias(n)
-             for n, _, _, _ in rng]
-    return j.select(*tv.columns, *cols)
+    days = tv.groupBy(key, "day").agg(*[F.sum(c).alias(f"_s_{c}") for c in rng_inputs],
+                                      *[F.count(c).alias(f"_c_{c}") for c in rng_inputs])
+    days = days.select(key, "day", *[
+        (F.sum(f"_s_{c}").over(wd.rangeBetween(lo, hi)) / F.sum(f"_c_{c}").over(wd.rangeBetween(lo, hi))).alias(n)
+        for n, c, lo, hi in rng])
+    r = ranged(tv.join(days, on=[key, "day"], how="left"), [key, "day", "match_id"], cfg.range_partitions)
+
+    part = [key, "_range"]
+    w = Window.partitionBy(*part).orderBy("day", "match_id")
+    a = r.select("*", F.collect_list(F.struct(*inputs)).over(w.rowsBetween(-depth, -1)).alias("_in"))
+    # the last rows of each range (row_number <= depth is planned as a
+    # WindowGroupLimit that filters before its shuffle), handed on
+    back = Window.partitionBy(*part).orderBy(F.desc("day"), F.desc("match_id"))
+    last = r.withColumn("_rk", F.row_number().over(back)).filter(F.col("_rk") <= depth)
+    tails = last.groupBy(*part).agg(F.array_sort(F.collect_list(F.struct("day", "match_id", *inputs))).alias("_t"))
+    tails = tails.select(*part, F.transform("_t", lambda x: F.struct(*[x[c].alias(c) for c in inputs])).alias("_t"))
+    wa = Window.partitionBy(key).orderBy("_range").rowsBetween(-depth, -1)
+    before = tails.select(*part, last_n(F.flatten(F.collect_list("_t").over(wa)), depth).alias("_before"))
+    j = a.join(before, on=part, how="inner").withColumn("_h", last_n(F.concat("_before", "_in"), depth))
+    return j.select(*tv.columns,
+                    *[frame_avg(F.col("_h"), c, lo, hi).alias(n) for n, c, lo, hi in ROW_FRAMES],
+                    *[frame_count(F.col("_h"), c, lo, hi).alias(n) for n, c, lo, hi in COUNT_FRAMES],
+                    *[n for n, _, _, _ in rng])
 
 
 def rolling_features(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "team") -> DataFrame:
@@ -131,11 +106,8 @@ def rolling_features(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "t
     the form columns are filled with ``cfg.fill``."""
     if cfg.strategy == "window":
         f = _plain(tv, cfg, key)
-    elif cfg.strategy == "bucketed":
-        f = _bucketed(tv, cfg, key)
-    elif cfg.strategy == "auto":
-        f = route(tv, [key], cfg.bucket_rows, lambda d: _plain(d, cfg, key),
-                  lambda d: _bucketed(d, cfg, key))
+    elif cfg.strategy == "ranged":
+        f = _ranged(tv, cfg, key)
     else:
         raise ValueError(f"unknown strategy {cfg.strategy!r}")
     last, prev = F.col("form_last6m"), F.col("form_prev6m")

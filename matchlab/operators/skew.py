@@ -1,80 +1,36 @@
-"""Hot-key split: route keys with more rows than one task should hold to
-a bounded-size path, all other keys to the plain path.
-
-The per-key row counts are a partial aggregate (one row per key and map
-task before the shuffle), the hot-key list has at most rows/threshold
-entries, and the routing joins are semi/anti joins on it, which AQE
-turns into broadcast filters once it sees how small the list is.
-"""
+"""Work on one key's rows in many tasks: sorted ranges and running totals."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from matchlab.session import materialize
 
-def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > int(threshold)).select(*keys))
-
-
-def split_hot(df: DataFrame, keys: list[str], threshold: int) -> tuple[DataFrame, DataFrame]:
-    """(cold rows, hot rows) of ``df`` by the row count of ``keys``."""
-    hot = hot_keys(df, keys, threshold)
-    return df.join(hot, on=keys, how="left_anti"), df.join(hot, on=keys, how="left_semi")
 
-
-def route(df: DataFrame, keys: list[str], threshold: int, plain, bounded) -> DataFrame:
-    """Apply ``plain`` to the rows of cold keys and ``bounded`` to the rows of
-    hot keys. The hot-key table is checked for emptiness first (one
-    partial aggregate over ``df``); with no hot key the plan is ``plain``
-    alone, with no routing joins."""
-    hot = hot_keys(df, keys, threshold)
-    if hot.isEmpty():
-        return plain(df)
-    return plain(df.join(hot, on=keys, how="left_anti")).unionByName(
-        bounded(df.join(hot, on=keys, how="left_semi")))
+def ranged(df: DataFrame, order: list, partitions: int | None = None, name: str = "ranges") -> DataFrame:
+    """``df`` range-partitioned on ``order`` and written once, with the range's
+    number in ``_range``: ranges follow each other in ``order`` and hold about
+    as many rows each, whatever the values look like. (A key's rows with all
+    order columns equal stay together.)"""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    parted = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    return materialize(parted.withColumn("_range", F.spark_partition_id()), name)
 
 
 def running_total(df: DataFrame, group: list[str], order: str, amount: str, out: str,
-                  descending: bool = False, inclusive: bool = True, ranges: int = 64,
-                  materialize_input: bool = True) -> DataFrame:
+                  descending: bool = False, inclusive: bool = True, partitions: int | None = None) -> DataFrame:
     """Running sum of ``amount`` in ``order`` within each ``group``, for any
-    number of rows per group, with bounded tasks.
-
-    Each group's ``order`` values are cut into ``ranges`` ranges at
-    approximate quantiles (``percentile_approx``: a mergeable sketch,
-    partial aggregation). A row's range id is a pure function of its value
-    and its group's boundaries, so ties share a range and every branch
-    that uses the id agrees. The running sum inside a range is a window
-    over (group, range); the totals of earlier ranges come from a
-    per-(group, range) table (at most groups x ranges rows). With
-    ``inclusive`` ties are summed together (RANGE semantics); otherwise
-    only strictly earlier rows count. The input is read three times
-    (boundaries, range totals, rows), so it is written once to the shared
-    checkpoint folder unless ``materialize_input`` is off."""
-    if not group:   # one group: a constant key keeps the same plan shape
-        out_df = running_total(df.withColumn("_g0", F.lit(0)), ["_g0"], order, amount, out,
-                               descending, inclusive, ranges, materialize_input)
-        return out_df.drop("_g0")
-    if materialize_input:
-        from matchlab.session import materialize
-        df = materialize(df, "running_total_input")
-    probs = [i / ranges for i in range(1, ranges)]
-    v = F.col(order)
-    bounds = df.groupBy(*group).agg(F.percentile_approx(v, probs).alias("_bounds"))
-    d = df.join(bounds, on=group, how="inner")
-    b = F.col("_bounds")
-    rid = (F.size(F.filter(b, lambda x: x > v)) if descending
-           else F.size(F.filter(b, lambda x: x < v)))
-    ranged = d.withColumn("_r", rid)
-    totals = ranged.groupBy(*group, "_r").agg(F.sum(amount).alias("_t"))
-    wg = Window.partitionBy(*group)
-    totals = totals.select(*group, "_r", F.coalesce(F.sum("_t").over(
-        wg.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    o = v.desc() if descending else v.asc()
-    w = Window.partitionBy(*group, "_r").orderBy(o).rangeBetween(Window.unboundedPreceding, 0)
-    j = ranged.join(totals, on=[*group, "_r"], how="inner")
-    run = F.sum(amount).over(w)
+    number of rows per group: a window over (group, range) of ``ranged`` rows,
+    plus the totals of the group's earlier ranges, from a table with one row
+    per (group, range). With ``inclusive`` ties are summed together (RANGE
+    semantics); otherwise only strictly earlier rows count."""
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    r = ranged(df, [*group, o], partitions, "running_total")
+    key = [*group, "_range"]
+    totals = r.groupBy(*key).agg(F.sum(amount).alias("_t"))
+    wg = (Window.partitionBy(*group) if group else Window).orderBy("_range")     # a group's ranges only
+    totals = totals.select(*key, F.coalesce(F.sum("_t").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    run = F.sum(amount).over(Window.partitionBy(*key).orderBy(o).rangeBetween(Window.unboundedPreceding, 0))
     if not inclusive:   # strictly before: drop the rows tied with this one
-        run = run - F.sum(amount).over(Window.partitionBy(*group, "_r", order))
-    return j.select(*df.columns, (F.col("_before") + run).alias(out))
+        run = run - F.sum(amount).over(Window.partitionBy(*key, order))
+    return r.join(totals, on=key, how="inner").select(*df.columns, (F.col("_before") + run).alias(out))

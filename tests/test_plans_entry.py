@@ -39,21 +39,21 @@ def test_contract_keys_match(spark):
     assert len(q) >= 60
 
 
-def test_bucketed_plan_shuffles_rows_on_bucket_key(spark):
+def test_rows_are_windowed_by_range(spark):
     tv = team_view(adapter.matches(spark, SF001))
-    df = rolling_features(tv, NOTEBOOK.with_(strategy="bucketed", bucket_rows=64))
+    df = rolling_features(tv, NOTEBOOK)
     df.write.format("noop").mode("overwrite").save()
     p = _plan(df)
-    # row-level data is clustered by (team, day, sub-bucket); only the
-    # per-bucket table is clustered by team
-    assert "hashpartitioning(team#" in p
-    assert p.count("Window") >= 3
+    # row-level data is clustered by (team, range); only the table with a row
+    # for each range is clustered by team
     import re
     keys = re.findall(r"hashpartitioning\(([^)]*)\)", p)
-    assert any("_sub" in k and "day" in k for k in keys)
+    assert any("_range" in k for k in keys) and p.count("Window") >= 3
 
 
-def test_auto_without_hot_keys_is_plain_window(spark):
-    tv = team_view(adapter.matches(spark, SF001))
-    p = _plan(rolling_features(tv, NOTEBOOK))
-    assert "_sub" not in p and "Union" not in p
+def test_single_scans(spark):
+    """Queries that need their input once read it once."""
+    import __spark_entry__ as E
+    q = E.queries()
+    for name in ("q04_distinct_teams", "q08_forbidden_names"):
+        assert _plan(q[name](spark, SF001)).count("/orders.parquet") == 1, name

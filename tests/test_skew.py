@@ -1,9 +1,9 @@
-"""Bounded-task helpers: running totals over range partitions, hot-key routing."""
+"""Bounded-task helpers: running totals over sorted ranges."""
 
 import numpy as np
 import pytest
 
-from matchlab.operators.skew import hot_keys, running_total
+from matchlab.operators.skew import running_total
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -26,9 +26,11 @@ def test_running_total_matches_brute_force(spark, descending, inclusive):
         assert c == before + (ties if inclusive else 0)
 
 
-def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 10 + [("b",)] * 2, "k string")
-    assert [r["k"] for r in hot_keys(df, ["k"], 5).collect()] == ["a"]
+def test_running_total_with_many_ranges(spark):
+    recs = [("g", v % 50, 1) for v in range(1000)]
+    df = spark.createDataFrame(recs, "g string, v int, a int")
+    got = {r["v"]: r["c"] for r in running_total(df, ["g"], "v", "a", "c", partitions=33).collect()}
+    assert got == {v: 20 * (v + 1) for v in range(50)}
 
 
 def test_running_total_without_group(spark):

@@ -18,7 +18,7 @@ def _tf(spark, data, cfg=CFG):
     return team_features(make_matches(spark, data), cfg)
 
 
-@pytest.mark.parametrize("strategy", ["window", "bucketed"])
+@pytest.mark.parametrize("strategy", ["window", "ranged"])
 def test_same_day_double(spark, strategy):
     # team A plays twice on one day: the row frame of the second match sees
     # the first (tie broken by match_id); the range frame excludes the day
@@ -35,7 +35,7 @@ def test_same_day_double(spark, strategy):
     assert got[4]["form_last6m"] == pytest.approx(2 / 3)
 
 
-@pytest.mark.parametrize("strategy", ["window", "bucketed"])
+@pytest.mark.parametrize("strategy", ["window", "ranged"])
 def test_range_edges(spark, strategy):
     # prior matches exactly 1, 180, 181, 365 and 366 days before the last one
     base = "2001-01-01"
@@ -79,28 +79,44 @@ def _cmp(a, b, cols):
     assert ra == rb
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 3, 1 << 20])
-def test_bucketed_equals_window(spark, bucket_rows):
-    m = adapter.matches(spark, SF001)
-    cols = TEAM_FEATURE_COLS + EXTRA_FORM_COLS
-    a = team_features(m, CFG.with_(strategy="window"))
-    b = team_features(m, CFG.with_(strategy="bucketed", bucket_rows=bucket_rows))
-    _cmp(a, b, cols)
-    ha = h2h_features(m, CFG.with_(strategy="window"))
-    hb = h2h_features(m, CFG.with_(strategy="bucketed", bucket_rows=bucket_rows))
-    _cmp(ha, hb, ["h2h_team_a_wins", "h2h_team_b_wins", "h2h_draws", "h2h_total", "h2h_team_a_win_rate"])
+H2H = ["h2h_team_a_wins", "h2h_team_b_wins", "h2h_draws", "h2h_total", "h2h_team_a_win_rate"]
+
+
+def _same(m, partitions):
+    ranged = CFG.with_(range_partitions=partitions)
+    _cmp(team_features(m, CFG.with_(strategy="window")), team_features(m, ranged), TEAM_FEATURE_COLS + EXTRA_FORM_COLS)
+    _cmp(h2h_features(m, CFG.with_(strategy="window")), h2h_features(m, ranged), H2H)
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 100])
+def test_ranged_equals_window(spark, partitions):
+    _same(adapter.matches(spark, SF001), partitions)
 
 
-def test_auto_routes_hot_keys(spark):
-    # threshold below the biggest teams: some keys hot, some cold
+def test_ranged_with_null_scores(spark):
+    # unplayed matches take a row of the frames and are not averaged
     m = adapter.matches(spark, SF001)
-    cols = TEAM_FEATURE_COLS + EXTRA_FORM_COLS
-    a = team_features(m, CFG.with_(strategy="window"))
-    b = team_features(m, CFG.with_(strategy="auto", bucket_rows=58))
-    _cmp(a, b, cols)
-    ha = h2h_features(m, CFG.with_(strategy="window"))
-    hb = h2h_features(m, CFG.with_(strategy="auto", bucket_rows=3))
-    _cmp(ha, hb, ["h2h_team_a_wins", "h2h_team_b_wins", "h2h_draws", "h2h_total"])
+    gone = F.col("match_id") % 3 == 0
+    for c in ("home_score", "away_score", "goal_diff", "result"):
+        m = m.withColumn(c, F.when(~gone, F.col(c)))
+    _same(m, 40)
+
+
+def test_ranged_with_hashed_ids_and_few_days(spark):
+    # ids spread over the whole range, all matches on ten days, one hot team
+    m = spark.range(4000).select(
+        F.xxhash64("id").alias("match_id"), F.expr("date_add(date'2001-01-01', cast(id % 10 as int))").alias("date"),
+        F.lit("HOT").alias("home_team"), F.concat(F.lit("T"), F.col("id") % 7).alias("away_team"),
+        (F.col("id") % 3).alias("home_score"), (F.col("id") % 2).alias("away_score"), F.lit("T").alias("tournament"), F.lit(False).alias("neutral"))
+    from matchlab.functions.columns import goal_diff, result_code
+    m = m.select("*", goal_diff("home_score", "away_score").alias("goal_diff"), result_code("home_score", "away_score").alias("result"))
+    _same(m, 16)
+    # second-level rows: one for each team and range
+    from matchlab.operators.perspective import team_view
+    from matchlab.operators.skew import ranged
+    r = ranged(team_view(m), ["team", "day", "match_id"], 16)
+    parts = r.groupBy("team", "_range").agg(F.count(F.lit(1)).alias("n"))
+    assert parts.count() <= 16 + 8 and parts.agg(F.max("n")).first()[0] < 2 * 8000 / 16
 
 
 def test_invariants(spark):
