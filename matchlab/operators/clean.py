@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import goal_diff, parse_bool, parse_date, result_code, to_int
-
-MATCH_KEY = ["date", "home_team", "away_team", "tournament", "city"]
-
+from matchlab.operators.skew import ranged
+from matchlab.session import materialize
 
 def name_lookup(former_names: DataFrame, with_dates: bool = False) -> DataFrame:
     """One current name per former name (the latest validity wins when a
@@ -34,8 +33,9 @@ def normalise_names(df: DataFrame, former_names: DataFrame, cols=("home_team", "
                     respect_dates: bool = False) -> DataFrame:
     """Replace former team names by current ones, keep unmatched names.
     With ``respect_dates`` (J05) a former name is replaced only on dates
-    inside its validity range (open ends allowed); validity ranges of one
-    former name are assumed not to overlap."""
+    inside its validity range (open ends allowed). Where validity ranges of
+    one former name overlap, the one that began last counts (then the name
+    that sorts last); no row is multiplied."""
     out = df
     if not respect_dates:
         lk = name_lookup(former_names)
@@ -44,44 +44,35 @@ def normalise_names(df: DataFrame, former_names: DataFrame, cols=("home_team", "
             out = (out.join(m, on=c, how="left")
                    .withColumn(c, F.coalesce(F.col(f"_{c}_new"), F.col(c))).drop(f"_{c}_new"))
         return out.select(*df.columns)
-    lk = name_lookup(former_names, with_dates=True)
+    lk = name_lookup(former_names, with_dates=True).groupBy("former").agg(F.sort_array(F.collect_list(F.struct(
+        F.coalesce("start_date", F.lit("0001-01-01").cast("date")).alias("s"), "current", F.col("end_date").alias("e"))), False).alias("names"))
     for c in cols:
-        m = lk.select(F.col("former").alias(f"_{c}_old"), F.col("current").alias(f"_{c}_new"),
-                      F.col("start_date").alias(f"_{c}_s"), F.col("end_date").alias(f"_{c}_e"))
-        cond = ((F.col(c) == F.col(f"_{c}_old"))
-                & (F.col(f"_{c}_s").isNull() | (F.col("date") >= F.col(f"_{c}_s")))
-                & (F.col(f"_{c}_e").isNull() | (F.col("date") <= F.col(f"_{c}_e"))))
-        out = (out.join(m, on=cond, how="left")
-               .withColumn(c, F.coalesce(F.col(f"_{c}_new"), F.col(c))))
+        m = lk.select(F.col("former").alias(c), F.col("names").alias("_names"))
+        valid = F.filter("_names", lambda x: (F.col("date") >= x["s"]) & (x["e"].isNull() | (F.col("date") <= x["e"])))
+        out = out.join(m, on=c, how="left").withColumn(c, F.coalesce(F.get(valid, F.lit(0))["current"], F.col(c))).drop("_names")
     return out.select(*df.columns)
 
 
 def with_match_id(df: DataFrame) -> DataFrame:
-    """A bigint key for rows read from a file without one.
-
-    Distinct rows get the hash of all their columns (so the tie order of
-    two same-day matches does not depend on file layout). Exact copies of a
-    row share that hash and are numbered in two levels, so a group of copies
-    holding a third of the input never sits in one task: a running number
-    within (hash, input partition) — bounded by the input split size — plus
-    the number of copies in earlier input partitions (a window over the
-    per-(hash, partition) counts, at most one row per input partition).
-    Copies are indistinguishable, so which copy gets which number does not
-    change any result."""
+    """A bigint key for rows read from a file without one: unique over the
+    whole table, whatever its size.
+
+    Rows are sorted into ranges by all their columns (``skew.ranged``) and
+    numbered within them: id = range * 2^40 + number. So ids follow the
+    rows' content, and the tie order of two same-day matches doesn't depend
+    on the file layout. Exact copies are kept apart by the input split they
+    were read in and a number within it (bounded by the split), so a group of
+    copies holding a third of the input is spread over ranges, too; which
+    copy gets which id changes no result."""
     if "match_id" in df.columns:
         return df
-    from matchlab.session import materialize
     cols = list(df.columns)
-    # written once, so every branch below sees the same partition ids
-    d = materialize(df.select("*", F.xxhash64(*cols).alias("_h"), F.spark_partition_id().alias("_pid")),
-                    "rows_with_split_ids")
-    local = Window.partitionBy("_h", "_pid").orderBy("_h")
-    d = d.withColumn("_k", F.row_number().over(local))
-    counts = d.groupBy("_h", "_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_h").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_h", "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    d = d.join(offsets, on=["_h", "_pid"], how="inner")
-    return d.select(*cols, F.xxhash64(F.col("_h"), F.col("_off") + F.col("_k")).alias("match_id"))
+    # written once, so every branch below sees the same split ids
+    d = materialize(df.select("*", F.spark_partition_id().alias("_pid")), "rows_with_split_ids")
+    d = d.withColumn("_k", F.row_number().over(Window.partitionBy("_pid", *cols).orderBy("_pid")))
+    order = [*(["date"] if "date" in cols else []), *(c for c in cols if c != "date"), "_pid", "_k"]
+    n = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged(d, order).withColumn("match_id", F.col("_range").cast("bigint") * (1 << 40) + n).select(*cols, "match_id")
 
 
 def keep_predicate() -> F.Column:

@@ -3,7 +3,6 @@ scratch folder under the cluster's shared ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -29,20 +28,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    folder of our own is created and set."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext          # absent in Spark Connect sessions
-        d = d or sc.getCheckpointDir()
-    except Exception:
-        sc = None
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (or in
+    ``setCheckpointDir``). Only a session on one machine may go without: it
+    gets a folder of its own; anything else raises, as each executor would
+    write to its own disk."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="matchlab-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="matchlab-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None and sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
@@ -53,15 +50,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/matchlab-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
-
-
 def materialize(df, name: str):
     """Cut the lineage of ``df``: write it as parquet to a fresh folder under
     the shared checkpoint dir and return a DataFrame that scans it. Plans
@@ -71,15 +59,23 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
 def materialize_counted(df, name: str):
     """``materialize`` that also returns the row count, taken on the write
     path with ``observe`` (no extra job)."""
     from pyspark.sql import Observation, functions as F
-    spark = df.sparkSession
     obs = Observation(f"rows_{name}")
-    path = scratch_path(spark, name)
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["n"])
+    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("n")), name)
+    return out, int(obs.get["n"])
+
+
+def discard(df) -> None:
+    """Deletes the folder of a DataFrame that ``materialize`` returned, when
+    nothing reads it any more."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df._scratch)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -57,14 +57,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def write_counted(df: DataFrame, path: str, name: str = "rows", **kw) -> DataFrame:
-    """S05 + S11: write once, counting the rows on the write path with
-    ``observe`` (no second scan of the source), read the table back and
-    return (table_name, rows_written, rows_read, status)."""
+    """S05 + S11: write, counting the rows on the write path with ``observe``
+    (no second scan of the source), read the table back and return
+    (table_name, rows_written, rows_read, status). Range partitioning samples
+    its input, which would run and count it twice, so with ``partition_by``
+    the counted rows are written to the scratch folder first."""
     spark = df.sparkSession
-    from pyspark.sql import Observation
-    obs = Observation(f"write_{name}")
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("n")), path, **kw)
-    written = obs.get["n"]
+    from matchlab.session import discard, materialize_counted
+    staged, written = materialize_counted(df, f"staged_{name}")
+    write_table(staged, path, **kw)
+    discard(staged)
     back = read_parquet(spark, path)
     return back.agg(F.count(F.lit(1)).alias("rows_read")).select(
         F.lit(name).alias("table_name"), F.lit(written).cast("bigint").alias("rows_written"),

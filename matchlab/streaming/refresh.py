@@ -1,11 +1,13 @@
-"""Incremental refresh: new raw result files arriving in a folder are cleaned
-and appended to the match table, then the feature table is rebuilt from the
-whole match table (the trailing windows of a team depend on all its earlier
-matches, so features are recomputed, not patched).
+"""Incremental refresh: new raw result files arriving in a folder are added to
+a table of raw rows, and the match and the feature table are rebuilt from all
+of them (the trailing windows of a team depend on all its earlier matches, so
+features are recomputed, not patched; ids are those of the whole table).
 
 ``trigger(availableNow=True)`` processes what has arrived and stops — the
-streaming form of the original's daily batch run; the checkpoint keeps
-track of processed files, so a restarted run never appends a file twice.
+streaming form of the original's daily batch run. ``foreachBatch`` runs at
+least once: a batch's rows overwrite the folder of its epoch, so a batch that
+runs again leaves the same rows; a build is a folder of its own, and readers
+take the last complete one (``latest``).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from matchlab.schemas import RESULTS
 from matchlab.sources import files
 
 
-def start_refresh(spark: SparkSession, inbox: str, matches_path: str, features_path: str,
+def start_refresh(spark: SparkSession, inbox: str, raw_path: str, matches_path: str, features_path: str,
                   checkpoint: str, former_names: DataFrame | None = None,
                   cfg: FeatureConfig = NOTEBOOK, available_now: bool = True):
     raw = (spark.readStream.schema(RESULTS).option("header", "true")
@@ -27,11 +29,23 @@ def start_refresh(spark: SparkSession, inbox: str, matches_path: str, features_p
            .csv(inbox))
 
     def _batch(batch: DataFrame, epoch_id: int) -> None:
-        cleaned = clean.clean_matches(batch, former_names, cfg)
-        cleaned.write.mode("append").parquet(matches_path)
-        all_matches = files.read_parquet(spark, matches_path)
-        files.write_table(match_features(all_matches, cfg.with_(materialize_input=False)), features_path)
+        batch.write.mode("overwrite").parquet(f"{raw_path}/epoch={epoch_id}")
+        every = spark.read.schema(RESULTS).parquet(*[f"{raw_path}/epoch={e}" for e in range(epoch_id + 1)])
+        built = f"{matches_path}/build={epoch_id}"
+        clean.clean_matches(every, former_names, cfg).write.mode("overwrite").parquet(built)
+        files.write_table(match_features(files.read_parquet(spark, built), cfg.with_(materialize_input=False)),
+                          f"{features_path}/build={epoch_id}")
 
     w = raw.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 day")
     return w.start()
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete build below ``path``."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    builds = [str(x.getPath()) for x in fs.listStatus(folder)]
+    done = [b for b in builds if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{b}/_SUCCESS"))]
+    return files.read_parquet(spark, max(done, key=lambda b: int(b.rsplit("=", 1)[1])))

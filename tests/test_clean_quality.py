@@ -88,3 +88,22 @@ def test_exact_quantiles_match_numpy(spark):
     for c, arr in (("a", x), ("b", x * 2)):
         for p in (25, 50, 75):
             assert abs(got[c][f"p{p}"] - float(np.percentile(arr, p))) < 1e-9
+
+
+def test_ids_are_unique_for_copies(spark):
+    from matchlab.operators.clean import with_match_id
+    df = spark.createDataFrame([("2000-01-01", "A", i % 3) for i in range(300)] + [("2000-01-02", "B", None)] * 5, "date string, home_team string, x int").repartition(7)
+    out = with_match_id(df)
+    assert out.count() == 305 == out.select("match_id").distinct().count()
+    order = [r["date"] for r in out.orderBy("match_id").collect()]
+    assert order == sorted(order)
+
+
+def test_overlapping_validity_does_not_multiply_rows(spark):
+    from pyspark.sql import functions as F
+
+    from matchlab.operators.clean import normalise_names
+    df = spark.createDataFrame([("2000-06-01", "Old", "X"), ("1990-01-01", "Old", "X"), ("2010-01-01", "Old", "Old")], "date string, home_team string, away_team string").withColumn("date", F.col("date").cast("date"))
+    names = spark.createDataFrame([("New", "Old", "1999-01-01", "2005-01-01"), ("Newer", "Old", "2000-01-01", "2003-01-01")], "current string, former string, start_date string, end_date string")
+    got = sorted((str(r["date"]), r["home_team"], r["away_team"]) for r in normalise_names(df, names, respect_dates=True).collect())
+    assert got == [("1990-01-01", "Old", "X"), ("2000-06-01", "Newer", "X"), ("2010-01-01", "Old", "Old")]

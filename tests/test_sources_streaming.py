@@ -27,18 +27,72 @@ def test_write_counted(spark):
     assert r["rows_written"] == r["rows_read"] == 716 and r["status"] == "PASS"
 
 
+def test_write_counted_partitioned_and_sorted(spark):
+    m = adapter.matches(spark, SF001).withColumn("year", F.year("date"))
+    path = scratch_path(spark, "rt")
+    r = files.write_counted(m, path, "m", partition_by=["year"], sort_within=["date", "match_id"]).first()
+    assert r["rows_written"] == r["rows_read"] == 716 and r["status"] == "PASS"
+    # the order inside each file
+    got = spark.read.parquet(path).select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("k"), "date", "match_id").collect()
+    by = {}
+    for x in sorted(got, key=lambda x: x.k):
+        by.setdefault(x.f, []).append((x.date, x.match_id))
+    assert all(v == sorted(v) for v in by.values()) and len(by) > 1
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    import pytest
+
+    from matchlab import session
+
+    class Conf:
+        def get(self, k, d=None):
+            return d
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
+
+
+def test_discard(spark):
+    from matchlab.session import discard, materialize
+    df = materialize(spark.range(5), "gone")
+    assert df.count() == 5 and os.path.isdir(df._scratch.replace("file:", ""))
+    discard(df)
+    assert not os.path.isdir(df._scratch.replace("file:", ""))
+
+
 def test_streaming_refresh(spark):
-    from matchlab.streaming.refresh import start_refresh
+    from matchlab.streaming.refresh import latest, start_refresh
     base = scratch_path(spark, "refresh")
     inbox = os.path.join(base, "inbox")
     raw = adapter.raw_results(spark, SF001).drop("match_id")
+
+    def run(checkpoint):
+        q = start_refresh(spark, inbox, f"{base}/raw", f"{base}/matches", f"{base}/features", f"{base}/{checkpoint}", cfg=NOTEBOOK.with_(min_date=None))
+        q.awaitTermination(300)
+        assert q.exception() is None
+        return latest(spark, f"{base}/matches"), latest(spark, f"{base}/features")
+
     files.write_csv(raw, inbox)
-    q = start_refresh(spark, inbox, os.path.join(base, "matches"), os.path.join(base, "features"),
-                      os.path.join(base, "ckpt"), cfg=NOTEBOOK.with_(min_date=None))
-    q.awaitTermination(300)
-    feats = spark.read.parquet(os.path.join(base, "features"))
-    clean_n = spark.read.parquet(os.path.join(base, "matches")).count()
-    assert feats.count() == clean_n > 0
+    m, f = run("ckpt")
+    n = m.count()
+    assert f.count() == n > 0
+    # the same rows in a second file: twice as many matches, ids still unique
+    files.write_csv(raw.coalesce(1), inbox, mode="append")
+    m, f = run("ckpt")
+    assert m.count() == f.count() == 2 * n == m.select("match_id").distinct().count()
+    # a batch that runs again (a new checkpoint replays everything as epoch 0) adds nothing
+    m, _ = run("replayed")
+    assert spark.read.parquet(f"{base}/matches/build=0").count() == 2 * n
 
 
 def test_run_all(spark):
