@@ -332,10 +332,38 @@ preds AS (
          (SELECT CAST(max(date) AS TIMESTAMP) FROM matches) AS predicted_at
   FROM ff f CROSS JOIN prim p)"""
 
+# the fixed linear model (see matchlab.operators.ml)
+_FIXED_WEIGHTS = [("win_rate_last10", 1.5), ("draw_rate_last10", -0.5), ("avg_goals_scored_last20", 0.375),
+                  ("avg_goals_conceded_last20", -0.25), ("avg_goal_diff_last10", 0.25), ("goal_diff_trend", 0.125),
+                  ("ranking_proxy", 1.0), ("ranking_change", 0.75)]
+_FIXED_S = "CAST(0.0 AS DOUBLE)"
+for _stem, _w in _FIXED_WEIGHTS:
+    _FIXED_S = f"({_FIXED_S} + (CAST(home_{_stem} AS DOUBLE) - CAST(away_{_stem} AS DOUBLE)) * CAST({_w} AS DOUBLE))"
+_FIXED_S = f"({_FIXED_S} + (CAST(h2h_team_a_win_rate AS DOUBLE) - CAST(0.33 AS DOUBLE)) * CAST(1.25 AS DOUBLE))"
+
+
+def _fixed(source):
+    """``source`` with prediction and probabilities."""
+    return f"""SELECT * EXCLUDE (_s, _w, _d, _l), _w / (_w + _d + _l) AS win_prob, _d / (_w + _d + _l) AS draw_prob, _l / (_w + _d + _l) AS loss_prob,
+         CAST(CASE WHEN _w >= _d AND _w >= _l THEN 0 WHEN _d >= _l THEN 1 ELSE 2 END AS DOUBLE) AS prediction
+  FROM (SELECT *, exp(_s) AS _w, exp(CAST(0.0625 AS DOUBLE)) AS _d, exp(-_s) AS _l FROM (SELECT *, {_FIXED_S} AS _s FROM {source}))"""
+
+
+def _scored(source, extra=""):
+    return f"""SELECT fixture_id, group_name, home_team, away_team, match_date,
+         CASE prediction WHEN 0 THEN 'W' WHEN 1 THEN 'D' ELSE 'L' END AS predicted_result,
+         round(win_prob, 4) AS win_prob, round(draw_prob, 4) AS draw_prob, round(loss_prob, 4) AS loss_prob,
+         round(greatest(win_prob, draw_prob, loss_prob), 4) AS confidence,
+         (SELECT CAST(max(date) AS TIMESTAMP) FROM matches) AS predicted_at{extra} FROM ({_fixed(source)})"""
+
+
+_FIXEDQ = _FFQ + ",\npreds AS (" + _scored("ff") + ")"
+
 _ALL = _MATCHES + _tv() + _tf_sql() + _H2HQ + _MF
 _SQL_PRED = _with(_ALL, _PREDQ)
 _SQL_FF = _with(_ALL, _FFQ)
 _SQL_ML = _with(_ALL, _MLQ)
+_SQL_FIXED = _with(_ALL, _FIXEDQ)
 
 
 def _last_n_sql(n):
@@ -384,10 +412,6 @@ mtf AS (
   GROUP BY team)"""
 
 
-def _union_counts(table, items):
-    return "\nUNION ALL\n".join(items)
-
-
 def _count_filter(sql: str) -> str:
     """count_if(x) -> count(*) FILTER (WHERE x): BIGINT like Spark's count_if
     (DuckDB's count_if returns HUGEINT)."""
@@ -519,6 +543,7 @@ WHERE team IN (SELECT trim(former) FROM former)"""
         "UNION ALL SELECT away_team FROM matches)",
         "SELECT 'mart_head_to_head', count(*) FROM h2h_all",
         "SELECT 'mart_predictions_input', count(*) FROM ff",
+        "SELECT 'predictions', count(*) FROM ff",
     ]
     values = ", ".join(f"('{n}', {v})" for n, v in contract)
     q["q09_row_contract"] = _with(_ALL, _RAW, _FFQ, _h2h_all()) + f"""
@@ -684,6 +709,46 @@ SELECT CASE (SELECT m FROM maj) WHEN 0 THEN 'W' WHEN 1 THEN 'D' ELSE 'L' END AS
 FROM b CROSS JOIN md"""
     P = _SQL_PRED
     q["m14_prior_predictions"] = P + "SELECT * FROM preds"
+    P = _SQL_FIXED
+    cut = lambda sql: sql.replace("DATE '1950-01-01'", "DATE '1997-07-01'").replace("DATE '1990-01-01'", "DATE '1999-01-01'")
+    q["p09_min_date"] = cut(_FEAT) + "SELECT * FROM mf"
+    q["w10_before_cut"] = q["w10_w13_rolling_dag_preset"].replace("FROM pivot_ok)", "FROM pivot_ok WHERE date >= DATE '1997-07-01')")
+    q["m01_training_cut"] = _SQL_ML.replace("DATE '1990-01-01'", "DATE '1999-01-01'") + "SELECT * FROM ts"
+    q["m02_imputed"] = _SQL_ML + """
+, gaps AS (SELECT match_id, CASE WHEN match_id % 7 <> 0 THEN home_win_rate_last10 END AS x, away_win_rate_last10 FROM train)
+SELECT match_id, coalesce(x, (SELECT CAST(median(x) AS DOUBLE) FROM gaps)) AS home_win_rate_last10, away_win_rate_last10 FROM gaps"""
+    q["j07_j08_unknown_teams"] = q["m13_fixture_features"].replace(
+        "WHERE x.date >= DATE '1950-01-01'", "WHERE x.date >= DATE '1950-01-01' AND x.home_team <> 'JAPAN' AND x.away_team <> 'JAPAN'")
+    for name in ("metrics", "class_report", "confusion", "lift"):
+        k = {"metrics": "m08", "class_report": "m09", "confusion": "m10", "lift": "m11"}[name]
+        q[f"{k}_fixed_{name}"] = q[f"{k}_baseline_{name}"].replace(
+            "SELECT t.*, p.majority AS prediction, p.win_prob, p.draw_prob, p.loss_prob\n  FROM test t CROSS JOIN prim p", _fixed("test"))
+    q["m15_scored_pairs"] = _with(_MATCHES) + _scored(f"({q['m15_live_pair_features']})")
+    total = 2 * sum(abs(w) for _, w in _FIXED_WEIGHTS) + 1.25
+    weight = {f"{side}_{x}": abs(w) for x, w in _FIXED_WEIGHTS for side in ("home", "away")} | {"h2h_team_a_win_rate": 1.25, "h2h_total": 0.0}
+    imp = ", ".join(f"('{c}', CAST({round(weight[c] * 100.0 / total, 4)} AS DOUBLE))" for c in _FEATURES)
+    long = " UNION ALL ".join(f"SELECT fixture_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM top" for c in _FEATURES)
+
+    def _drivers(score, join):
+        return f"""
+, top AS (SELECT ff.* FROM ff JOIN (SELECT fixture_id FROM preds ORDER BY confidence DESC, fixture_id LIMIT 10) USING (fixture_id)),
+imp AS (SELECT * FROM (VALUES {imp}) v(feature, w)), long AS ({long}),
+sc AS (SELECT fixture_id, feature, value, round({score}, 9) AS score FROM long JOIN imp USING (feature) {join}),
+rk AS (SELECT *, row_number() OVER (PARTITION BY fixture_id ORDER BY abs(score) DESC, feature) AS rank FROM sc)
+SELECT fixture_id, CAST(rank AS INTEGER) AS rank, feature, value, score, CASE WHEN score > 0 THEN 'up' ELSE 'down' END AS direction
+FROM rk WHERE rank <= 5"""
+
+    q["m18_drivers_raw"] = P + _drivers("value * w", "")
+    q["m17_drivers_fixed"] = _with(_ALL, _FIXEDQ, _MLQ) + (
+        ", st AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std FROM train" for c in _FEATURES) + ")"
+    ) + _drivers("(value - mean) / (std + 1e-9) * w", "JOIN st USING (feature)")
+    q["l11_pair_predictions"] = P + ("SELECT * FROM preds WHERE least(home_team, away_team) = 'CHINA' "
+                                     "AND greatest(home_team, away_team) = 'JAPAN'")
+    q["l16_inventory"] = _with(_MATCHES, _FIX) + """
+, t AS (SELECT 'matches' AS table_name, count(*) AS n_rows FROM matches UNION ALL SELECT 'fixtures', count(*) FROM fixtures)
+SELECT * FROM t UNION ALL SELECT 'TOTAL', CAST(sum(n_rows) AS BIGINT) FROM t"""
+    q["q11_gate"] = q["q10_column_tests"]
+    q["s11_round_trip_partitioned"] = q["s11_round_trip"]
     q["l09_top_confidence"] = P + "SELECT * FROM preds ORDER BY confidence DESC, fixture_id LIMIT 10"
     q["l11_group_predictions"] = P + ("SELECT * FROM preds WHERE group_name = 'ASIA' "
                                       "ORDER BY match_date, group_name, fixture_id")
@@ -692,10 +757,10 @@ SELECT fixture_id, strftime(match_date, '%d %b') AS date, group_name,
        home_team || ' vs ' || away_team AS fixture,
        CASE predicted_result WHEN 'W' THEN home_team || ' Wins' WHEN 'L' THEN away_team || ' Wins'
             WHEN 'D' THEN 'Draw' END AS prediction,
-       printf('%.1f%%', round(win_prob * 100.0, 1)) AS win,
-       printf('%.1f%%', round(draw_prob * 100.0, 1)) AS draw,
-       printf('%.1f%%', round(loss_prob * 100.0, 1)) AS loss,
-       printf('%.1f%%', round(confidence * 100.0, 1)) AS confidence
+       printf('%d.%d%%', CAST(floor(win_prob * 1000.0 + 0.5) AS BIGINT) // 10, CAST(floor(win_prob * 1000.0 + 0.5) AS BIGINT) % 10) AS win,
+       printf('%d.%d%%', CAST(floor(draw_prob * 1000.0 + 0.5) AS BIGINT) // 10, CAST(floor(draw_prob * 1000.0 + 0.5) AS BIGINT) % 10) AS draw,
+       printf('%d.%d%%', CAST(floor(loss_prob * 1000.0 + 0.5) AS BIGINT) // 10, CAST(floor(loss_prob * 1000.0 + 0.5) AS BIGINT) % 10) AS loss,
+       printf('%d.%d%%', CAST(floor(confidence * 1000.0 + 0.5) AS BIGINT) // 10, CAST(floor(confidence * 1000.0 + 0.5) AS BIGINT) % 10) AS confidence
 FROM preds"""
     q["l13_standings"] = P + """
 , members AS (SELECT DISTINCT group_name, team FROM (

@@ -87,9 +87,11 @@ def label_text(c) -> Column:
 
 
 def pct_text(c, digits: int = 1) -> Column:
-    """0.4567 -> '45.7%' (rounded half up first, so the text does not
-    depend on how a formatter breaks binary ties)."""
-    return F.format_string(f"%.{digits}f%%", F.round(col_of(c) * 100.0, digits))
+    """0.4567 -> '45.7%'. Rounded half up as a whole number first, so the
+    text doesn't depend on how an engine rounds or formats binary ties."""
+    scale = 10 ** digits
+    t = F.floor(col_of(c) * float(100 * scale) + 0.5).cast("bigint")
+    return F.format_string(f"%d.%0{digits}d%%", F.floor(t / scale).cast("bigint"), t % scale)
 
 
 def day_month(c) -> Column:

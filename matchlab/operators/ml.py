@@ -13,15 +13,16 @@ import datetime as _dt
 import json
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import label_code, label_text, result_text
 from matchlab.operators.skew import running_total
 from matchlab.schemas import FEATURE_COLS, LABEL_MAP
+from matchlab.session import discard, materialize, materialize_counted, scratch_path
 
 EPS = 1e-15
 PROB_COLS = ["win_prob", "draw_prob", "loss_prob"]
@@ -47,7 +48,8 @@ def split_bucket(col: str = "match_id") -> Column:
 
 def split(df: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "match_id"):
     """(train, test) by hash bucket; each class keeps the ratio in
-    expectation."""
+    expectation (the share of a class of n rows in the test part has a
+    standard deviation of sqrt(ratio * (1 - ratio) / n))."""
     b = split_bucket(key)
     cut = int(round(cfg.test_ratio * 10000))
     return df.filter(b >= cut), df.filter(b < cut)
@@ -76,22 +78,22 @@ def feature_medians(df: DataFrame, cols=FEATURE_COLS) -> DataFrame:
         .alias("median"))
 
 
-def impute(train: DataFrame, others: list[DataFrame], cfg: FeatureConfig = NOTEBOOK, cols=FEATURE_COLS):
-    """Fill feature nulls with the train medians (``impute='median'``)
-    or 0 (``'zero'``). Only columns of ``train`` that have nulls are
-    imputed (one aggregate finds them); their medians are one number per
-    column, collected."""
+def impute_values(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, cols=FEATURE_COLS) -> dict:
+    """What fills nulls: the train medians (``impute='median'``) of the
+    columns that have nulls (one aggregate finds them), or 0 (``'zero'``)."""
     if cfg.impute == "zero":
-        values = {c: 0.0 for c in cols}
-    else:
-        nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-        todo = [c for c in cols if nulls[c]]
-        values = {} if not todo else {
-            r["column_name"]: float(r["median"]) for r in feature_medians(train, todo).collect()
-            if r["median"] is not None}
-    if not values:
-        return [train] + list(others)
-    return [d.fillna(values) for d in [train] + list(others)]
+        return {c: 0.0 for c in cols}
+    nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    todo = [c for c in cols if nulls[c]]
+    if not todo:
+        return {}
+    return {r["column_name"]: float(r["median"]) for r in feature_medians(train, todo).collect() if r["median"] is not None}
+
+
+def impute(train: DataFrame, others: list[DataFrame], cfg: FeatureConfig = NOTEBOOK, cols=FEATURE_COLS):
+    """All tables with the nulls of ``cols`` filled."""
+    values = impute_values(train, cfg, cols)
+    return [d.fillna(values) if values else d for d in [train] + list(others)]
 
 
 def scaler_stats(train: DataFrame, cols=FEATURE_COLS, digits: int = 9) -> DataFrame:
@@ -105,92 +107,138 @@ def scaler_stats(train: DataFrame, cols=FEATURE_COLS, digits: int = 9) -> DataFr
 
 # ---------------------------------------------------------------- M05-M07
 
-def _classifier(model: str, cfg: FeatureConfig, num_trees: int, max_depth: int, rate: float,
-                subsample: float, colsample: float):
+#: Partitions of the training table. MLlib samples rows by partition, so a
+#: fixed number, by hash of the id and sorted, gives the same model on any cluster.
+TRAIN_PARTITIONS = 32
+#: At most about so many labelled rows are fitted on; above it, rows are taken
+#: by hash of their id, in equal shares of any group.
+TRAIN_ROWS = 50_000_000
+
+
+def _classifier(model: str, cfg: FeatureConfig, num_trees: int, max_depth: int, subsample: float,
+                colsample: float, min_instances: int, min_gain: float):
     if model == "forest":
         return RandomForestClassifier(
             featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=max_depth,
-            subsamplingRate=subsample, featureSubsetStrategy=str(colsample), seed=cfg.seed)
+            subsamplingRate=subsample, featureSubsetStrategy=str(colsample), minInstancesPerNode=min_instances,
+            minInfoGain=min_gain, seed=cfg.seed)
     if model == "logistic":
         return LogisticRegression(featuresCol="features", labelCol="label", family="multinomial",
                                   maxIter=200, regParam=0.01)
     raise ValueError(f"unknown model {model!r}")
 
 
+def _prepare(data: DataFrame, medians: dict | None, scale: bool) -> list:
+    """Pipeline stages from the 18 columns to ``features``. Nulls are filled
+    with ``medians`` inside the pipeline, so a saved model has them, too."""
+    fill = ", ".join(f"coalesce(CAST({c} AS DOUBLE), {float((medians or {}).get(c, 0.0))!r}D) AS _x_{c}" for c in FEATURE_COLS)
+    stages = [SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
+              VectorAssembler(inputCols=[f"_x_{c}" for c in FEATURE_COLS], outputCol="features_raw" if scale else "features")]
+    if scale:       # a linear model only: trees don't depend on the scale
+        stages.append(StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True))
+    return stages
+
+
 def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest", num_trees: int = 300,
         max_depth: int = 4, rate: float = 0.05, subsample: float = 0.8, colsample: float = 0.8,
-        early_stopping_rounds: int = 20, validation_ratio: float = 0.1):
+        early_stopping_rounds: int = 20, validation_ratio: float = 0.1, min_instances: int = 3,
+        min_gain: float = 0.0, medians: dict | None = None, max_rows: int = TRAIN_ROWS):
     """M04+M05 (+M06 for ``model='gbt'``): a fitted model whose
     ``transform`` adds ``probability`` (3 classes) and ``prediction``.
-
-    ``gbt``: three one-vs-rest MLlib GBTs (step ``rate``), each with early
-    stopping on a hash-held-out validation part of ``train`` (never the
-    test split), probabilities normalised to sum 1.
-    """
-    assembler = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features_raw", handleInvalid="keep")
-    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
-    data = _training_input(train)
+    ``min_instances`` and ``min_gain`` limit leaves and splits.
+
+    ``gbt``: three one-vs-rest MLlib GBTs (step ``rate``), each stopped early
+    by ``early_stopping_rounds`` on a hash-held-out validation part of
+    ``train`` (never the test split), probabilities normalised to sum 1.
+    MLlib draws features per node for forests only, so ``colsample`` is the
+    forest's."""
+    data = _training_input(train, max_rows)
     try:
         if model == "gbt":
             return OneVsRestGBT(cfg, max_depth, rate, subsample, num_trees, early_stopping_rounds,
-                                validation_ratio).fit(data, assembler, scaler)
-        clf = _classifier(model, cfg, num_trees, max_depth, rate, subsample, colsample)
-        return Pipeline(stages=[assembler, scaler, clf]).fit(data)
+                                validation_ratio, min_instances, min_gain).fit(data, medians)
+        clf = _classifier(model, cfg, num_trees, max_depth, subsample, colsample, min_instances, min_gain)
+        return Pipeline(stages=[*_prepare(data, medians, model == "logistic"), clf]).fit(data)
     finally:
-        data.unpersist()
+        discard(data)
 
 
-def _training_input(train: DataFrame) -> DataFrame:
-    """Spread a small training table over at least the default parallelism
-    (a large one keeps its partitions, no extra shuffle) and keep it for
-    the several passes of scaler and tree fitting. A lost cached block is
-    recomputed from its lineage."""
-    from pyspark import StorageLevel
-    data = train
-    try:
-        n = train.sparkSession.sparkContext.defaultParallelism
-        if train.rdd.getNumPartitions() < n:
-            data = train.repartition(n)
-    except Exception:   # no RDD view (Spark Connect): keep the partitioning
-        pass
-    return data.persist(StorageLevel.MEMORY_AND_DISK)
+def _training_input(train: DataFrame, max_rows: int) -> DataFrame:
+    """The training table dealt over ``TRAIN_PARTITIONS`` by id and written
+    once: MLlib passes over it many times."""
+    data, n = materialize_counted(train.repartition(TRAIN_PARTITIONS, "match_id").sortWithinPartitions("match_id"), "training")
+    if n > max_rows:
+        share = F.pmod(F.xxhash64("match_id"), F.lit(1_000_000)) < int(1_000_000 * max_rows / n)
+        data, whole = materialize(data.where(share).repartition(TRAIN_PARTITIONS, "match_id").sortWithinPartitions("match_id"), "training"), data
+        discard(whole)
+    return data
+
+
+def best_iteration(losses: list[float], patience: int) -> int:
+    """The round (from 1) with the smallest loss among those before ``patience``
+    rounds in a row brought none smaller."""
+    best, at = float("inf"), 0
+    for i, x in enumerate(losses, 1):
+        if x < best:
+            best, at = x, i
+        elif i - at >= patience:
+            break
+    return max(at, 1)
 
 
 class OneVsRestGBT:
     """Three binary GBTs (class k vs rest) with normalised probabilities."""
 
-    def __init__(self, cfg, max_depth, rate, subsample, max_iter, patience, validation_ratio):
+    def __init__(self, cfg, max_depth, rate, subsample, max_iter, patience, validation_ratio, min_instances=1, min_gain=0.0):
         self.cfg, self.max_depth, self.rate, self.subsample = cfg, max_depth, rate, subsample
         self.max_iter, self.patience, self.validation_ratio = max_iter, patience, validation_ratio
-        self.models = []
-
-    def fit(self, train, assembler, scaler):
+        self.min_instances, self.min_gain = min_instances, min_gain
+        self.models, self.best_iterations = [], []
+
+    def _gbt(self, rounds):
+        return GBTClassifier(featuresCol="features", labelCol="_y", maxDepth=self.max_depth, stepSize=self.rate,
+                             subsamplingRate=self.subsample, maxIter=rounds, minInstancesPerNode=self.min_instances,
+                             minInfoGain=self.min_gain, seed=self.cfg.seed)
+
+    def fit(self, train, medians=None):
+        """Each class's model is grown to the full number of rounds, its loss
+        after every round is taken on the validation part, and the rounds up to
+        the best one are kept (fitted again: the same seed gives the same trees)."""
         b = split_bucket("match_id")
         t = train.withColumn("_val", ((b * 7919) % 10000) < int(self.validation_ratio * 10000))
-        prep = Pipeline(stages=[assembler, scaler]).fit(t)
-        self.prep = prep
-        data = prep.transform(t)
+        self.prep = Pipeline(stages=_prepare(t, medians, False)).fit(t)
+        data = self.prep.transform(t)
         for k in sorted(LABEL_MAP.values()):
-            gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxDepth=self.max_depth,
-                                stepSize=self.rate, subsamplingRate=self.subsample, maxIter=self.max_iter,
-                                validationIndicatorCol="_val", validationTol=0.01, seed=self.cfg.seed)
-            self.models.append(gbt.fit(data.withColumn("_y", (F.col("label") == k).cast("double"))))
+            own = data.withColumn("_y", (F.col("label") == k).cast("double"))
+            grown = self._gbt(self.max_iter).fit(own.where("NOT _val"))
+            held = own.where("_val")
+            losses = [] if held.isEmpty() else grown.evaluateEachIteration(held)
+            rounds = best_iteration(losses, self.patience) if losses else self.max_iter
+            self.best_iterations.append(rounds)
+            self.models.append(grown if rounds == self.max_iter else self._gbt(rounds).fit(own.where("NOT _val")))
         return self
 
+    def save(self, path: str) -> None:
+        for name, m in [("prepare", self.prep), *((f"class_{k}", m) for k, m in enumerate(self.models))]:
+            m.write().overwrite().save(f"{path}/{name}")
+
+    @classmethod
+    def load(cls, path: str):
+        out = cls(NOTEBOOK, 0, 0.0, 0.0, 0, 0, 0.0)
+        out.prep = PipelineModel.load(f"{path}/prepare")
+        out.models = [GBTClassificationModel.load(f"{path}/class_{k}") for k in sorted(LABEL_MAP.values())]
+        return out
+
     def transform(self, df):
         out = self.prep.transform(df)
         for k, m in enumerate(self.models):
             out = (m.transform(out).withColumn(f"_q{k}", vector_to_array(F.col("probability"))[1])
                    .drop("probability", "rawPrediction", "prediction"))
-        total = sum((F.col(f"_q{k}") for k in range(1, 3)), F.col("_q0"))
-        probs = F.array(*[F.col(f"_q{k}") / total for k in range(3)])
-        out = out.withColumn("_pa", probs)
-        pred = (F.when((F.col("_pa")[0] >= F.col("_pa")[1]) & (F.col("_pa")[0] >= F.col("_pa")[2]), 0.0)
-                .when(F.col("_pa")[1] >= F.col("_pa")[2], 1.0).otherwise(2.0))
-        from pyspark.ml.functions import array_to_vector
-        drop = [c for c in out.columns if c.startswith("_q")] + ["features", "features_raw", "_val"]
-        return (out.drop(*[c for c in drop if c in out.columns]).withColumn("probability", array_to_vector("_pa"))
-                .withColumn("prediction", pred).drop("_pa"))
+        total = F.col("_q0") + F.col("_q1") + F.col("_q2")
+        out = out.withColumn("_pa", F.array(*[F.col(f"_q{k}") / total for k in range(3)]))
+        p = F.col("_pa")
+        pred = F.when((p[0] >= p[1]) & (p[0] >= p[2]), 0.0).when(p[1] >= p[2], 1.0).otherwise(2.0)
+        return out.select(*df.columns, array_to_vector("_pa").alias("probability"), pred.alias("prediction"))
 
 
 def predict(model, df: DataFrame) -> DataFrame:
@@ -289,6 +337,39 @@ def prior_predict(train: DataFrame, df: DataFrame) -> DataFrame:
                      *[probs[c].alias(c) for c in PROB_COLS])
 
 
+#: Weights of a fixed linear model: a stem's weight counts for the home side and
+#: against the away side. Not fitted; its predictions differ from row to row and
+#: can be written in SQL, so reports and metrics can be checked on it.
+FIXED_STEM_WEIGHTS = {
+    "win_rate_last10": 1.5, "draw_rate_last10": -0.5, "avg_goals_scored_last20": 0.375,
+    "avg_goals_conceded_last20": -0.25, "avg_goal_diff_last10": 0.25, "goal_diff_trend": 0.125,
+    "ranking_proxy": 1.0, "ranking_change": 0.75}
+FIXED_H2H_WEIGHT, FIXED_DRAW = 1.25, 0.0625
+
+
+def fixed_predict(df: DataFrame) -> DataFrame:
+    """The fixed linear model: prediction, predicted_result and the softmax of
+    (s, ``FIXED_DRAW``, -s), where s is the weighted sum of the features."""
+    s = F.lit(0.0)
+    for stem, w in FIXED_STEM_WEIGHTS.items():
+        s = s + (F.col(f"home_{stem}") - F.col(f"away_{stem}")) * w
+    s = s + (F.col("h2h_team_a_win_rate") - 0.33) * FIXED_H2H_WEIGHT
+    out = df.withColumn("_s", s).withColumns({"_w": F.exp("_s"), "_d": F.exp(F.lit(FIXED_DRAW)), "_l": F.exp(-F.col("_s"))})
+    total = F.col("_w") + F.col("_d") + F.col("_l")
+    out = out.withColumns({p: F.col(e) / total for p, e in zip(PROB_COLS, ("_w", "_d", "_l"))})
+    best = (F.when((F.col("_w") >= F.col("_d")) & (F.col("_w") >= F.col("_l")), 0.0)
+            .when(F.col("_d") >= F.col("_l"), 1.0).otherwise(2.0))
+    return out.withColumn("prediction", best).select(*df.columns, "prediction", label_text("prediction").alias("predicted_result"), *PROB_COLS)
+
+
+def fixed_importance(spark) -> DataFrame:
+    """feature, importance_pct of the fixed model: shares of the absolute weights."""
+    w = {f"{side}_{stem}": abs(x) for stem, x in FIXED_STEM_WEIGHTS.items() for side in ("home", "away")}
+    w |= {"h2h_team_a_win_rate": FIXED_H2H_WEIGHT, "h2h_total": 0.0}
+    total = sum(w[c] for c in FEATURE_COLS)
+    return spark.createDataFrame([(c, round(w[c] * 100.0 / total, 4)) for c in FEATURE_COLS], "feature string, importance_pct double")
+
+
 def baseline_lift(train: DataFrame, test: DataFrame, pred: DataFrame, digits: int = 9) -> DataFrame:
     """Majority class of train, its accuracy on test, the model's
     accuracy and the lift in percent (null when the baseline is 0)."""
@@ -305,24 +386,28 @@ def baseline_lift(train: DataFrame, test: DataFrame, pred: DataFrame, digits: in
 # ---------------------------------------------------------------- M12
 
 def feature_importance(model, top: int | None = None) -> DataFrame:
-    """Feature, importance (the forest's normalised gain), percent of
-    total, rank. One row per feature (18), built from the fitted model."""
+    """Feature, importance, percent of total, rank; for a forest with
+    ``mean_gain`` (per split) and ``n_splits`` as well, and importance is the
+    mean gain. One row per feature (18), built from the fitted model."""
     spark = _spark()
     last = model.stages[-1] if isinstance(model, PipelineModel) else None
     if last is not None and hasattr(last, "featureImportances"):
-        imp = [float(x) for x in last.featureImportances.toArray()]
-    elif isinstance(model, OneVsRestGBT):
-        arrs = [m.featureImportances.toArray() for m in model.models]
-        imp = [float(sum(a[i] for a in arrs) / len(arrs)) for i in range(len(FEATURE_COLS))]
+        stats = {r["feature"]: r for r in tree_split_stats(model, scratch_path(spark, "forest")).collect()}      # 18 rows at most
+        rows = [(c, float(stats[c]["mean_gain"]) if c in stats else 0.0, int(stats[c]["n_splits"]) if c in stats else 0) for c in FEATURE_COLS]
+        df = spark.createDataFrame(rows, "feature string, mean_gain double, n_splits bigint").withColumn("importance", F.col("mean_gain"))
     else:
-        coef = last.coefficientMatrix.toArray()
-        imp = [float(sum(abs(coef[r][i]) for r in range(coef.shape[0]))) for i in range(len(FEATURE_COLS))]
-    df = spark.createDataFrame(list(zip(FEATURE_COLS, imp)), "feature string, importance double")
+        if isinstance(model, OneVsRestGBT):
+            arrs = [m.featureImportances.toArray() for m in model.models]
+            imp = [float(sum(a[i] for a in arrs) / len(arrs)) for i in range(len(FEATURE_COLS))]
+        else:
+            coef = last.coefficientMatrix.toArray()
+            imp = [float(sum(abs(coef[r][i]) for r in range(coef.shape[0]))) for i in range(len(FEATURE_COLS))]
+        df = spark.createDataFrame(list(zip(FEATURE_COLS, imp)), "feature string, importance double")
     w = Window.orderBy(F.desc("importance"), F.asc("feature"))
     out = df.select("feature", "importance",
                     F.round(F.col("importance") * 100.0 / F.sum("importance").over(Window.partitionBy(F.lit(1))), 4)
                     .alias("importance_pct"),
-                    F.row_number().over(w).alias("rank"))
+                    F.row_number().over(w).alias("rank"), *[c for c in ("mean_gain", "n_splits") if c in df.columns])
     return out.filter(F.col("rank") <= top) if top else out
 
 
@@ -369,15 +454,14 @@ def drivers(scored: DataFrame, stats: DataFrame, importance: DataFrame, k: int =
     """M17 (``scale='z'``: (x - mean) / (std + 1e-9) x importance percent) and
     M18 (``scale='raw'``: x x importance): the k features with the largest
     absolute score per fixture, with direction. ``scored`` must carry the
-    18 feature columns (``keep_features=True``). The per-feature tables
-    have 18 rows by construction and are broadcast."""
+    18 feature columns (``keep_features=True``)."""
     long = scored.select("fixture_id", F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in FEATURE_COLS])))
     imp = importance.select("feature", F.col("importance_pct").alias("_imp"))
-    j = long.join(F.broadcast(imp), on="feature", how="left")
+    j = long.join(imp, on="feature", how="left")
     if scale == "z":
         st = stats.select(F.col("column_name").alias("feature"), "mean", "std")
-        j = j.join(F.broadcast(st), on="feature", how="left")
+        j = j.join(st, on="feature", how="left")
         s = (F.col("value") - F.col("mean")) / (F.col("std") + 1e-9) * F.coalesce(F.col("_imp"), F.lit(0.0))
     elif scale == "raw":
         s = F.col("value") * F.coalesce(F.col("_imp"), F.lit(0.0))
@@ -396,10 +480,16 @@ def result_label(df: DataFrame) -> DataFrame:
 
 
 def save_model(model, path: str, metadata: dict) -> None:
-    """The fitted pipeline and a one-row metadata table next to it."""
-    model.write().overwrite().save(f"{path}/model")
-    spark = _spark()
+    """The fitted model (with the values that fill nulls) and a one-row
+    metadata table next to it; ``metadata`` should have n_training_samples."""
     md = dict(metadata)
+    if isinstance(model, OneVsRestGBT):
+        model.save(f"{path}/model")
+        md.setdefault("best_iteration", model.best_iterations)
+        md["model"] = "gbt"
+    else:
+        model.write().overwrite().save(f"{path}/model")
+    spark = _spark()
     md.setdefault("feature_cols", FEATURE_COLS)
     md.setdefault("label_map", LABEL_MAP)
     md.setdefault("training_date", _dt.datetime.now(_dt.timezone.utc).isoformat())
@@ -407,7 +497,13 @@ def save_model(model, path: str, metadata: dict) -> None:
         .write.mode("overwrite").json(f"{path}/metadata")
 
 
+def load_metadata(path: str) -> dict:
+    return json.loads(_spark().read.json(f"{path}/metadata").first()["metadata"])
+
+
 def load_model(path: str):
+    if load_metadata(path).get("model") == "gbt":
+        return OneVsRestGBT.load(f"{path}/model")
     return PipelineModel.load(f"{path}/model")
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from matchlab.functions.columns import day_month, flip_result, pct_text, result_text
+from matchlab.functions.columns import day_month, flip_result, pair_a, pair_b, pct_text, result_text
 from matchlab.operators.perspective import group_members, predicted_wins
 
 
@@ -60,9 +60,7 @@ def filter_predictions(predictions: DataFrame, group: str | None = None,
     if group is not None:
         p = p.filter(F.col("group_name") == group)
     if pair is not None:
-        a, b = pair
-        p = p.filter(((F.col("home_team") == a) & (F.col("away_team") == b))
-                     | ((F.col("home_team") == b) & (F.col("away_team") == a)))
+        p = p.filter((pair_a("home_team", "away_team") == min(pair)) & (pair_b("home_team", "away_team") == max(pair)))
     return p.orderBy("match_date", "group_name", "fixture_id")
 
 
@@ -128,9 +126,3 @@ def with_features(predictions: DataFrame, features: DataFrame) -> DataFrame:
     f = features.drop(*[c for c in ("group_name", "home_team", "away_team", "match_date")
                         if c in features.columns])
     return predictions.join(f, on="fixture_id", how="inner")
-
-
-def mode(df: DataFrame, col: str) -> DataFrame:
-    """The most frequent value (ties -> smallest value)."""
-    return (df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), F.asc(col)).limit(1).select(col))

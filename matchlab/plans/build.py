@@ -35,14 +35,12 @@ def feature_build(raw_results: DataFrame, former_names: DataFrame | None, out_di
 def train_run(mf: DataFrame, model_dir: str, cfg: FeatureConfig = NOTEBOOK, model: str = "forest") -> dict:
     """match_features -> split, impute, fit, evaluate, save."""
     train, test = ml.split(ml.training_set(mf, cfg), cfg)
-    train, test = ml.impute(train, [test], cfg)
-    fitted = ml.fit(train, cfg, model)
+    fitted = ml.fit(train, cfg, model, medians=ml.impute_values(train, cfg))
     pred = ml.predict(fitted, test)
     metrics = ml.accuracy_logloss(pred)
     m = metrics.first()
-    if hasattr(fitted, "write"):
-        ml.save_model(fitted, model_dir, {"n_test_samples": int(m["n"]), "test_accuracy": float(m["accuracy"]),
-                                          "model": model})
+    ml.save_model(fitted, model_dir, {"n_training_samples": train.count(), "n_test_samples": int(m["n"]),
+                                      "test_accuracy": float(m["accuracy"]), "model": model})
     return {"model": fitted, "metrics": metrics, "report": ml.class_report(pred),
             "confusion": ml.confusion(pred), "baseline": ml.baseline_lift(train, test, pred),
             "importance": ml.feature_importance(fitted), "scaler": ml.scaler_stats(train)}

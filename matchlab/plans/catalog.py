@@ -4,6 +4,8 @@ Keys start with the inventory ID(s) they cover."""
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from matchlab.config import NOTEBOOK
@@ -56,12 +58,6 @@ def train_test(spark, sf):
     return ml.split(ts, NOTEBOOK)
 
 
-def as_of(spark, sf):
-    """Run timestamp of the registered scoring queries: the latest match
-    date of the data (a deterministic stand-in for ``current_timestamp``)."""
-    return matches(spark, sf).select(F.max("date").cast("timestamp_ntz")).scalar()
-
-
 def _as_of_mf(mf):
     """Run timestamp of the registered scoring queries: the latest match
     date of the data (a deterministic stand-in for ``current_timestamp``)."""
@@ -79,6 +75,13 @@ def prior_predictions(spark, sf, keep_features=False):
     return ml.score_prior(train, fixture_inputs(spark, sf, mf), NOTEBOOK, _as_of_mf(mf), keep_features)
 
 
+def fixed_predictions(spark, sf, keep_features=False):
+    """Fixtures scored by the fixed linear model: all three classes and
+    distinct confidences occur."""
+    mf = features(spark, sf)
+    return ml.score(None, ml.fixed_predict(fixture_inputs(spark, sf, mf)), NOTEBOOK, _as_of_mf(mf), keep_features)
+
+
 # ----------------------------------------------------------------- sources
 
 def s01_read_csv(spark, sf):
@@ -114,6 +117,11 @@ def s11_round_trip(spark, sf):
     return files.write_counted(matches(spark, sf), scratch_path(spark, "matches_rt"), "matches")
 
 
+def s11_round_trip_partitioned(spark, sf):
+    m = matches(spark, sf).withColumn("year", F.year("date"))
+    return files.write_counted(m, scratch_path(spark, "matches_rt"), "matches", partition_by=["year"], sort_within=["date", "match_id"])
+
+
 def s12_preview(spark, sf):
     return files.preview(matches(spark, sf), 5, ["match_id"])
 
@@ -185,6 +193,7 @@ def q09_row_contract(spark, sf):
         "mart_team_form": marts.mart_team_form(m),
         "mart_head_to_head": marts.mart_head_to_head(m),
         "mart_predictions_input": fixture_inputs(spark, sf, mf),
+        "predictions": ml.fixed_predict(fixture_inputs(spark, sf, mf)),
     }
     return quality.row_contract(tables, ROW_MINIMUMS)
 
@@ -199,6 +208,11 @@ def q10_column_tests(spark, sf):
     return _match_tests(spark, sf)
 
 
+def q11_gate(spark, sf):
+    """The tests pass the gate; it returns them."""
+    return quality.gate(_match_tests(spark, sf))
+
+
 def q12_test_summary(spark, sf):
     return quality.test_summary(_match_tests(spark, sf))
 
@@ -230,9 +244,9 @@ def w16_w20_h2h_features(spark, sf):
         "match_id", "date", "home_team", "away_team", "team_a", "team_b", *H2H_COLS)
 
 
-# the bounded-task path on every key, with small buckets so that most
-# histories cross bucket boundaries (same result as the plain windows)
-BUCKETED = NOTEBOOK.with_(strategy="bucketed", bucket_rows=64)
+# the same path with more ranges than the session has shuffle partitions, so
+# that most histories cross range boundaries
+BUCKETED = NOTEBOOK.with_(range_partitions=64)
 
 
 def w01_w15_rolling_bucketed(spark, sf):
@@ -323,11 +337,11 @@ def d04_mart_team_form(spark, sf):
 # --------------------------------------------------------------------- ML
 
 def m01_training_set(spark, sf):
-    return ml.training_set(features(spark, sf), NOTEBOOK)
+    return ml.training_set(features(spark, sf, reuse=False), NOTEBOOK)
 
 
 def m03_split_counts(spark, sf):
-    ts = ml.training_set(features(spark, sf), NOTEBOOK)
+    ts = ml.training_set(features(spark, sf, reuse=False), NOTEBOOK)
     cut = int(round(NOTEBOOK.test_ratio * 10000))
     part = F.when(ml.split_bucket() < cut, "test").otherwise("train")
     return ts.groupBy(part.alias("part"), "label").agg(F.count(F.lit(1)).alias("n"))
@@ -370,43 +384,122 @@ def m11_baseline_lift(spark, sf):
     return ml.baseline_lift(train, test, pred)
 
 
+def _fixed_test(spark, sf):
+    train, test = train_test(spark, sf)
+    return train, test, ml.fixed_predict(test)
+
+
+def m08_fixed_metrics(spark, sf):
+    return ml.accuracy_logloss(_fixed_test(spark, sf)[2])
+
+
+def m09_fixed_class_report(spark, sf):
+    return ml.class_report(_fixed_test(spark, sf)[2])
+
+
+def m10_fixed_confusion(spark, sf):
+    return ml.confusion(_fixed_test(spark, sf)[2])
+
+
+def m11_fixed_lift(spark, sf):
+    train, test, pred = _fixed_test(spark, sf)
+    return ml.baseline_lift(train, test, pred)
+
+
+def m15_scored_pairs(spark, sf):
+    """Every ordered pair that has met, scored."""
+    m = matches(spark, sf)
+    return ml.score(None, ml.fixed_predict(m15_live_pair_features(spark, sf)), NOTEBOOK, m.select(F.max("date").cast("timestamp_ntz")).scalar())
+
+
+# The driver's dates lie between 1995 and 2001, so the default cuts drop no row;
+# these queries cut where rows are dropped.
+CUT = NOTEBOOK.with_(min_date=_dt.date(1997, 7, 1), train_from=_dt.date(1999, 1, 1))
+
+
+def p09_min_date(spark, sf):
+    return match_features(matches(spark, sf), CUT)
+
+
+def w10_before_cut(spark, sf):
+    from matchlab.config import DAG
+    from matchlab.schemas import EXTRA_FORM_COLS, TEAM_FEATURE_COLS
+    tf = team_features(matches(spark, sf), DAG.with_(min_date=CUT.min_date))
+    return tf.select("match_id", "date", "team", "opponent", "venue", *TEAM_FEATURE_COLS, *EXTRA_FORM_COLS)
+
+
+def m01_training_cut(spark, sf):
+    return ml.training_set(features(spark, sf, reuse=False), CUT)
+
+
+def m02_imputed(spark, sf):
+    """Nulls in one feature, filled with the median of the others."""
+    train, _ = train_test(spark, sf)
+    gaps = train.withColumn("home_win_rate_last10", F.when(F.col("match_id") % 7 != 0, F.col("home_win_rate_last10")))
+    return ml.impute(gaps, [], NOTEBOOK)[0].select("match_id", "home_win_rate_last10", "away_win_rate_last10")
+
+
+def j07_j08_unknown_teams(spark, sf):
+    """Fixtures of a team without any match, and so of pairs without one."""
+    mf = features(spark, sf).filter("home_team != 'JAPAN' AND away_team != 'JAPAN'")
+    return fixture_inputs(spark, sf, mf)
+
+
+def m17_drivers_fixed(spark, sf):
+    train, _ = train_test(spark, sf)
+    scored = reports.top_k(fixed_predictions(spark, sf, keep_features=True), 10)
+    return ml.drivers(scored, ml.scaler_stats(train), ml.fixed_importance(spark), 5, "z")
+
+
+def m18_drivers_raw(spark, sf):
+    scored = reports.top_k(fixed_predictions(spark, sf, keep_features=True), 10)
+    return ml.drivers(scored, None, ml.fixed_importance(spark), 5, "raw")
+
+
 def m14_prior_predictions(spark, sf):
     return prior_predictions(spark, sf)
 
 
 def l09_top_confidence(spark, sf):
-    return reports.top_k(prior_predictions(spark, sf), 10)
+    return reports.top_k(fixed_predictions(spark, sf), 10)
 
 
 def l11_group_predictions(spark, sf):
-    return reports.filter_predictions(prior_predictions(spark, sf), group="ASIA")
+    return reports.filter_predictions(fixed_predictions(spark, sf), group="ASIA")
+
+
+def l11_pair_predictions(spark, sf):
+    return reports.filter_predictions(fixed_predictions(spark, sf), pair=("JAPAN", "CHINA"))
+
+
+def l16_inventory(spark, sf):
+    return reports.table_inventory(spark, {"matches": matches(spark, sf), "fixtures": fixtures(spark, sf)})
 
 
 def l12_display_table(spark, sf):
-    return reports.display_table(prior_predictions(spark, sf))
+    return reports.display_table(fixed_predictions(spark, sf))
 
 
 def l13_standings(spark, sf):
-    return reports.standings(prior_predictions(spark, sf))
+    return reports.standings(fixed_predictions(spark, sf))
 
 
 def l14_prediction_summary(spark, sf):
-    return reports.prediction_summary(prior_predictions(spark, sf))
+    return reports.prediction_summary(fixed_predictions(spark, sf))
 
 
 def l15_group_lines(spark, sf):
-    return reports.group_lines(prior_predictions(spark, sf))
+    return reports.group_lines(fixed_predictions(spark, sf))
 
 
 def j09_predictions_with_features(spark, sf):
     mf = features(spark, sf)
-    train, _ = ml.split(ml.training_set(mf, NOTEBOOK), NOTEBOOK)
     ff = fixture_inputs(spark, sf, mf)
-    return reports.with_features(ml.score_prior(train, ff, NOTEBOOK, _as_of_mf(mf)), ff)
+    return reports.with_features(ml.score(None, ml.fixed_predict(ff), NOTEBOOK, _as_of_mf(mf)), ff)
 
 
 def m19_result_text(spark, sf):
-    return ml.result_label(prior_predictions(spark, sf)).select(
+    return ml.result_label(fixed_predictions(spark, sf)).select(
         "fixture_id", "home_team", "away_team", "predicted_result", "result_text")
 
 
@@ -416,8 +509,7 @@ def _forest(spark, sf):
     """Feature table (built once), imputed train/test split, fitted forest."""
     mf = features(spark, sf)
     train, test = ml.split(ml.training_set(mf, NOTEBOOK), NOTEBOOK)
-    train, test = ml.impute(train, [test], NOTEBOOK)
-    return ml.fit(train, NOTEBOOK, "forest"), train, test, mf
+    return ml.fit(train, NOTEBOOK, "forest", medians=ml.impute_values(train, NOTEBOOK)), train, test, mf
 
 
 def m05_forest_test_predictions(spark, sf):

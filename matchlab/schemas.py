@@ -81,4 +81,3 @@ H2H_COLS = ["h2h_team_a_wins", "h2h_team_b_wins", "h2h_draws", "h2h_total", "h2h
 
 # Label codes (home perspective).
 LABEL_MAP = {"W": 0, "D": 1, "L": 2}
-LABEL_MAP_INV = {0: "W", 1: "D", 2: "L"}

@@ -58,6 +58,50 @@ def test_save_load_and_split_stats(spark):
     assert {r["feature"] for r in got} <= set(FEATURE_COLS)
 
 
+def test_nulls_are_filled_by_the_saved_model(spark):
+    df = _toy(spark)
+    gaps = df.withColumn(FEATURE_COLS[0], F.when(F.col("match_id") % 5 != 0, F.col(FEATURE_COLS[0])))
+    medians = ml.impute_values(gaps, NOTEBOOK)
+    assert set(medians) == {FEATURE_COLS[0]}
+    model = ml.fit(gaps, NOTEBOOK, "forest", num_trees=5, medians=medians)
+    base = scratch_path(spark, "model")
+    ml.save_model(model, base, {"n_training_samples": gaps.count()})
+    a = rows(ml.predict(ml.load_model(base), gaps).orderBy("match_id"), "prediction", "win_prob")
+    b = rows(ml.predict(model, gaps.fillna(medians)).orderBy("match_id"), "prediction", "win_prob")
+    assert a == b and ml.load_metadata(base)["n_training_samples"] == 240
+
+
+def test_model_does_not_depend_on_the_input_partitions(spark):
+    df = _toy(spark)
+    probs = [rows(ml.predict(ml.fit(d, NOTEBOOK, "forest", num_trees=10), df).orderBy("match_id"), "win_prob") for d in (df.repartition(2), df.repartition(7, "label"))]
+    assert probs[0] == probs[1]
+
+
+def test_best_iteration():
+    assert ml.best_iteration([5, 4, 3, 3.5, 3.2, 3.1, 2.0], 3) == 3
+    assert ml.best_iteration([5, 4, 3, 3.5, 3.2, 3.1, 2.0], 4) == 7
+    assert ml.best_iteration([1.0, 2.0], 5) == 1 and ml.best_iteration([], 5) == 1
+
+
+def test_gbt_stops_early_and_is_saved(spark):
+    df = _toy(spark, 600).withColumn("label", (F.xxhash64("match_id") % 3).cast("int") * 1.0)      # nothing to learn
+    df = df.withColumn("label", F.abs("label"))
+    model = ml.fit(df, NOTEBOOK, "gbt", num_trees=15, max_depth=3, rate=0.5, early_stopping_rounds=2, validation_ratio=0.3)
+    assert all(b < 15 for b in model.best_iterations)
+    assert [m.getNumTrees for m in model.models] == model.best_iterations
+    base = scratch_path(spark, "gbt")
+    ml.save_model(model, base, {"n_training_samples": 600})
+    assert ml.load_metadata(base)["best_iteration"] == model.best_iterations
+    a, b = (rows(ml.predict(m, df).orderBy("match_id"), "prediction", "win_prob") for m in (model, ml.load_model(base)))
+    assert a == b
+
+
+def test_training_rows_are_bounded(spark):
+    df = _toy(spark, 900)
+    data = ml._training_input(df, 300)
+    assert 200 < data.count() < 400
+
+
 def test_gbt_one_vs_rest(spark):
     df = _toy(spark)
     model = ml.fit(df, NOTEBOOK, "gbt", num_trees=8, max_depth=2)
