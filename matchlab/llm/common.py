@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from matchlab.session import materialize  # noqa: F401  (cut lineage in the shared folder)
+from matchlab import session
 
 #: Characters of text that an Arrow task works on at once.
 SLICE_CHARS = 1 << 21
@@ -24,6 +24,26 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = ":".join(filter(None, [top, environment.get("PYTHONPATH")]))
 
 
+_KEPT: list[DataFrame] = []
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back. What the plan so far
+    has shuffled isn't needed any more: Spark deletes it when the JVM collects
+    the plan, which is asked for here, for plans of many steps."""
+    out = session.materialize(df, name)
+    _KEPT.append(out)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def release() -> None:
+    """Deletes what ``materialize`` has written so far: for callers that have
+    stored all results that read it."""
+    while _KEPT:
+        session.discard(_KEPT.pop())
+
+
 def load(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

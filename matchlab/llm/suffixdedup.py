@@ -94,9 +94,12 @@ def _sliding(x: np.ndarray, w: int, pick) -> np.ndarray:
 
 
 def find_anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """``doc_id, uid, fps, ctxs, places`` of each text with anchors; ctxs: hashes of the contexts."""
+    """``row, doc_id, uid, fps, ctxs, places`` of each text with anchors; row: a
+    number of its own, ctxs: hashes of the contexts. To be written before use."""
 
     def work(batches):
+        from pyspark import TaskContext
+        number = TaskContext.get().partitionId() << 33
         for part in slices(batches):
             rows, fps, ctxs, places, sizes = [], [], [], [], []
             for row, text in enumerate(column(part, "text").to_pylist()):
@@ -113,22 +116,23 @@ def find_anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
             if rows:
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 take = pa.array(rows, pa.int64())
+                number += len(rows)
                 yield pa.RecordBatch.from_arrays([
-                    column(part, "doc_id").take(take), column(part, "uid").take(take),
+                    pa.array(np.arange(number - len(rows), number)), column(part, "doc_id").take(take), column(part, "uid").take(take),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(fps).view(np.int64))),
                     pa.ListArray.from_arrays(ends, pa.array(np.array(ctxs, np.uint64).view(np.int64))),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places), pa.int32()))], ["doc_id", "uid", "fps", "ctxs", "places"])
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places), pa.int32()))], ["row", "doc_id", "uid", "fps", "ctxs", "places"])
 
-    return docs.mapInArrow(work, f"doc_id {dict(docs.dtypes)['doc_id']}, uid bigint, fps array<bigint>, ctxs array<bigint>, places array<int>")
+    return docs.mapInArrow(work, f"row bigint, doc_id {dict(docs.dtypes)['doc_id']}, uid bigint, fps array<bigint>, ctxs array<bigint>, places array<int>")
 
 
 def cut_pieces(wanted: DataFrame, length: int, k: int) -> DataFrame:
-    """``shard, doc_id, uid, start, piece``: the joined contexts of each shard; ``wanted``: text with spots (shard, place)."""
+    """``shard, row, start, piece``: the joined contexts of each shard; ``wanted``: row and text with spots (shard, place)."""
 
     def work(batches):
         for part in slices(batches):
             out = []
-            for row, (text, spots) in enumerate(zip(column(part, "text").to_pylist(), column(part, "spots").to_pylist())):
+            for at, (text, spots) in enumerate(zip(column(part, "text").to_pylist(), column(part, "spots").to_pylist())):
                 data, by = text.encode(), {}
                 for s in spots:
                     by.setdefault(s["shard"], []).append(s["place"])
@@ -138,24 +142,22 @@ def cut_pieces(wanted: DataFrame, length: int, k: int) -> DataFrame:
                         a, b = max(p - (length - k), 0), min(p + length, len(data))
                         if end is None or a > end:
                             if end is not None:
-                                out.append((row, shard, start, data[start:end]))
+                                out.append((at, shard, start, data[start:end]))
                             start = a
                         end = b
-                    out.append((row, shard, start, data[start:end]))
+                    out.append((at, shard, start, data[start:end]))
             if out:
                 rows, shards, starts, pieces = zip(*out)
                 take = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), column(part, "doc_id").take(take), column(part, "uid").take(take),
-                                                  pa.array(starts, pa.int64()), pa.array(pieces, pa.binary())], ["shard", "doc_id", "uid", "start", "piece"])
+                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), column(part, "row").take(take),
+                                                  pa.array(starts, pa.int64()), pa.array(pieces, pa.binary())], ["shard", "row", "start", "piece"])
 
-    return wanted.mapInArrow(work, f"shard int, doc_id {dict(wanted.dtypes)['doc_id']}, uid bigint, start bigint, piece binary")
+    return wanted.mapInArrow(work, "shard int, row bigint, start bigint, piece binary")
 
 
 def shard_repeats(pieces: DataFrame, length: int) -> DataFrame:
-    """``doc_id, uid, a, b``: the repeated spans that the suffixes of each shard
+    """``row, a, b``: the repeated spans that the suffixes of each shard
     show; ``pieces``: all of a shard in one partition, shard by shard."""
-    id_kind = dict(pieces.dtypes)["doc_id"]
-
     def work(batches):
         held, now = [], None
         for batch in batches:
@@ -178,35 +180,32 @@ def shard_repeats(pieces: DataFrame, length: int) -> DataFrame:
         if sum(n):
             take = pa.array(np.repeat(np.arange(len(n)), n))
             both = np.concatenate(spans) + np.repeat(t["start"].to_numpy(), n)[:, None]
-            yield from pa.Table.from_arrays([t["doc_id"].take(take), t["uid"].take(take), pa.array(both[:, 0]), pa.array(both[:, 1])], ["doc_id", "uid", "a", "b"]).combine_chunks().to_batches()
+            yield from pa.Table.from_arrays([t["row"].take(take), pa.array(both[:, 0]), pa.array(both[:, 1])], ["row", "a", "b"]).combine_chunks().to_batches()
 
-    return pieces.mapInArrow(work, f"doc_id {id_kind}, uid bigint, a bigint, b bigint")
+    return pieces.mapInArrow(work, "row bigint, a bigint, b bigint")
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, k: int = GRAM) -> DataFrame:
     """``doc_id, uid, spans`` (from, to; they may overlap) of the documents with repeats; ``docs``: doc_id, uid, text."""
     docs = docs.where(F.octet_length("text") >= length)
     found = materialize(find_anchors(docs, length, k), "anchors")
-    every = found.select("doc_id", "uid", F.inline(F.arrays_zip(F.col("fps").alias("fp"), F.col("ctxs").alias("ctx"), F.col("places").alias("place")))).toDF(
-        "doc_id", "uid", "fp", "ctx", "place")
-    kinds = every.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "uid", "place")).alias("rep"))
-    kinds = materialize(kinds, "contexts")
-    repeated = kinds.groupBy("fp").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds")).where("total > 1")
-    kinds = kinds.join(repeated.select("fp", "kinds"), "fp")
+    again = found.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
+    every = found.select("row", F.inline(F.arrays_zip("fps", "ctxs", "places"))).toDF("row", "fp", "ctx", "place")
+    hits = materialize(every.join(again, "fp"), "anchors-met")
+    kinds = materialize(hits.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "place")).alias("rep")), "contexts")
     # contexts that occur twice as a whole
-    whole = every.join(kinds.where("c > 1").select("fp", "ctx"), ["fp", "ctx"]).select("doc_id", "uid", "place")
-    whole = whole.groupBy("doc_id", "uid").agg(F.collect_list("place").alias("places"))
+    whole = hits.join(kinds.where("c > 1").select("fp", "ctx"), ["fp", "ctx"]).groupBy("row").agg(F.collect_list("place").alias("places"))
     # one place of each context of an anchor with several
     shards = partitions_for(docs, SHARD_MB)
-    spots = kinds.where("kinds > 1").select("rep.doc_id", "rep.uid", F.struct(F.pmod(F.hash("fp"), F.lit(4 * shards)).alias("shard"), F.col("rep.place").alias("place")).alias("spot"))
-    spots = spots.groupBy("doc_id", "uid").agg(F.collect_list("spot").alias("spots"))
-    a, b = docs.alias("a"), spots.alias("b")
-    wanted = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.uid") == F.col("b.uid"))).select("a.*", "spots")
-    pieces = cut_pieces(wanted, length, k).repartition(shards, "shard").sortWithinPartitions("shard")
-    partial = shard_repeats(pieces, length).groupBy("doc_id", "uid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    w, p = whole.alias("w"), partial.alias("p")
-    return materialize(w.join(p, F.col("w.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("w.uid") == F.col("p.uid")), "full").select(
-        F.coalesce("w.doc_id", "p.doc_id").alias("doc_id"), F.coalesce("w.uid", "p.uid").alias("uid"), "places", "spans"), "spans")
+    several = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("fp")
+    spots = kinds.join(several, "fp").select("rep.row", F.struct(F.pmod(F.hash("fp"), F.lit(4 * shards)).alias("shard"), F.col("rep.place").alias("place")).alias("spot"))
+    spots = spots.groupBy("row").agg(F.collect_list("spot").alias("spots"))
+    names = found.select("row", "doc_id", "uid")
+    a, b = docs.alias("a"), spots.join(names, "row").alias("b")
+    wanted = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.uid") == F.col("b.uid"))).select("b.row", "a.text", "b.spots")
+    pieces = materialize(cut_pieces(wanted, length, k), "pieces").repartition(shards, "shard").sortWithinPartitions("shard")
+    partial = shard_repeats(pieces, length).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return materialize(whole.join(partial, "row", "full").join(names, "row").dropDuplicates(["doc_id", "uid"]).select("doc_id", "uid", "places", "spans"), "spans")
 
 
 def union_spans(places, spans, size: int, length: int, k: int) -> np.ndarray:
