@@ -88,7 +88,7 @@ def sketch(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` with the tuples ``<name>_t`` of each text column."""
     keep = df.columns
     for step in zip(*[_sketch_steps(n) for n in names]):
-        last = [c for c in df.columns if c not in keep and not c.endswith("_t")]
+        last = [c for c in df.columns if c not in keep]
         df = df.withColumns({f"{n}_{s}": make() for n, (s, make) in zip(names, step)}).drop(*last)
     return df
 
@@ -105,40 +105,40 @@ def as_text(t: str) -> Column:
     return F.array_join(F.transform(F.col(t), lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
 
 
-def following(df: DataFrame) -> DataFrame:
-    """``doc_id, uid, next_id, next_uid`` of the distinct documents of ``df``
-    (doc_id, uid), in descending order; after the last comes the first. The
-    ids are dealt out by ranges; what follows a range's last id is the first
-    of the next range, from a table with a row for each range."""
-    ids = df.select("doc_id", "uid").distinct()
-    order = [F.desc_nulls_last("doc_id"), F.desc("uid")]
-    ranges = materialize(ids.repartitionByRange(partitions_for(df, 64), *order).select("*", F.spark_partition_id().alias("part")), "ranges")
-    own = Window.partitionBy("part").orderBy(*order)
-    heads = ranges.withColumn("k", F.row_number().over(own)).where("k = 1").select("part", F.struct("doc_id", "uid").alias("head"))
+def preceding(docs: DataFrame) -> DataFrame:
+    """``doc_id, uid`` and ``prev_id, prev_uid, prev_chars`` of the distinct
+    documents of ``docs`` (doc_id, uid, text) in descending order; the first
+    is preceded by the last. The ids are dealt out by ranges; what precedes a
+    range's first id is the last of the range before, from a table with a row
+    for each range."""
+    ids = docs.select("doc_id", "uid", F.length("text").alias("n")).distinct()
+    order, back = [F.desc_nulls_last("doc_id"), F.desc("uid")], [F.asc_nulls_first("doc_id"), F.asc("uid")]
+    ranges = materialize(ids.repartitionByRange(partitions_for(docs, 64), *order).select("*", F.spark_partition_id().alias("part")), "ranges")
+    one = F.struct("doc_id", "uid", "n")
+    lasts = ranges.withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy(*back))).where("k = 1").select("part", one.alias("last"))
     every = Window.orderBy("part")
-    heads = heads.select("part", F.coalesce(F.lead("head").over(every), F.first("head").over(every)).alias("head"))
-    return ranges.withColumn("next", F.lead(F.struct("doc_id", "uid")).over(own)).join(heads, "part").withColumn("next", F.coalesce("next", "head")).select(
-        "doc_id", "uid", F.col("next.doc_id").alias("next_id"), F.col("next.uid").alias("next_uid"))
-
-
-def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, next``: every row with the text of the following document."""
-    docs = id_text(df, id_col=id_col, text_col=text_col).withColumn("uid", F.xxhash64("text"))
-    after = following(docs)
-    a, b = docs.alias("a"), after.alias("b")
-    linked = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.uid") == F.col("b.uid"))).select("a.*", "next_id", "next_uid")
-    c = docs.dropDuplicates(["doc_id", "uid"]).alias("c")
-    return linked.alias("a").join(c, F.col("a.next_id").eqNullSafe(F.col("c.doc_id")) & (F.col("a.next_uid") == F.col("c.uid"))).select(
-        "a.doc_id", "a.text", F.col("c.text").alias("next"))
+    lasts = lasts.select("part", F.coalesce(F.lag("last").over(every), F.last("last").over(
+        every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("last"))
+    prev = F.coalesce(F.lag(one).over(Window.partitionBy("part").orderBy(*order)), "last")
+    return ranges.join(lasts, "part").withColumn("prev", prev).select(
+        "doc_id", "uid", F.col("prev.doc_id").alias("prev_id"), F.col("prev.uid").alias("prev_uid"), F.col("prev.n").alias("prev_chars"))
 
 
 def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's fingerprint, that of the text whose last half is replaced
-    by the beginning of the next document, and both likenesses."""
-    both = with_next(df, id_col, text_col).withColumn("n_chars", F.length("text").cast("bigint"))
+    by the beginning of the next document, and both likenesses. A document
+    sends its predecessor no more than the characters asked for and its own
+    tuples, so the texts are shuffled once as a whole."""
+    docs = id_text(df, id_col=id_col, text_col=text_col).withColumn("uid", F.xxhash64("text"))
+    a, b = docs.alias("a"), preceding(docs).alias("b")
+    sent = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.uid") == F.col("b.uid"))).select(
+        "prev_id", "prev_uid", F.substring("a.text", F.lit(1), F.floor(F.col("prev_chars") / 2).cast("int")).alias("begin"), F.col("a.text").alias("next"))
+    sent = sketch(sent, ["next"]).select("prev_id", "prev_uid", "begin", "next_t").dropDuplicates(["prev_id", "prev_uid"]).alias("c")
+    both = a.join(sent, F.col("a.doc_id").eqNullSafe(F.col("c.prev_id")) & (F.col("a.uid") == F.col("c.prev_uid"))).select(
+        "a.doc_id", "a.text", "c.begin", "c.next_t", F.length("a.text").cast("bigint").alias("n_chars"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next", F.lit(1), half)))
-    both = sketch(both.withColumn("edited_sha256", F.sha2("edited", 256)), ["text", "edited", "next"])
+    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - half), "begin")).drop("begin")
+    both = sketch(both.withColumn("edited_sha256", F.sha2("edited", 256)), ["text", "edited"])
     return both.select("doc_id", "n_chars", "edited_sha256", as_text("text_t").alias("fingerprint"), as_text("edited_t").alias("edited_fingerprint"),
                        likeness("text_t", "edited_t").alias("near_edited"), likeness("text_t", "next_t").alias("near_next"))
 
