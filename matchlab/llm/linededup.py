@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from matchlab.llm.common import column, slices
+from matchlab.llm.common import column, materialize, slices
 
 _INK = re.compile("[^ \t-\r]")
 
@@ -88,7 +88,9 @@ def fingerprints(docs: DataFrame, run: int) -> DataFrame:
 
 def later_windows(marks: DataFrame) -> DataFrame:
     """``doc_id, uid, starts`` of the windows that occur earlier too."""
-    again = marks.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
+    # tables of their own: the lines are hashed once, and AQE can split a hot line's rows in the join
+    marks = materialize(marks, "marks")
+    again = materialize(marks.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "marks-again")
     wins = marks.join(again, "fp").select("doc_id", "uid", F.inline("wins"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid", "start")
     first = wins.groupBy("win").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("win", "first")

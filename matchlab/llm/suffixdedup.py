@@ -189,7 +189,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, k: int = GRAM) -> DataFra
     """``doc_id, uid, spans`` (from, to; they may overlap) of the documents with repeats; ``docs``: doc_id, uid, text."""
     docs = docs.where(F.octet_length("text") >= length)
     found = materialize(find_anchors(docs, length, k), "anchors")
-    again = found.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
+    # a table of its own, so that AQE can split a hot anchor's rows in the join
+    again = materialize(found.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "anchors-again")
     every = found.select("row", F.inline(F.arrays_zip("fps", "ctxs", "places"))).toDF("row", "fp", "ctx", "place")
     hits = materialize(every.join(again, "fp"), "anchors-met")
     kinds = materialize(hits.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "place")).alias("rep")), "contexts")
