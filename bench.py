@@ -26,6 +26,8 @@ HEADLINE = [
     "m13_fixture_features",        # fixture assembly
     "q13_range_checks",            # feature sanity checks
     "d04_mart_team_form",          # last-10/20 mart
+    "w01_w15_rolling_bucketed",    # team windows over 64 ranges
+    "w16_w20_h2h_bucketed",        # head-to-head over 64 ranges
     "m14_score_fixtures",          # train forest (300 trees) + score fixtures
 ]
 
