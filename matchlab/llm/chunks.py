@@ -10,6 +10,7 @@ the ids of all texts together with array operations.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from itertools import chain
@@ -111,6 +112,15 @@ class ChunkEncoder:
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Ids of all texts, the end of each text's ids, and with
         ``decimals`` each text's ids as decimals joined by commas."""
+        on = gc.isenabled()
+        gc.disable()        # nothing here makes cycles; the collector would walk the cache again and again
+        try:
+            return self._encode(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _encode(self, texts):
         keys, ends = [], []
         for t in texts:
             self._keys(t, keys)

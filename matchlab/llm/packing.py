@@ -18,6 +18,7 @@ and the same when a lost task runs again.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -34,10 +35,32 @@ _MADE: dict[int, ChunkEncoder] = {}
 def library_encoder(spec: str) -> ChunkEncoder:
     """Ids by the tokenizers library, asked once for each distinct chunk."""
     if hash(spec) not in _MADE:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         t = Tokenizer.from_str(spec)
         t.no_truncation(), t.no_padding()
-        _MADE[hash(spec)] = ChunkEncoder(lambda chunks: [e.ids for e in t.encode_batch_fast(chunks, add_special_tokens=False)], added_tokens(spec))
+        # bytes of each token: its letters stand for one byte each; added tokens are ASCII
+        sizes = np.zeros(t.get_vocab_size(), np.int64)
+        for word, i in t.get_vocab().items():
+            sizes[i] = len(word)
+
+        def encode(chunks: list[str]) -> list:
+            """Chunks of a space and a word are encoded many at once, as running
+            text, and told apart by the bytes of their tokens."""
+            out: list = [None] * len(chunks)
+            plain = [i for i, c in enumerate(chunks) if c[0] == " " and len(c) > 1 and not (c[-1].isspace() or c[1].isspace())]
+            for k in range(0, len(plain), 4096):
+                own = plain[k:k + 4096]
+                ids = np.array(t.encode_batch_fast(["".join([chunks[i] for i in own])], add_special_tokens=False)[0].ids, np.int64)
+                ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([len(chunks[i].encode()) for i in own])) + 1
+                for i, a, b in zip(own, [0, *ends.tolist()], ends.tolist()):
+                    out[i] = ids[a:b]
+            rest = [i for i, x in enumerate(out) if x is None]
+            for i, e in zip(rest, t.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
+                out[i] = e.ids
+            return out
+
+        _MADE[hash(spec)] = ChunkEncoder(encode, added_tokens(spec), limit=800_000)
     return _MADE[hash(spec)]
 
 
