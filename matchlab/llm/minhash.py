@@ -10,10 +10,11 @@ Equal sets are one node from the start, so copies cost nothing later. Within
 a bucket pairs are never listed as such: each node is held against one pivot
 of its buckets (signatures first, then the full sets), links are joined to
 components, and only buckets that still hold several components go on, with
-another pivot, round after round; in the end what is left there is compared
-between components. So a group of thousands of near copies costs a few
-comparisons for each of them, and no pair that shares a bucket is left out
-unless its nodes are linked already.
+another pivot, for a second round. Of what is left, nodes whose buckets hang
+together are compared in blocks, through the shingles that two blocks share.
+So a group of thousands of near copies costs a few comparisons for each of
+them and a few block products, no list of pairs is made, and no pair that
+shares a bucket is left out unless its nodes are linked already.
 
 Components come from alternating large-star and small-star steps.
 
@@ -31,7 +32,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from matchlab.llm.chunks import _Index
 from matchlab.llm.common import column, id_text, materialize, slices
@@ -40,7 +41,9 @@ BANDS, ROWS = 32, 4
 #: A pair is compared by its sets if its signatures agree in this share less than
 #: the threshold (8 standard deviations of the estimate).
 SLACK = 0.25
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+#: Nodes of a block, for what is left after them.
+BLOCK = 512
 
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _SHORT = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344)]
@@ -187,11 +190,21 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "ma", "hb", "mb").mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, comp`` of every node of the links ``a, b``; comp: its component's smallest node."""
-    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "links")
-    known = None
-    while True:
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` written, with their number and a sum of their hashes, taken as they are written."""
+    seen = Observation()
+    out = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "links")
+    return out, (seen.get["n"], seen.get["h"])
+
+
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``node, comp`` of every node of the links ``a, b``; comp: its component's
+    smallest node. ``known``: components (node, comp) of earlier links, to go on from."""
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    if known is not None:
+        edges = edges.union(known.select("node", "comp"))
+    edges, before = _stored(edges.where("u != v").distinct())
+    while before[0]:
         # large star: the larger neighbours of u go to the smallest of its neighbourhood
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -199,11 +212,10 @@ def components(links: DataFrame) -> DataFrame:
         # small star: u and its smaller neighbours go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        edges = materialize(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).where("u != v").distinct(), "links")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == known or not state[0]:
+        edges, now = _stored(small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).where("u != v").distinct())
+        if now == before:
             break
-        known = state
+        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(edges.select("v", "v")).distinct()
 
 
@@ -231,7 +243,8 @@ def near_duplicates(df: DataFrame, percent: int = 85, size: int = 3, id_col: str
     nodes = materialize(sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_hash").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
     every = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
+    # a table of its own, so that AQE can split a hot bucket's rows in the join
+    shared = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
     # a document with one id and several texts has several nodes of that name: one row of each bucket is enough
     members = materialize(every.join(shared, "key").groupBy("key", "node").agg(F.min("n").alias("n")), "members")
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(members.select("node").distinct(), "node", "left_semi")
@@ -240,32 +253,80 @@ def near_duplicates(df: DataFrame, percent: int = 85, size: int = 3, id_col: str
     fits = (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
     pair = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
     comp, buckets, tested = None, members.withColumn("comp", F.col("node")), None
-    for r in range(STAR_ROUNDS + 1):
-        if r < STAR_ROUNDS:
-            star = _star(buckets, F.xxhash64("node", F.lit(r))).where(fits)
-            if not r:       # the pivot that a node shares most buckets with
-                best = Window.partitionBy("node").orderBy(F.desc("shared"), "pivot")
-                star = star.withColumn("k", F.row_number().over(best)).where("k = 1")
-            pairs = star.select(*pair).distinct()
-        else:               # what is left, between components
-            other = buckets.select("key", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("comp").alias("pcomp"))
-            pairs = buckets.join(other, "key").where("node < pivot AND comp != pcomp").where(fits).select(*pair).distinct()
+    for r in range(STAR_ROUNDS):
+        star = _star(buckets, F.xxhash64("node", F.lit(r))).where(fits)
+        if not r:       # the pivot that a node shares most buckets with
+            best = Window.partitionBy("node").orderBy(F.desc("shared"), "pivot")
+            star = star.withColumn("k", F.row_number().over(best)).where("k = 1")
+        pairs = star.select(*pair).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         done = materialize(verify(pairs, sets, percent), "verified")
         tested = done if tested is None else tested.union(done)
-        if done.where("linked").isEmpty():
-            if comp is None:
-                comp = components(done.where("linked").select("a", "b"))
-        else:
-            comp = materialize(components(tested.where("linked").select("a", "b")), "components")
-        if r < STAR_ROUNDS:
-            buckets = _open_buckets(members, comp)
-            if buckets.isEmpty():
-                break
+        comp = materialize(components(done.where("linked").select("a", "b"), comp), "components")
+        buckets = _open_buckets(members, comp)
+        if buckets.isEmpty():
+            break
+    else:
+        comp = materialize(components(materialize(_compare_blocks(buckets, sets, percent), "verified"), comp), "components")
     return _named(sig, nodes, comp)
 
 
+def intersections(sets: list[np.ndarray], dense: int = 16, step: int = 4096) -> np.ndarray:
+    """Sizes of all intersections: a shingle that few sets have adds to its
+    pairs, the others go through products of membership matrices."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), list(map(len, sets)))
+    flat = np.concatenate(sets) if m else np.empty(0, np.uint64)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    start = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.empty(0, np.int64)
+    size = np.diff(np.append(start, len(flat)))
+    out = np.zeros((m, m), np.int64)
+    for k in range(2, dense + 1):
+        own = start[size == k]
+        for i in range(k):
+            for j in range(k):
+                np.add.at(out, (owner[own + i], owner[own + j]), 1)
+    many = np.flatnonzero(size > dense)
+    for at in range(0, len(many), step):
+        own = many[at:at + step]
+        member = np.zeros((m, len(own)), np.float32)
+        for c, (a, n) in enumerate(zip(start[own], size[own])):
+            member[owner[a:a + n], c] = 1
+        out += (member @ member.T).astype(np.int64)
+    return out
+
+
+def _compare_blocks(buckets: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` between components that share an open bucket. Nodes whose
+    buckets hang together are a cluster; its nodes are dealt into blocks of
+    about ``block``, and a task compares two blocks through the shingles they
+    share. Of the links between two components a task reports one."""
+    kind = dict(sets.dtypes)["node"]
+    hubs = buckets.groupBy("key").agg(F.min("node").alias("b"))
+    clusters = materialize(components(buckets.join(hubs, "key").select(F.col("node").alias("a"), "b")), "clusters").withColumnRenamed("comp", "cluster")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    placed = buckets.select("node", "comp").distinct().join(clusters, "node").join(sizes, "cluster").withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = placed.select("cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "comp").join(
+        sets.select("node", "hashes"), "node")
+
+    def work(t: pa.Table) -> pa.Table:
+        held = [np.frombuffer(x.as_py(), np.uint64) for x in t["hashes"]]
+        n = np.array(list(map(len, held)))
+        same = intersections(held)
+        comp, own = t["comp"].to_numpy(), t["own"].to_numpy()
+        ok = (100 * same >= percent * (n[:, None] + n[None, :] - same)) & (comp[:, None] < comp[None, :])
+        if t["lo"][0].as_py() != t["hi"][0].as_py():
+            ok &= own[:, None] != own[None, :]
+        a, b = np.nonzero(ok)
+        _, one = np.unique(np.stack([comp[a], comp[b]], axis=1), axis=0, return_index=True)
+        return pa.Table.from_arrays([t["node"].take(pa.array(a[one])), t["node"].take(pa.array(b[one]))], ["a", "b"])
+
+    return rows.groupBy("cluster", "lo", "hi").applyInArrow(work, f"a {kind}, b {kind}")
+
+
 def _named(sig: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:
     names = nodes.join(comp, "node", "left").select("set_hash", F.coalesce("comp", "node").alias("component_id"))
     return sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(names, "set_hash", "left").select(

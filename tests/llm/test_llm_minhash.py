@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from llm_cases import TEXTS, by_id, docs, edge, empty
 
-from matchlab.llm.minhash import BANDS, ROWS, Words, band_keys, components, drop_near_duplicates, minima, near_duplicates, shingle_sets
+from matchlab.llm.minhash import BANDS, ROWS, Words, band_keys, components, drop_near_duplicates, intersections, minima, near_duplicates, shingle_sets
 
 
 def shingles(text, size):
@@ -122,3 +122,27 @@ def test_stage(spark):
     out = drop_near_duplicates(df, 80, 5)
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == sorted(i for i, (_, c) in want.items() if c == i)
     assert drop_near_duplicates(edge(spark)).where("doc_id IS NULL").count() == 2
+
+
+def test_intersections():
+    rnd = np.random.RandomState(3)
+    sets = [np.unique(rnd.randint(0, 60, rnd.randint(0, 50)).astype(np.uint64)) for _ in range(40)]
+    want = [[len(np.intersect1d(a, b)) if i != j else None for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    for dense, step in ((16, 4096), (2, 7), (40, 5)):
+        got = intersections(sets, dense, step)
+        assert all(w is None or got[i, j] == w for i, row in enumerate(want) for j, w in enumerate(row))
+
+
+def test_loose_group_in_blocks(spark, monkeypatch):
+    """Copies with many edits: most pairs share buckets without a link."""
+    from matchlab.llm import minhash
+    monkeypatch.setattr(minhash._compare_blocks, "__defaults__", (16,))
+    rnd = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(110):
+        own = list(base)
+        for _ in range(rnd.randint(2, 9)):
+            own[rnd.randrange(120)] = f"x{rnd.randrange(40)}"
+        texts.append(" ".join(own))
+    same(docs(spark, texts))
