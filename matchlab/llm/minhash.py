@@ -10,11 +10,11 @@ Equal sets are one node from the start, so copies cost nothing later. Within
 a bucket pairs are never listed as such: each node is held against one pivot
 of its buckets (signatures first, then the full sets), links are joined to
 components, and only buckets that still hold several components go on, with
-another pivot, for a second round. Of what is left, nodes whose buckets hang
-together are compared in blocks, through the shingles that two blocks share.
-So a group of thousands of near copies costs a few comparisons for each of
-them and a few block products, no list of pairs is made, and no pair that
-shares a bucket is left out unless its nodes are linked already.
+another pivot, for a second round. Of what is left, a prefix filter on each
+set's rarest shingles finds the pairs that may still be links, and these are
+compared in blocks. The filter is exact: no pair that shares a bucket is left
+out unless its nodes are linked already. Texts that fill in one template
+without being links differ in their rarest shingles and make no pairs.
 
 Components come from alternating large-star and small-star steps.
 
@@ -42,8 +42,11 @@ BANDS, ROWS = 32, 4
 #: the threshold (8 standard deviations of the estimate).
 SLACK = 0.25
 STAR_ROUNDS = 2
-#: Nodes of a block, for what is left after them.
-BLOCK = 512
+#: Nodes of a block, for what is left after them, and its shingles.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 21
+#: Slots that the left-over sets' shingles are counted in (a power of two). The
+#: counts only order shingles; any order gives the same links.
+RARITY = 1 << 20
 
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _SHORT = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344)]
@@ -298,19 +301,96 @@ def intersections(sets: list[np.ndarray], dense: int = 16, step: int = 4096) ->
     return out
 
 
+def _rarity(left: DataFrame) -> np.ndarray:
+    """Occurrences of the shingles in ``left`` (hashes), added up by their low bits."""
+
+    def count(batches):
+        dense = np.zeros(RARITY, np.int64)
+        for b in batches:
+            for x in column(b, "hashes"):
+                dense += np.bincount(np.frombuffer(x.as_py(), np.uint64) & np.uint64(RARITY - 1), minlength=RARITY)
+        own = np.flatnonzero(dense)
+        yield pa.RecordBatch.from_arrays([pa.array(own % 64, pa.int32()), pa.array(own, pa.int32()), pa.array(dense[own])], ["part", "slot", "n"])
+
+    def pack(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([column(b, c).to_numpy().tobytes()], pa.binary()) for c in ("slot", "n")], ["slots", "counts"])
+
+    sums = left.select("hashes").mapInArrow(count, "part int, slot int, n bigint").groupBy("part", "slot").agg(F.sum("n").alias("n"))
+    out = np.zeros(RARITY, np.int64)
+    for r in sums.select("slot", "n").mapInArrow(pack, "slots binary, counts binary").toLocalIterator():
+        out[np.frombuffer(r.slots, np.int32)] = np.frombuffer(r.counts, np.int64)
+    return out
+
+
+def _prefixes(left: DataFrame, percent: int) -> DataFrame:
+    """``key, node, comp, n, rest, first``: each set's rarest shingles. ``rest``: shingles
+    from this one on; ``first``: two sets of a link share one that the smaller has as such."""
+    held = left.sparkSession.sparkContext.broadcast(_rarity(left))
+    kind = dict(left.dtypes)["node"]
+
+    def run(batches):
+        counts = held.value
+        for whole in batches:
+            for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+                keys, rests, firsts, sizes, n = [], [], [], [], []
+                for x in column(batch, "hashes"):
+                    h = np.frombuffer(x.as_py(), np.uint64)
+                    n.append(len(h))
+                    size = len(h) - -(-percent * len(h) // 100) + 1
+                    at = np.lexsort((h, counts[h & np.uint64(RARITY - 1)]))[:size]
+                    keys.append(h[at].view(np.int64))
+                    rests.append(len(h) - np.arange(len(at)))
+                    firsts.append(rests[-1] * (100 + percent) >= 2 * percent * len(h))
+                    sizes.append(len(at))
+                take = pa.array(np.repeat(np.arange(len(n)), sizes))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(keys)), column(batch, "node").take(take), column(batch, "comp").take(take), pa.array(np.repeat(n, sizes)),
+                    pa.array(np.concatenate(rests)), pa.array(np.concatenate(firsts))], ["key", "node", "comp", "n", "rest", "first"])
+
+    return left.mapInArrow(run, f"key bigint, node {kind}, comp {kind}, n bigint, rest bigint, first boolean")
+
+
+def _candidates(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components that may be links: a prefix filter.
+
+    In any one order of the shingles, here from rare to frequent, let w be the
+    first that two sets share. From w on the smaller and the larger have at
+    least their intersection, which in a link is percent / (100 + percent) of
+    both sizes together. So w lies in the smaller one's ``first`` shingles and
+    in the larger one's prefix, and a shingle met too late in both to leave an
+    intersection makes no pair: those of a template that many sets have in
+    common come after what a set has for itself."""
+    entries = materialize(_prefixes(left, percent), "prefixes")
+    # a table of its own, so that AQE can split a hot shingle's rows in the join
+    open_keys = materialize(entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("first").alias("any")).where(
+        "lo != hi AND any").select("key"), "prefixes-shared")
+    entries = materialize(entries.join(open_keys, "key"), "prefixes-open")
+    x, y = entries.where("first").alias("x"), entries.alias("y")
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
+                  & (F.struct("x.n", "x.node") < F.struct("y.n", "y.node")) & F.expr(f"100 * x.n >= {percent} * y.n")
+                  & F.expr(f"{100 + percent} * least(x.rest, y.rest) >= {percent} * (x.n + y.n)")).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def _compare_blocks(buckets: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links ``a, b`` between components that share an open bucket. Nodes whose
-    buckets hang together are a cluster; its nodes are dealt into blocks of
-    about ``block``, and a task compares two blocks through the shingles they
-    share. Of the links between two components a task reports one."""
+    """Links ``a, b`` between components that share an open bucket. Nodes that
+    candidate pairs connect are a cluster; its nodes are dealt into blocks of
+    about ``block`` nodes and at most about ``BLOCK_SHINGLES``, and a task
+    compares two blocks that have a candidate pair, of each the nodes that are
+    in one. Of the links between two components a task reports one."""
     kind = dict(sets.dtypes)["node"]
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("b"))
-    clusters = materialize(components(buckets.join(hubs, "key").select(F.col("node").alias("a"), "b")), "clusters").withColumnRenamed("comp", "cluster")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    placed = buckets.select("node", "comp").distinct().join(clusters, "node").join(sizes, "cluster").withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = placed.select("cluster", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "comp").join(
-        sets.select("node", "hashes"), "node")
+    left = materialize(buckets.select("node", "comp").distinct().join(sets.select("node", "hashes"), "node"), "left-over")
+    pairs = materialize(_candidates(left, percent), "candidates")
+    clusters = materialize(components(pairs), "clusters").withColumnRenamed("comp", "cluster")
+    sized = clusters.join(left.groupBy("node").agg(F.sum(F.octet_length("hashes") / 8).alias("n")), "node")
+    sizes = sized.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    dealt = materialize(clusters.join(sizes, "cluster").select("node", "cluster", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")), "dealt")
+    met = pairs.join(dealt.select(F.col("node").alias("a"), "cluster", F.col("own").alias("i")), "a").join(
+        dealt.select(F.col("node").alias("b"), F.col("own").alias("j")), "b")
+    met = met.select("cluster", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"),
+                     F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("i").alias("own")), F.struct(F.col("b").alias("node"), F.col("j").alias("own"))))).distinct()
+    rows = met.join(left, "node")
 
     def work(t: pa.Table) -> pa.Table:
         held = [np.frombuffer(x.as_py(), np.uint64) for x in t["hashes"]]

@@ -146,3 +146,19 @@ def test_loose_group_in_blocks(spark, monkeypatch):
             own[rnd.randrange(120)] = f"x{rnd.randrange(40)}"
         texts.append(" ".join(own))
     same(docs(spark, texts))
+
+
+def test_template_makes_no_pairs(spark):
+    """Texts of one template, similarity 0.74, share buckets; only the links among them are paired."""
+    from matchlab.llm import minhash
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base + [f"x{k}y{i}" for i in range(21)]) for k in range(60)]
+    texts += [t.replace("w5 ", "v5 ") for t in texts[:10]]
+    rnd.shuffle(texts)
+    df = docs(spark, texts)
+    same(df)
+    left = spark.createDataFrame([(k, k, bytearray(s.tobytes())) for k, s in enumerate(shingle_sets(texts, Words()))], "node bigint, comp bigint, hashes binary")
+    pairs = {(r.a, r.b) for r in minhash._candidates(left, 85).collect()}
+    links = {tuple(sorted((i, j))) for i in range(70) for j in range(i) if texts[i].replace("v5 ", "w5 ") == texts[j].replace("v5 ", "w5 ")}
+    assert {tuple(sorted(p)) for p in pairs} == links and len(links) == 10
