@@ -17,8 +17,12 @@ places that can match together:
    document are joined to pieces, so no place is in it twice. The suffixes of
    a shard are sorted externally (see ``induced``), and neighbours with
    ``length`` bytes in common are repeats.
+4. An anchor with more than ``HOT`` different contexts (a phrase of many
+   documents) goes to no shard. The strings of ``length`` bytes around it are
+   counted by their 128-bit hashes, after those that share no longer part
+   with another context have dropped out by a count of such parts.
 
-Spans from 2 and 3 are united by document and cut out. Matches are judged on
+Spans from 2 to 4 are united by document and cut out. Matches are judged on
 the input.
 
 Defined results: a null text is an empty one; texts shorter than ``length``
@@ -44,6 +48,8 @@ from matchlab.llm.induced import repeats
 
 GRAM = 40
 SHARD_MB = 4
+#: Contexts of an anchor that one shard takes; strings whose common part is counted at first.
+HOT, WIDTH = 2048, 20
 
 
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
@@ -185,6 +191,45 @@ def shard_repeats(pieces: DataFrame, length: int) -> DataFrame:
     return pieces.mapInArrow(work, "row bigint, a bigint, b bigint")
 
 
+def common_parts(wanted: DataFrame, length: int, k: int, width: int) -> DataFrame:
+    """``h1, h2, row, place, lo, hi``: hashes of what the strings have in common
+    that begin ``lo`` to ``hi`` bytes before a place, ``width`` strings at a time;
+    ``wanted``: row and text with spots (place, lo, hi)."""
+
+    def work(batches):
+        for part in slices(batches):
+            for one in (part.slice(i, 256) for i in range(0, part.num_rows, 256)):
+                rows, digests = [], []
+                for at, (text, spots) in enumerate(zip(column(one, "text").to_pylist(), column(one, "spots").to_pylist())):
+                    data = text.encode()
+                    for s in spots:
+                        p = s["place"]
+                        for lo in range(s["lo"], s["hi"] + 1, width):
+                            hi = min(lo + width - 1, s["hi"])
+                            if max(lo, p + length - len(data)) <= min(hi, p):       # a string within the text
+                                rows.append((at, p, lo, hi))
+                                digests.append(xxhash.xxh3_128_digest(data[p - lo:p + length - hi]))
+                if rows:
+                    h, r = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2), np.array(rows, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), column(one, "row").take(pa.array(r[:, 0])),
+                                                      *(pa.array(r[:, c], pa.int32()) for c in (1, 2, 3))], ["h1", "h2", "row", "place", "lo", "hi"])
+
+    return wanted.mapInArrow(work, "h1 bigint, h2 bigint, row bigint, place int, lo int, hi int")
+
+
+def counted_repeats(spots: DataFrame, texts_of, length: int, k: int) -> DataFrame:
+    """``row, a, b``: the repeated strings around places ``row, place``, by counts only."""
+    now = spots.select("row", "place", F.lit(0).alias("lo"), F.lit(length - k).alias("hi"))
+    for width in (WIDTH, 1):
+        wanted = texts_of(now.groupBy("row").agg(F.collect_list(F.struct("place", "lo", "hi")).alias("spots")))
+        found = materialize(common_parts(wanted, length, k, width), "parts")
+        begin = F.struct("row", F.col("place") - F.col("lo"))       # two anchors may show the same string
+        again = materialize(found.groupBy("h1", "h2").agg(F.min(begin).alias("x"), F.max(begin).alias("y")).where("x != y").select("h1", "h2"), "parts-again")
+        now = found.join(again, ["h1", "h2"])
+    start = (F.col("place") - F.col("lo")).cast("bigint")
+    return now.select("row", start.alias("a"), (start + length).alias("b")).distinct()
+
+
 def repeated_spans(docs: DataFrame, length: int = 200, k: int = GRAM) -> DataFrame:
     """``doc_id, uid, spans`` (from, to; they may overlap) of the documents with repeats; ``docs``: doc_id, uid, text."""
     docs = docs.where(F.octet_length("text") >= length)
@@ -198,14 +243,22 @@ def repeated_spans(docs: DataFrame, length: int = 200, k: int = GRAM) -> DataFra
     whole = hits.join(kinds.where("c > 1").select("fp", "ctx"), ["fp", "ctx"]).groupBy("row").agg(F.collect_list("place").alias("places"))
     # one place of each context of an anchor with several
     shards = partitions_for(docs, SHARD_MB)
-    several = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("fp")
-    spots = kinds.join(several, "fp").select("rep.row", F.struct(F.pmod(F.hash("fp"), F.lit(4 * shards)).alias("shard"), F.col("rep.place").alias("place")).alias("spot"))
-    spots = spots.groupBy("row").agg(F.collect_list("spot").alias("spots"))
+    several = materialize(kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "anchors-several")
     names = found.select("row", "doc_id", "uid")
-    a, b = docs.alias("a"), spots.join(names, "row").alias("b")
-    wanted = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.uid") == F.col("b.uid"))).select("b.row", "a.text", "b.spots")
+
+    def texts_of(spots: DataFrame) -> DataFrame:
+        a, b = docs.alias("a"), spots.join(names, "row").alias("b")
+        return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.uid") == F.col("b.uid"))).select("b.row", "a.text", "b.spots")
+
+    spots = kinds.join(several.where(f"kinds <= {HOT}").select("fp"), "fp").select(
+        "rep.row", F.struct(F.pmod(F.hash("fp"), F.lit(4 * shards)).alias("shard"), F.col("rep.place").alias("place")).alias("spot"))
+    wanted = texts_of(spots.groupBy("row").agg(F.collect_list("spot").alias("spots")))
     pieces = materialize(cut_pieces(wanted, length, k), "pieces").repartition(shards, "shard").sortWithinPartitions("shard")
-    partial = shard_repeats(pieces, length).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    partial = shard_repeats(pieces, length)
+    hot = several.where(f"kinds > {HOT}").select("fp")
+    if not hot.isEmpty():
+        partial = partial.union(counted_repeats(kinds.join(hot, "fp").select("rep.row", "rep.place"), texts_of, length, k))
+    partial = partial.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return materialize(whole.join(partial, "row", "full").join(names, "row").dropDuplicates(["doc_id", "uid"]).select("doc_id", "uid", "places", "spans"), "spans")
 
 

@@ -98,3 +98,23 @@ def test_stage(spark):
     assert out.columns == df.columns
     got = by_id(out)
     assert set(got) == {0, 2, 3, 4} and got[0].text == b and got[0].n_chars == len(b) and got[2].text == b and got[3].text is None
+
+
+def test_common_phrase_goes_to_no_shard(spark, monkeypatch):
+    """A phrase shorter than the length with other text around it in every document, and a longer one."""
+    from matchlab.llm import suffixdedup
+    monkeypatch.setattr(suffixdedup, "HOT", 8, raising=False)
+    most, plain = [], suffixdedup.shard_repeats
+
+    def spy(pieces, length):
+        most.extend(r["count"] for r in pieces.groupBy("shard").count().collect())
+        return plain(pieces, length)
+
+    monkeypatch.setattr(suffixdedup, "shard_repeats", spy)
+    rnd = random.Random(4)
+    text = lambda n: "".join(rnd.choice("abcdefghij é") for _ in range(n))
+    short, long = text(70), text(230)
+    texts = [text(rnd.randint(0, 200)) + short + text(rnd.randint(0, 200)) for _ in range(30)]
+    texts += [text(rnd.randint(0, 90)) + long[rnd.randint(0, 30):] + text(rnd.randint(0, 90)) for _ in range(30)]
+    same(docs(spark, texts), 200)
+    assert not most or max(most) <= 8
