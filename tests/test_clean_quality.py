@@ -1,7 +1,7 @@
 """Cleaning, name maps, quality checks."""
 
 import pytest
-from conftest import rows
+from match_cases import rows
 from matchlab.operators import clean, quality
 from matchlab.schemas import RESULTS
 

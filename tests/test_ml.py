@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import rows
+from match_cases import rows
 from matchlab.config import NOTEBOOK
 from matchlab.operators import ml
 from matchlab.schemas import FEATURE_COLS

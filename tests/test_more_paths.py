@@ -4,7 +4,7 @@ save/load, GBT option, raw drivers, split statistics of the forest."""
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import rows
+from match_cases import rows
 from matchlab.config import NOTEBOOK
 from matchlab.operators import ml, reports
 from matchlab.schemas import FEATURE_COLS, RESULTS

@@ -1,6 +1,6 @@
 """Plan shape and the driver contract."""
 
-from conftest import SF001
+from match_cases import SF001
 from matchlab.config import NOTEBOOK
 from matchlab.operators.perspective import team_view
 from matchlab.operators.rolling import rolling_features

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import make_matches, rows
+from match_cases import make_matches, rows
 from matchlab.config import NOTEBOOK
 from matchlab.operators import reports, snapshot
 from matchlab.operators.features import match_features
@@ -88,7 +88,7 @@ def test_standings(spark):
 
 def test_latest_by_role_matches_per_role(spark):
     from matchlab.sources import adapter
-    from conftest import SF001
+    from match_cases import SF001
     mf = match_features(adapter.matches(spark, SF001), CFG)
     both = snapshot.latest_by_role(mf)
     for role in ("home", "away"):

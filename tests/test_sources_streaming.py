@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from match_cases import SF001, rows
 from matchlab.config import NOTEBOOK
 from matchlab.operators import marts
 from matchlab.plans import build

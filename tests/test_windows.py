@@ -4,7 +4,7 @@ no leakage."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, make_matches, rows
+from match_cases import SF001, make_matches, rows
 from matchlab.config import NOTEBOOK
 from matchlab.operators.features import match_features, team_features
 from matchlab.operators.h2h import h2h_features
