@@ -62,7 +62,7 @@ def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op6_warc_salvage"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 h AS (SELECT page_id, octet_length(encode(body)) AS n, sha1(body) AS h FROM p),
-d AS (SELECT page_id, n, array_to_string(list_transform(range(0, 32), i ->
+d AS (SELECT page_id, n, array_to_string(list_transform(range(0, 32), lambda i:
         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS b
       FROM h),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY b) AS first FROM d)

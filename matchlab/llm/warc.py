@@ -12,9 +12,15 @@ and the writer's line end, set to a zero byte, puts it back.
 Reading: Spark reads the files whole (their size is bounded) and a task walks
 through each. A gzip member must inflate with the right checksum, a record
 must have a version line, headers, a block of the stated length, the end
-mark, and the stated digests. After a failed check the reader looks for the
-next place at which a member or a version line begins that passes all
-checks, goes on there, and reports the bytes between as a gap.
+mark, and the stated digests; a page's record has to state a digest of its
+header lines, too, so that a damaged id is noticed. After a failed check the
+reader looks for the next place at which a member or a version line begins
+that passes all checks, goes on there, and reports the bytes between as a gap.
+Of a member that breaks off or fails its checksum, what did inflate is
+searched in the same way, and so is a sound member with a damaged record; from
+a member that isn't sound only records with a digest of their block count.
+Gaps inside a member have ``member_offset``, counted in inflated bytes (as is
+their length); ``offset`` is the member's.
 
 Defined results: null html is an empty payload; a null url gives a record
 without a target; pages with a null id are responses without an id; rows with
@@ -39,10 +45,11 @@ from matchlab.llm.common import column, slices
 ARCHIVE_MB = 16
 _DATE = "2024-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
+_DIGEST_LINE = b"X-Header-Digest: sha1:"
 _LAST = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:archive:end>\r\nWARC-Date: " + _DATE.encode() + b"\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
-RECORD = ("path string, offset bigint, length bigint, gap string, record_type string, record_id string, target_uri string, "
+RECORD = ("path string, offset bigint, length bigint, member_offset bigint, gap string, record_type string, record_id string, target_uri string, "
           "refers_to string, payload_digest string, payload_bytes bigint, payload binary")
 
 
@@ -60,7 +67,8 @@ def record(kind: str, page: str, url: str | None, refers: str | None, digest: st
         head.append("WARC-Target-URI: " + quote(url, safe="".join(map(chr, range(33, 127)))))
     if kind == "revisit":
         head += [f"WARC-Refers-To: <urn:page:{refers}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    lines = "\r\n".join(head).encode() + b"\r\n"
+    return lines + _DIGEST_LINE + sha1_base32(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def write_archives(df: DataFrame, path: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
@@ -99,21 +107,25 @@ class Damaged(ValueError):
     pass
 
 
-def parse_record(data, at: int) -> tuple[dict, bytes, int]:
+def parse_record(data, at: int, digest_needed: bool = False) -> tuple[dict, bytes, int]:
     """Headers (names in lower case), block and end of the record at ``at``."""
     if not _VERSION.match(data, at):
         raise Damaged("no version line")
     head_end = data.find(b"\r\n\r\n", at)
     if head_end < 0:
         raise Damaged("headers without an end")
-    head = {}
-    for line in data[at:head_end].split(b"\r\n")[1:]:
+    head, lines = {}, data[at:head_end].split(b"\r\n")
+    for line in lines[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("a header line without a colon")
         head[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if not head.get("content-length", "").isdigit() or "warc-type" not in head:
-        raise Damaged("no length or type")
+    if not head.get("content-length", "").isdigit() or not all(head.get(k) for k in ("warc-type", "warc-record-id", "warc-date")):
+        raise Damaged("no length, type, id or date")
+    if "x-header-digest" in head or "x-payload-length" in head or head["warc-record-id"].startswith("<urn:page:"):
+        upto = head_end - len(lines[-1])
+        if lines[-1] != _DIGEST_LINE + sha1_base32(data[at:upto]).encode():
+            raise Damaged("another header digest")
     start = head_end + 4
     end = start + int(head["content-length"])
     if data[end:end + 4] != b"\r\n\r\n":
@@ -122,6 +134,8 @@ def parse_record(data, at: int) -> tuple[dict, bytes, int]:
     stated = head.get("warc-block-digest", "")
     if stated.startswith("sha1:") and stated[5:] != sha1_base32(block):
         raise Damaged("another block digest")
+    if digest_needed and not stated.startswith("sha1:"):
+        raise Damaged("no block digest, in a member that isn't sound")
     payload = block.partition(b"\r\n\r\n")[2]
     stated = head.get("warc-payload-digest", "")
     if head["warc-type"] == "response" and stated.startswith("sha1:") and stated[5:] != sha1_base32(payload):
@@ -131,57 +145,78 @@ def parse_record(data, at: int) -> tuple[dict, bytes, int]:
 
 def inflate(data: bytes, at: int) -> tuple[bytes, int]:
     """The member at ``at`` and its end."""
+    inner, end, fault = inflated(data, at)
+    if fault:
+        raise Damaged(fault)
+    return inner, end
+
+
+def inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What of the member at ``at`` inflates, where it ends or breaks off, and the fault, if any."""
     z, out, view = zlib.decompressobj(31), [], memoryview(data)
     while not z.eof:
         piece = view[at:at + (1 << 16)]
         if not piece:
-            raise Damaged("a member without an end")
+            return b"".join(out), at, "a member without an end"
+        before = z.copy()
         try:
             out.append(z.decompress(piece))
         except zlib.error as e:
-            raise Damaged(f"a member that doesn't inflate: {e}") from None
+            k = 0       # the output of this piece is lost with the error: byte by byte up to it
+            try:
+                while True:
+                    out.append(before.decompress(piece[k:k + 1]))
+                    k += 1
+            except zlib.error:
+                return b"".join(out), at + k, f"a member that doesn't inflate: {e}"
         at += len(piece) - len(z.unused_data)
-    return b"".join(out), at
-
-
-def unit(data: bytes, at: int) -> tuple[list, int]:
-    """Records (headers, payload) of the member or plain record at ``at``, and its end."""
-    if data[at:at + 2] != b"\x1f\x8b":
-        head, payload, end = parse_record(data, at)
-        return [(head, payload)], end
-    inner, end = inflate(data, at)
-    found, k = [], 0
-    while k < len(inner):
-        head, payload, k = parse_record(inner, k)
-        found.append((head, payload))
-    return found, end
-
-
-def salvage(data: bytes):
-    """(offset, length, records, None) for what passes its checks, and
-    (offset, length, [], reason) for each gap between."""
-    at = 0
+    return b"".join(out), at, None
+
+
+def unit(data: bytes, at: int, digest_needed: bool = False) -> tuple[list, int | None, str | None]:
+    """Records (headers, payload) of the member or plain record at ``at``, its
+    end, and the fault, if any; with a fault, the records are those recovered
+    from it and the end is unknown. A gap inside a member is an entry (None,
+    (offset, length, reason)) among the records."""
+    try:
+        if data[at:at + 2] != b"\x1f\x8b":
+            head, payload, end = parse_record(data, at, digest_needed)
+            return [(head, payload)], end, None
+    except Damaged as e:
+        return [], None, str(e)
+    inner, end, fault = inflated(data, at)
+    found, good = [], False
+    for k, n, records, gap in salvage(inner, _VERSION, fault is not None):
+        found += [(None, (k, n, gap))] if gap else records
+        good = good or not gap
+    if not good and (fault or inner):
+        return [], None, fault or found[0][1][2]
+    if fault:
+        found.append((None, (len(inner), 0, fault)))
+    return found, None if fault else end, fault
+
+
+def salvage(data: bytes, starts: re.Pattern = _START, digest_needed: bool = False):
+    """(offset, length, records, None) for what passes its checks or was
+    recovered from a damaged member, and (offset, length, [], reason) for each
+    gap between. ``starts``: what a record or member may begin with."""
+    at, ahead = 0, None
     while at < len(data):
-        try:
-            records, end = unit(data, at)
+        records, end, fault = ahead or unit(data, at, digest_needed)
+        ahead = None
+        if fault is None:
             yield at, end - at, records, None
             at = end
             continue
-        except Damaged as e:
-            reason = str(e)
-        found = None
-        for m in _START.finditer(data, at + 1):
-            try:
-                found = unit(data, m.start())
+        stop = len(data)
+        for m in starts.finditer(data, at + 1):
+            ahead = unit(data, m.start(), digest_needed)
+            if ahead[0]:
+                stop = m.start()
                 break
-            except Damaged:
-                continue
-        if found is None:
-            yield at, len(data) - at, [], reason
-            return
-        yield at, m.start() - at, [], reason
-        yield m.start(), found[1] - m.start(), found[0], None
-        at = found[1]
+            ahead = None
+        yield at, stop - at, records, None if records else fault
+        at = stop
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False, glob: str = "part-*") -> DataFrame:
@@ -195,14 +230,17 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False, gl
                 rows, size = [], 0
                 for at, n, records, gap in salvage(data.as_py()):
                     if gap:
-                        rows.append((name, at, n, gap, *[None] * 7))
+                        rows.append((name, at, n, None, gap, *[None] * 7))
                     for head, payload in records:
+                        if head is None:        # a gap inside a member
+                            rows.append((name, at, payload[1], payload[0], payload[2], *[None] * 7))
+                            continue
                         own = lambda key: (m[1] or None) if (m := bare.fullmatch(head.get(key, ""))) else None
                         kind = head["warc-type"]
                         if kind not in ("response", "revisit"):
                             continue
                         full = len(payload) if kind == "response" else int(head.get("x-payload-length", "0"))
-                        rows.append((name, at, n, None, kind, own("warc-record-id"), head.get("warc-target-uri"), own("warc-refers-to"),
+                        rows.append((name, at, n, None, None, kind, own("warc-record-id"), head.get("warc-target-uri"), own("warc-refers-to"),
                                      head.get("warc-payload-digest", "").removeprefix("sha1:"), full, payload if with_payload else None))
                         size += len(payload) * with_payload
                     if len(rows) >= 5000 or size > 8 << 20:
@@ -211,7 +249,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False, gl
                 if rows:
                     yield batch_of(rows)
 
-    kinds = {"offset": pa.int64(), "length": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
+    kinds = {"offset": pa.int64(), "length": pa.int64(), "member_offset": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(k, pa.string())) for k, c in zip(names, zip(*rows))], names)

@@ -1,10 +1,5 @@
-import sys
-from pathlib import Path
-
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parent))
-
 
 @pytest.fixture(autouse=True)
 def _importable(spark):

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from matchlab.llm.warc import Damaged, inflate, read_archives, record, salvage, sha1_base32, write_archives
+from matchlab.llm.warc import Damaged, inflate, read_archives, record, salvage, sha1_base32, unit, write_archives
 from matchlab.session import scratch_path
 
 SCHEMA = "page_id bigint, url string, html string, size string, refers string, first string"
@@ -72,7 +72,7 @@ def archive(n, plain=False):
 
 
 def ids(found):
-    return [int(h["warc-record-id"][10:-1]) for _, _, records, _ in found for h, _ in records]
+    return [int(h["warc-record-id"][10:-1]) for _, _, records, _ in found for h, _ in records if h]
 
 
 @pytest.mark.parametrize("plain", [False, True])
@@ -105,6 +105,40 @@ def test_salvage(plain):
         assert got == sorted(got) and set(range(12)) - set(bad) <= set(got)
 
 
+def test_every_flipped_header_bit_is_noticed():
+    p = b"<html>a page</html>"
+    for kind in ("response", "revisit"):
+        clean = record(kind, "7", "http://x/7", "3", sha1_base32(p), p if kind == "response" else None, len(p))
+        (head, _), = unit(clean, 0)[0]
+        for at in range(clean.index(b"\r\n\r\n") + 4):
+            for bit in range(8):
+                bad = clean[:at] + bytes([clean[at] ^ (1 << bit)]) + clean[at + 1:]
+                assert all(h == head for _, _, records, _ in salvage(bad) for h, _ in records), (at, bit)
+                assert all(gap for _, _, _, gap in salvage(bad)), (at, bit)
+
+
+def test_salvage_inside_a_member():
+    """A member of ten records: one damaged record, a cut and a flipped byte lose what they hit only."""
+    plain = archive(10, True)
+    bad = plain[4].replace(b"<html>", b"<hxml>")
+    data = gzip.compress(b"".join([*plain[:4], bad, *plain[5:]])) + archive(12)[11]
+    found = list(salvage(data))
+    assert ids(found) == [0, 1, 2, 3, 5, 6, 7, 8, 9, 11]
+    inner = [x for _, _, records, _ in found for h, x in records if h is None]
+    assert inner == [(sum(map(len, plain[:4])), len(bad), "another block digest")]
+    rnd = random.Random(8)
+    packed = gzip.compress(b"".join(plain) + rnd.randbytes(1 << 17))
+    for cut in (len(packed) - 1, len(packed) - 9, len(packed) // 2):
+        found = list(salvage(packed[:cut] + archive(12)[11]))
+        assert ids(found) == [*range(10), 11] and sum(n for _, n, _, _ in found) == cut + len(archive(12)[11])
+        assert [x for _, _, records, _ in found for h, x in records if h is None]
+    flipped = packed[:-6] + bytes([packed[-6] ^ 1]) + packed[-5:]
+    assert ids(salvage(flipped)) == list(range(10))
+    foreign = gzip.compress(b"WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:x>\r\nWARC-Date: 2024\r\nContent-Length: 2\r\n\r\nab\r\n\r\n")
+    assert [h["warc-record-id"] for _, _, r, _ in salvage(foreign) for h, _ in r] == ["<urn:x>"]
+    assert [bool(g) for _, _, _, g in salvage(foreign[:-2])] == [True]     # no digest, no sound member
+
+
 def test_salvage_of_clean_and_junk():
     data = b"".join(archive(5))
     assert ids(salvage(data)) == list(range(5)) and all(g is None for *_, g in salvage(data))
