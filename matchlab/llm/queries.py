@@ -123,3 +123,27 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes in repeated strings of 200 bytes removed, as digests."""
     from matchlab.llm.suffixdedup import dedup_digests
     return dedup_digests(load(spark, sf_dir))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every text (a tenth of them with a periodic tail), as digests."""
+    from matchlab.llm.periodic import run_digests
+    return run_digests(load(spark, sf_dir))
+
+
+@query
+def op13_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best candidates of every query vector."""
+    from matchlab.llm.pivots import top_k
+    return top_k(load(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_pivot_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5"""
