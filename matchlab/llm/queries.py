@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from matchlab.llm.common import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 QUERIES, SQL = {}, {}
 
 
@@ -132,6 +133,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(load(spark, sf_dir))
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizers' tokens aligned by their bytes, with corpus-wide counts of linked ids."""
+    from matchlab.llm.align import alignments
+    return alignments(load(spark, sf_dir), TOKENIZER, PIECES)
+
+
 @query
 def op13_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best candidates of every query vector."""
