@@ -1,11 +1,4 @@
-"""Array-frame helpers for the ranged windows.
-
-A "history" is an array of the rows (structs) that precede the current
-row, oldest first, at most ``depth`` of them. ``frame(h, lo, hi)`` selects
-the rows at offsets lo..hi (lo <= hi <= -1, -1 = the previous row): those
-that a ``rowsBetween(lo, hi)`` frame would see. As in a window, nulls take
-a row of the frame but aren't averaged or counted.
-"""
+"""Array helper of the ranged windows."""
 
 from __future__ import annotations
 
@@ -15,27 +8,3 @@ from pyspark.sql import Column, functions as F
 def last_n(arr: Column, n: int) -> Column:
     """Last ``n`` elements of an array (all of it when shorter)."""
     return F.slice(arr, F.greatest(F.size(arr) - n + 1, F.lit(1)), n)
-
-
-def frame(h: Column, lo: int, hi: int) -> Column:
-    s = F.size(h)
-    start = F.greatest(s + (lo + 1), F.lit(1))
-    length = F.greatest(s + (hi + 1) - start + 1, F.lit(0))
-    return F.slice(h, start, length)
-
-
-def _values(h: Column, field: str, lo: int, hi: int) -> Column:
-    return F.filter(F.transform(frame(h, lo, hi), lambda x: x[field]), lambda x: x.isNotNull())
-
-
-def frame_avg(h: Column, field: str, lo: int, hi: int) -> Column:
-    """What ``F.avg(field).over(w.rowsBetween(lo, hi))`` gives."""
-    v = _values(h, field, lo, hi)
-    total = F.aggregate(v, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    n = F.size(v)
-    return F.when(n > 0, total / n)
-
-
-def frame_count(h: Column, field: str, lo: int, hi: int) -> Column:
-    """What ``F.count(field).over(w.rowsBetween(lo, hi))`` gives."""
-    return F.size(_values(h, field, lo, hi)).cast("bigint")

@@ -10,10 +10,10 @@ Two strategies give identical results, nulls included:
     Rows are range-partitioned on (team, day, match_id) and written once
     with their range's number (``skew.ranged``), so a team's history is
     spread over as many ranges as its size needs, whatever its ids and
-    dates look like. Inside (team, range), a window collects the previous
-    (at most 20) rows. Across ranges, a table with one row per (team,
-    range) carries each range's last 20 rows on. Calendar frames come from
-    a table with one row per (team, day), joined before the ranges are cut.
+    dates look like. A team's last 20 rows before a range are copied into it
+    as border rows; then plain window aggregates over (team, range) give the
+    row frames, and the border rows are dropped. Calendar frames come from
+    a table with one row per (team, day), joined to the result.
     Second-level tables have at most teams + ranges, and team-days, rows.
 
 ``window``
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
-from matchlab.functions.frames import frame_avg, frame_count, last_n
+from matchlab.functions.frames import last_n
 from matchlab.operators.skew import ranged
 from matchlab.schemas import EXTRA_FORM_COLS, FORM_COLS
 
@@ -66,48 +66,59 @@ def _plain(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
     return tv.select("*", *cols)
 
 
-def _ranged(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
-    depth = _depth()
-    inputs = sorted({c for _, c, _, _ in ROW_FRAMES + COUNT_FRAMES})
-    rng = range_frames(cfg)
-    rng_inputs = sorted({c for _, c, _, _ in rng})
+def day_sums(tv: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
+    """Sums and counts of a team's days, the input of calendar frames."""
+    inputs = sorted({c for _, c, _, _ in range_frames(cfg)})
+    return tv.groupBy(key, "day").agg(*[F.sum(c).alias(f"_s_{c}") for c in inputs], *[F.count(c).alias(f"_c_{c}") for c in inputs])
+
+
+def _calendar(days: DataFrame, cfg: FeatureConfig, key: str) -> DataFrame:
+    w = Window.partitionBy(key).orderBy("day")
+    return days.select(key, "day", *[
+        (F.sum(f"_s_{c}").over(w.rangeBetween(lo, hi)) / F.sum(f"_c_{c}").over(w.rangeBetween(lo, hi))).alias(n)
+        for n, c, lo, hi in range_frames(cfg)])
 
-    # calendar frames: sums and counts of days (partial aggregation), then
-    # windows over a team's days
-    wd = Window.partitionBy(key).orderBy("day")
-    days = tv.groupBy(key, "day").agg(*[F.sum(c).alias(f"_s_{c}") for c in rng_inputs],
-                                      *[F.count(c).alias(f"_c_{c}") for c in rng_inputs])
-    days = days.select(key, "day", *[
-        (F.sum(f"_s_{c}").over(wd.rangeBetween(lo, hi)) / F.sum(f"_c_{c}").over(wd.rangeBetween(lo, hi))).alias(n)
-        for n, c, lo, hi in rng])
-    r = ranged(tv.join(days, on=[key, "day"], how="left"), [key, "day", "match_id"], cfg.range_partitions)
 
+def _borders(r: DataFrame, key: str, inputs: list[str], depth: int) -> DataFrame:
+    """For each (team, range) the team's last ``depth`` rows before that range.
+    A range's end is crossed by one team at most, so only rows of teams that
+    go on into another range are looked at, and at most ``depth`` rows a
+    range come out."""
     part = [key, "_range"]
-    w = Window.partitionBy(*part).orderBy("day", "match_id")
-    a = r.select("*", F.collect_list(F.struct(*inputs)).over(w.rowsBetween(-depth, -1)).alias("_in"))
-    # the last rows of each range (row_number <= depth is planned as a
-    # WindowGroupLimit that filters before its shuffle), handed on
+    spans = r.select(*part).distinct()
+    by_range = Window.partitionBy(key).orderBy("_range")
+    on = spans.withColumn("_next", F.lead("_range").over(by_range)).where("_next IS NOT NULL").select(*part)
     back = Window.partitionBy(*part).orderBy(F.desc("day"), F.desc("match_id"))
-    last = r.withColumn("_rk", F.row_number().over(back)).filter(F.col("_rk") <= depth)
+    # row_number <= depth is planned as a WindowGroupLimit that filters before its shuffle
+    last = r.select(*part, "day", "match_id", *inputs).join(on, part, "left_semi").withColumn("_rk", F.row_number().over(back)).where(F.col("_rk") <= depth)
     tails = last.groupBy(*part).agg(F.array_sort(F.collect_list(F.struct("day", "match_id", *inputs))).alias("_t"))
-    tails = tails.select(*part, F.transform("_t", lambda x: F.struct(*[x[c].alias(c) for c in inputs])).alias("_t"))
-    wa = Window.partitionBy(key).orderBy("_range").rowsBetween(-depth, -1)
-    before = tails.select(*part, last_n(F.flatten(F.collect_list("_t").over(wa)), depth).alias("_before"))
-    j = a.join(before, on=part, how="inner").withColumn("_h", last_n(F.concat("_before", "_in"), depth))
-    return j.select(*tv.columns,
-                    *[frame_avg(F.col("_h"), c, lo, hi).alias(n) for n, c, lo, hi in ROW_FRAMES],
-                    *[frame_count(F.col("_h"), c, lo, hi).alias(n) for n, c, lo, hi in COUNT_FRAMES],
-                    *[n for n, _, _, _ in rng])
+    before = spans.join(tails, part, "left").select(*part, last_n(F.flatten(F.collect_list("_t").over(by_range.rowsBetween(-depth, -1))), depth).alias("_b"))
+    return before.select(*part, F.inline("_b"))
+
+
+def _ranged(tv: DataFrame, cfg: FeatureConfig, key: str, days: DataFrame | None = None) -> DataFrame:
+    depth = _depth()
+    inputs = sorted({c for _, c, _, _ in ROW_FRAMES + COUNT_FRAMES})
+    r = ranged(tv, [key, "day", "match_id"], cfg.range_partitions)
+    calendar = _calendar(day_sums(r, cfg, key) if days is None else days, cfg, key)
+    borders = _borders(r, key, inputs, depth).withColumn("_border", F.lit(True))
+    both = r.withColumn("_border", F.lit(False)).unionByName(borders, allowMissingColumns=True)
+    w = Window.partitionBy(key, "_range").orderBy("day", "match_id")
+    rows = both.select("*", *[F.avg(c).over(w.rowsBetween(lo, hi)).alias(n) for n, c, lo, hi in ROW_FRAMES],
+                       *[F.count(c).over(w.rowsBetween(lo, hi)).alias(n) for n, c, lo, hi in COUNT_FRAMES]).where("NOT _border")
+    return rows.join(calendar, [key, "day"], "left").select(*tv.columns, *[n for n, _, _, _ in ROW_FRAMES + COUNT_FRAMES], *[n for n, _, _, _ in range_frames(cfg)])
 
 
-def rolling_features(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "team") -> DataFrame:
+def rolling_features(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "team", days: DataFrame | None = None) -> DataFrame:
     """W01-W15 on a team view (see ``perspective.team_view``): adds the 13
     form columns, ``win_rate_prev10`` and ``matches_available``; nulls of
-    the form columns are filled with ``cfg.fill``."""
+    the form columns are filled with ``cfg.fill``. ``days`` (ranged strategy):
+    the ``day_sums`` to take calendar frames from, where ``tv`` doesn't hold all
+    days' rows."""
     if cfg.strategy == "window":
         f = _plain(tv, cfg, key)
     elif cfg.strategy == "ranged":
-        f = _ranged(tv, cfg, key)
+        f = _ranged(tv, cfg, key, days)
     else:
         raise ValueError(f"unknown strategy {cfg.strategy!r}")
     last, prev = F.col("form_last6m"), F.col("form_prev6m")
