@@ -593,12 +593,12 @@ WHERE team NOT IN (SELECT home_team FROM cleaned WHERE date >= DATE '1950-01-01'
     q["u01_team_view"] = _with(_MATCHES, _tv()) + "SELECT * FROM tv"
     q["w01_w15_rolling_features"] = _with(_MATCHES, _tv(), _tf_sql()) + (
         "SELECT match_id, date, team, opponent, venue, " + ", ".join(_SIDE) + " FROM tf")
-    q["w01_w15_rolling_bucketed"] = q["w01_w15_rolling_features"]
+    q["w01_w15_rolling_bucketed"] = q["w01_w15_incremental"] = q["w01_w15_rolling_features"]
     q["w10_w13_rolling_dag_preset"] = _with(_MATCHES, _tv(), _tf_sql(360, zero_prior=True)) + (
         "SELECT match_id, date, team, opponent, venue, " + ", ".join(_SIDE) + " FROM tf")
     q["w16_w20_h2h_features"] = _with(_MATCHES, _H2HQ) + (
         "SELECT match_id, date, home_team, away_team, team_a, team_b, " + ", ".join(_H2H) + " FROM h2h")
-    q["w16_w20_h2h_bucketed"] = q["w16_w20_h2h_features"]
+    q["w16_w20_h2h_bucketed"] = q["w16_w20_incremental"] = q["w16_w20_h2h_features"]
     q["j02_j04_match_features"] = _FEAT + "SELECT * FROM mf"
 
     # snapshots and reports

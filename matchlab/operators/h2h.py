@@ -43,7 +43,8 @@ def _h2h_plain(base: DataFrame) -> DataFrame:
     )
 
 
-def _h2h_ranged(base: DataFrame, cfg: FeatureConfig) -> DataFrame:
+def _h2h_ranged(base: DataFrame, cfg: FeatureConfig, start: DataFrame | None = None) -> DataFrame:
+    """``start``: totals of pairs before the rows of ``base`` (the flag columns and ``n``)."""
     part = PAIR + ["_range"]
     r = ranged(base, PAIR + ["_day", "match_id"], cfg.range_partitions)
     w = Window.partitionBy(*part).orderBy("_day", "match_id").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,9 +52,11 @@ def _h2h_ranged(base: DataFrame, cfg: FeatureConfig) -> DataFrame:
                  F.count(F.lit(1)).over(w).alias("_i_n"))
     # sums of ranges from the input (partial aggregation)
     sums = r.groupBy(*part).agg(*[F.sum(c).alias(f"_b_{c}") for c, _ in _COUNTS], F.count(F.lit(1)).alias("_b_n"))
+    flags = [c for c, _ in _COUNTS] + ["n"]
+    if start is not None:       # as a range before all others
+        sums = sums.unionByName(start.select(*PAIR, F.lit(-1).alias("_range"), *[F.col(c).alias(f"_b_{c}") for c in flags]))
     wa = Window.partitionBy(*PAIR).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(*part, *[F.coalesce(F.sum(f"_b_{c}").over(wa), F.lit(0)).alias(f"_p_{c}")
-                                  for c, _ in _COUNTS + [("n", None)]])
+    before = sums.select(*part, *[F.coalesce(F.sum(f"_b_{c}").over(wa), F.lit(0)).alias(f"_p_{c}") for c in flags])
     return a.join(before, on=part, how="inner").select(
         *base.columns,
         *[(F.col(f"_p_{c}") + F.col(f"_i_{c}")).cast("bigint").alias(n) for c, n in _COUNTS],
@@ -61,6 +64,12 @@ def _h2h_ranged(base: DataFrame, cfg: FeatureConfig) -> DataFrame:
     )
 
 
+def running_record(base: DataFrame, start: DataFrame | None, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
+    """``h2h_features`` of rows with pair, outcome flags and ``_day``, counted on
+    from the totals in ``start``."""
+    return _h2h_ranged(base, cfg, start).withColumn("h2h_team_a_win_rate", _rate(cfg)).drop("a_won", "b_won", "is_draw", "_day")
+
+
 def h2h_features(matches: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
     """Adds team_a, team_b, h2h_team_a_wins, h2h_team_b_wins, h2h_draws,
     h2h_total (bigint, 0 before the first meeting) and

@@ -9,7 +9,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from matchlab.config import NOTEBOOK
-from matchlab.operators import clean, h2h, marts, ml, quality, reports, snapshot
+from matchlab.operators import clean, h2h, incremental, marts, ml, quality, reports, snapshot
 from matchlab.operators.features import match_features, pair_features, team_features
 from matchlab.operators.perspective import team_view
 from matchlab.schemas import FEATURE_COLS, RESULTS
@@ -261,6 +261,28 @@ def w16_w20_h2h_bucketed(spark, sf):
         "match_id", "date", "home_team", "away_team", "team_a", "team_b", *H2H_COLS)
 
 
+def _by_batches(spark, sf):
+    """A feature store filled in three batches: matches before 1998, then
+    those before 2000, with a tenth of 1996's held back until the last batch."""
+    path = scratch_path(spark, "feature_store")
+    m = materialize(matches(spark, sf), "matches")
+    late = (F.year("date") == 1996) & (F.col("match_id") % 10 == 3)
+    part = F.when(late, 2).when(F.year("date") < 1998, 0).when(F.year("date") < 2000, 1).otherwise(2)
+    for k in range(3):
+        incremental.advance(spark, path, k, m.where(part == k), NOTEBOOK)
+    return path
+
+
+def w01_w15_incremental(spark, sf):
+    return incremental.team_features(spark, _by_batches(spark, sf))
+
+
+def w16_w20_incremental(spark, sf):
+    from matchlab.schemas import H2H_COLS
+    return incremental.pair_features(spark, _by_batches(spark, sf)).select(
+        "match_id", "date", "home_team", "away_team", "team_a", "team_b", *H2H_COLS)
+
+
 def w10_w13_rolling_dag_preset(spark, sf):
     """The scheduled-job variant: prior frame [-360, -181] days and
     ranking_change = last6m - coalesce(prev6m, 0)."""

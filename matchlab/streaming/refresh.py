@@ -1,7 +1,13 @@
-"""Incremental refresh: new raw result files arriving in a folder are added to
-a table of raw rows, and the match and the feature table are rebuilt from all
-of them (the trailing windows of a team depend on all its earlier matches, so
-features are recomputed, not patched; ids are those of the whole table).
+"""Refresh: new raw result files arrive in a folder.
+
+``start_incremental`` cleans each batch and adds it to a feature store
+(``operators.incremental``): features of its own matches, and of those that
+late rows change, are computed from the store's state. Ids are epoch * 2^40 +
+the id within the batch, so a batch that runs again gives the same ones.
+
+``start_refresh`` adds the rows to a table of raw rows and rebuilds the match
+and the feature table from all of them, with ids of the whole table: for a
+changed configuration or former-name table.
 
 ``trigger(availableNow=True)`` processes what has arrived and stops — the
 streaming form of the original's daily batch run. ``foreachBatch`` runs at
@@ -12,22 +18,35 @@ take the last complete one (``latest``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
-from matchlab.operators import clean
+from matchlab.operators import clean, incremental
 from matchlab.operators.features import match_features
 from matchlab.schemas import RESULTS
 from matchlab.sources import files
 
 
+def _arrivals(spark: SparkSession, inbox: str) -> DataFrame:
+    return (spark.readStream.schema(RESULTS).option("header", "true")
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+            .csv(inbox))
+
+
+def start_incremental(spark: SparkSession, inbox: str, store: str, checkpoint: str, former_names: DataFrame | None = None,
+                      cfg: FeatureConfig = NOTEBOOK, available_now: bool = True):
+    def _batch(batch: DataFrame, epoch_id: int) -> None:
+        m = clean.clean_matches(batch, former_names, cfg)
+        m = m.withColumn("match_id", F.col("match_id") + F.lit(epoch_id * (1 << 40)))
+        incremental.advance(spark, store, epoch_id, m, cfg)
+
+    w = _arrivals(spark, inbox).writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 day")).start()
+
+
 def start_refresh(spark: SparkSession, inbox: str, raw_path: str, matches_path: str, features_path: str,
                   checkpoint: str, former_names: DataFrame | None = None,
                   cfg: FeatureConfig = NOTEBOOK, available_now: bool = True):
-    raw = (spark.readStream.schema(RESULTS).option("header", "true")
-           .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-           .csv(inbox))
-
     def _batch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{raw_path}/epoch={epoch_id}")
         every = spark.read.schema(RESULTS).parquet(*[f"{raw_path}/epoch={e}" for e in range(epoch_id + 1)])
@@ -36,7 +55,7 @@ def start_refresh(spark: SparkSession, inbox: str, raw_path: str, matches_path:
         files.write_table(match_features(files.read_parquet(spark, built), cfg.with_(materialize_input=False)),
                           f"{features_path}/build={epoch_id}")
 
-    w = raw.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    w = _arrivals(spark, inbox).writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 day")
     return w.start()
 
