@@ -1,10 +1,11 @@
 """Model input, training, evaluation, explanation and scoring.
 
-Training runs on MLlib (the original fits a boosted-tree library on one
-machine). Three-class boosted trees are not in MLlib, so the default is a
-random forest with the original's tree count, depth and sampling rates;
-one-vs-rest GBTs with early stopping and multinomial logistic regression
-are options. Metrics, baselines and drivers are DataFrame aggregates.
+The original fits a boosted-tree library on one machine. ``model="gbt"`` is
+its counterpart: three-class boosted trees with the original's limits, grown
+on histograms that Spark sums (``boosting``), stopped on the joint log loss. The
+default is MLlib's random forest with the original's tree count, depth and
+sampling rates; multinomial logistic regression is an option. Metrics,
+baselines and drivers are DataFrame aggregates.
 """
 
 from __future__ import annotations
@@ -12,14 +13,16 @@ from __future__ import annotations
 import datetime as _dt
 import json
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import label_code, label_text, result_text
+from matchlab.operators import boosting
 from matchlab.operators.skew import running_total
 from matchlab.schemas import FEATURE_COLS, LABEL_MAP
 from matchlab.session import discard, materialize, materialize_counted, scratch_path
@@ -142,21 +145,24 @@ def _prepare(data: DataFrame, medians: dict | None, scale: bool) -> list:
 def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest", num_trees: int = 300,
         max_depth: int = 4, rate: float = 0.05, subsample: float = 0.8, colsample: float = 0.8,
         early_stopping_rounds: int = 20, validation_ratio: float = 0.1, min_instances: int = 3,
-        min_gain: float = 0.0, medians: dict | None = None, max_rows: int = TRAIN_ROWS):
+        min_gain: float | None = None, medians: dict | None = None, max_rows: int = TRAIN_ROWS):
     """M04+M05 (+M06 for ``model='gbt'``): a fitted model whose
     ``transform`` adds ``probability`` (3 classes) and ``prediction``.
-    ``min_instances`` and ``min_gain`` limit leaves and splits.
-
-    ``gbt``: three one-vs-rest MLlib GBTs (step ``rate``), each stopped early
-    by ``early_stopping_rounds`` on a hash-held-out validation part of
-    ``train`` (never the test split), probabilities normalised to sum 1.
-    MLlib draws features per node for forests only, so ``colsample`` is the
-    forest's."""
+    ``min_instances`` and ``min_gain`` (none given: 0.1 for ``gbt``, else 0)
+    limit leaves and splits.
+
+    ``gbt``: ``boosting.fit`` with ``num_trees`` rounds at most, stopped by
+    ``early_stopping_rounds`` on a hash-held-out validation part of ``train``
+    (never the test split); ``min_instances`` is the least hessian sum of a
+    leaf; all labelled rows are used."""
+    if model == "gbt":
+        p = boosting.Params(num_trees, max_depth, rate, subsample, colsample, float(min_instances), 0.1 if min_gain is None else min_gain,
+                            patience=early_stopping_rounds, classes=len(LABEL_MAP), seed=cfg.seed)
+        held = ((split_bucket("match_id") * 7919) % 10000) < int(validation_ratio * 10000)
+        return boosting.fit(train, FEATURE_COLS, held, p, fill=medians)
+    min_gain = min_gain or 0.0
     data = _training_input(train, max_rows)
     try:
-        if model == "gbt":
-            return OneVsRestGBT(cfg, max_depth, rate, subsample, num_trees, early_stopping_rounds,
-                                validation_ratio, min_instances, min_gain).fit(data, medians)
         clf = _classifier(model, cfg, num_trees, max_depth, subsample, colsample, min_instances, min_gain)
         return Pipeline(stages=[*_prepare(data, medians, model == "logistic"), clf]).fit(data)
     finally:
@@ -174,73 +180,6 @@ def _training_input(train: DataFrame, max_rows: int) -> DataFrame:
     return data
 
 
-def best_iteration(losses: list[float], patience: int) -> int:
-    """The round (from 1) with the smallest loss among those before ``patience``
-    rounds in a row brought none smaller."""
-    best, at = float("inf"), 0
-    for i, x in enumerate(losses, 1):
-        if x < best:
-            best, at = x, i
-        elif i - at >= patience:
-            break
-    return max(at, 1)
-
-
-class OneVsRestGBT:
-    """Three binary GBTs (class k vs rest) with normalised probabilities."""
-
-    def __init__(self, cfg, max_depth, rate, subsample, max_iter, patience, validation_ratio, min_instances=1, min_gain=0.0):
-        self.cfg, self.max_depth, self.rate, self.subsample = cfg, max_depth, rate, subsample
-        self.max_iter, self.patience, self.validation_ratio = max_iter, patience, validation_ratio
-        self.min_instances, self.min_gain = min_instances, min_gain
-        self.models, self.best_iterations = [], []
-
-    def _gbt(self, rounds):
-        return GBTClassifier(featuresCol="features", labelCol="_y", maxDepth=self.max_depth, stepSize=self.rate,
-                             subsamplingRate=self.subsample, maxIter=rounds, minInstancesPerNode=self.min_instances,
-                             minInfoGain=self.min_gain, seed=self.cfg.seed)
-
-    def fit(self, train, medians=None):
-        """Each class's model is grown to the full number of rounds, its loss
-        after every round is taken on the validation part, and the rounds up to
-        the best one are kept (fitted again: the same seed gives the same trees)."""
-        b = split_bucket("match_id")
-        t = train.withColumn("_val", ((b * 7919) % 10000) < int(self.validation_ratio * 10000))
-        self.prep = Pipeline(stages=_prepare(t, medians, False)).fit(t)
-        data = self.prep.transform(t)
-        for k in sorted(LABEL_MAP.values()):
-            own = data.withColumn("_y", (F.col("label") == k).cast("double"))
-            grown = self._gbt(self.max_iter).fit(own.where("NOT _val"))
-            held = own.where("_val")
-            losses = [] if held.isEmpty() else grown.evaluateEachIteration(held)
-            rounds = best_iteration(losses, self.patience) if losses else self.max_iter
-            self.best_iterations.append(rounds)
-            self.models.append(grown if rounds == self.max_iter else self._gbt(rounds).fit(own.where("NOT _val")))
-        return self
-
-    def save(self, path: str) -> None:
-        for name, m in [("prepare", self.prep), *((f"class_{k}", m) for k, m in enumerate(self.models))]:
-            m.write().overwrite().save(f"{path}/{name}")
-
-    @classmethod
-    def load(cls, path: str):
-        out = cls(NOTEBOOK, 0, 0.0, 0.0, 0, 0, 0.0)
-        out.prep = PipelineModel.load(f"{path}/prepare")
-        out.models = [GBTClassificationModel.load(f"{path}/class_{k}") for k in sorted(LABEL_MAP.values())]
-        return out
-
-    def transform(self, df):
-        out = self.prep.transform(df)
-        for k, m in enumerate(self.models):
-            out = (m.transform(out).withColumn(f"_q{k}", vector_to_array(F.col("probability"))[1])
-                   .drop("probability", "rawPrediction", "prediction"))
-        total = F.col("_q0") + F.col("_q1") + F.col("_q2")
-        out = out.withColumn("_pa", F.array(*[F.col(f"_q{k}") / total for k in range(3)]))
-        p = F.col("_pa")
-        pred = F.when((p[0] >= p[1]) & (p[0] >= p[2]), 0.0).when(p[1] >= p[2], 1.0).otherwise(2.0)
-        return out.select(*df.columns, array_to_vector("_pa").alias("probability"), pred.alias("prediction"))
-
-
 def predict(model, df: DataFrame) -> DataFrame:
     """Adds prediction (0/1/2), predicted_result (W/D/L) and the three
     class probabilities as doubles."""
@@ -362,6 +301,40 @@ def fixed_predict(df: DataFrame) -> DataFrame:
     return out.withColumn("prediction", best).select(*df.columns, "prediction", label_text("prediction").alias("predicted_result"), *PROB_COLS)
 
 
+#: A small fixed ensemble over the features: (feature, greatest value that goes
+#: left, left, right) or a leaf's weight; one tree a class and round.
+FIXED_ROUNDS = [
+    [("home_win_rate_last10", 0.3, ("away_win_rate_last10", 0.5, 0.1, -0.2), ("away_win_rate_last10", 0.3, 0.4, 0.15)),
+     ("h2h_total", 8.0, 0.05, -0.1),
+     ("away_win_rate_last10", 0.5, -0.1, 0.35)],
+    [("home_goal_diff_trend", 0.0, -0.05, 0.2), 0.0, ("home_goal_diff_trend", 0.0, 0.1, ("home_win_rate_last10", 0.5, -0.05, -0.3))],
+]
+
+
+def fixed_trees() -> boosting.Booster:
+    """``FIXED_ROUNDS`` as a model. Not fitted; its predictions can be written in SQL."""
+    cuts = {c: set() for c in FEATURE_COLS}
+
+    def collect(node):
+        if isinstance(node, tuple):
+            cuts[node[0]].add(node[1])
+            collect(node[2]), collect(node[3])
+
+    def fill(tree, node, i):
+        if isinstance(node, tuple):
+            tree.feature[i], tree.cut[i], tree.gain[i] = FEATURE_COLS.index(node[0]), sorted(cuts[node[0]]).index(node[1]), 1.0
+            fill(tree, node[2], 2 * i + 1), fill(tree, node[3], 2 * i + 2)
+        else:
+            tree.value[i] = node
+        return tree
+
+    for own in FIXED_ROUNDS:
+        for node in own:
+            collect(node)
+    trees = [[fill(boosting.Tree.root(2), node, 0) for node in own] for own in FIXED_ROUNDS]
+    return boosting.Booster(FEATURE_COLS, [np.array(sorted(cuts[c])) for c in FEATURE_COLS], trees)
+
+
 def fixed_importance(spark) -> DataFrame:
     """feature, importance_pct of the fixed model: shares of the absolute weights."""
     w = {f"{side}_{stem}": abs(x) for stem, x in FIXED_STEM_WEIGHTS.items() for side in ("home", "away")}
@@ -386,22 +359,21 @@ def baseline_lift(train: DataFrame, test: DataFrame, pred: DataFrame, digits: in
 # ---------------------------------------------------------------- M12
 
 def feature_importance(model, top: int | None = None) -> DataFrame:
-    """Feature, importance, percent of total, rank; for a forest with
-    ``mean_gain`` (per split) and ``n_splits`` as well, and importance is the
-    mean gain. One row per feature (18), built from the fitted model."""
+    """Feature, importance, percent of total, rank; for trees of any kind
+    importance is the mean gain per split, with ``mean_gain`` and ``n_splits``
+    (gain and weight) as well; for a linear model, the sum of absolute
+    coefficients. One row per feature (18), built from the fitted model."""
     spark = _spark()
     last = model.stages[-1] if isinstance(model, PipelineModel) else None
-    if last is not None and hasattr(last, "featureImportances"):
+    if isinstance(model, boosting.Booster):
+        df = spark.createDataFrame(model.importance(), "feature string, mean_gain double, n_splits bigint").withColumn("importance", F.col("mean_gain"))
+    elif last is not None and hasattr(last, "featureImportances"):
         stats = {r["feature"]: r for r in tree_split_stats(model, scratch_path(spark, "forest")).collect()}      # 18 rows at most
         rows = [(c, float(stats[c]["mean_gain"]) if c in stats else 0.0, int(stats[c]["n_splits"]) if c in stats else 0) for c in FEATURE_COLS]
         df = spark.createDataFrame(rows, "feature string, mean_gain double, n_splits bigint").withColumn("importance", F.col("mean_gain"))
     else:
-        if isinstance(model, OneVsRestGBT):
-            arrs = [m.featureImportances.toArray() for m in model.models]
-            imp = [float(sum(a[i] for a in arrs) / len(arrs)) for i in range(len(FEATURE_COLS))]
-        else:
-            coef = last.coefficientMatrix.toArray()
-            imp = [float(sum(abs(coef[r][i]) for r in range(coef.shape[0]))) for i in range(len(FEATURE_COLS))]
+        coef = last.coefficientMatrix.toArray()
+        imp = [float(sum(abs(coef[r][i]) for r in range(coef.shape[0]))) for i in range(len(FEATURE_COLS))]
         df = spark.createDataFrame(list(zip(FEATURE_COLS, imp)), "feature string, importance double")
     w = Window.orderBy(F.desc("importance"), F.asc("feature"))
     out = df.select("feature", "importance",
@@ -483,9 +455,9 @@ def save_model(model, path: str, metadata: dict) -> None:
     """The fitted model (with the values that fill nulls) and a one-row
     metadata table next to it; ``metadata`` should have n_training_samples."""
     md = dict(metadata)
-    if isinstance(model, OneVsRestGBT):
-        model.save(f"{path}/model")
-        md.setdefault("best_iteration", model.best_iterations)
+    if isinstance(model, boosting.Booster):
+        model.save(f"{path}/model", _spark())
+        md.setdefault("best_iteration", model.best_iteration)
         md["model"] = "gbt"
     else:
         model.write().overwrite().save(f"{path}/model")
@@ -503,7 +475,7 @@ def load_metadata(path: str) -> dict:
 
 def load_model(path: str):
     if load_metadata(path).get("model") == "gbt":
-        return OneVsRestGBT.load(f"{path}/model")
+        return boosting.Booster.load(f"{path}/model", _spark())
     return PipelineModel.load(f"{path}/model")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +45,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers on this machine find the package where the driver found
+    it; on other machines it is sent along with the application (--py-files)."""
+    environment = spark.sparkContext.environment
+    top = str(Path(__file__).resolve().parents[1])
+    if top not in environment.get("PYTHONPATH", "").split(":"):
+        environment["PYTHONPATH"] = ":".join(filter(None, [top, environment.get("PYTHONPATH")]))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

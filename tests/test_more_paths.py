@@ -77,41 +77,12 @@ def test_model_does_not_depend_on_the_input_partitions(spark):
     assert probs[0] == probs[1]
 
 
-def test_best_iteration():
-    assert ml.best_iteration([5, 4, 3, 3.5, 3.2, 3.1, 2.0], 3) == 3
-    assert ml.best_iteration([5, 4, 3, 3.5, 3.2, 3.1, 2.0], 4) == 7
-    assert ml.best_iteration([1.0, 2.0], 5) == 1 and ml.best_iteration([], 5) == 1
-
-
-def test_gbt_stops_early_and_is_saved(spark):
-    df = _toy(spark, 600).withColumn("label", (F.xxhash64("match_id") % 3).cast("int") * 1.0)      # nothing to learn
-    df = df.withColumn("label", F.abs("label"))
-    model = ml.fit(df, NOTEBOOK, "gbt", num_trees=15, max_depth=3, rate=0.5, early_stopping_rounds=2, validation_ratio=0.3)
-    assert all(b < 15 for b in model.best_iterations)
-    assert [m.getNumTrees for m in model.models] == model.best_iterations
-    base = scratch_path(spark, "gbt")
-    ml.save_model(model, base, {"n_training_samples": 600})
-    assert ml.load_metadata(base)["best_iteration"] == model.best_iterations
-    a, b = (rows(ml.predict(m, df).orderBy("match_id"), "prediction", "win_prob") for m in (model, ml.load_model(base)))
-    assert a == b
-
-
 def test_training_rows_are_bounded(spark):
     df = _toy(spark, 900)
     data = ml._training_input(df, 300)
     assert 200 < data.count() < 400
 
 
-def test_gbt_one_vs_rest(spark):
-    df = _toy(spark)
-    model = ml.fit(df, NOTEBOOK, "gbt", num_trees=8, max_depth=2)
-    p = ml.predict(model, df)
-    s = p.select((F.col("win_prob") + F.col("draw_prob") + F.col("loss_prob")).alias("s")).collect()
-    assert all(abs(r["s"] - 1) < 1e-9 for r in s)
-    assert ml.accuracy_logloss(p).first()["accuracy"] > 0.5
-    assert ml.feature_importance(model).count() == len(FEATURE_COLS)
-
-
 def test_raw_drivers(spark):
     scored = spark.createDataFrame([(1, *[float(i) for i in range(len(FEATURE_COLS))])],
                                    "fixture_id bigint, " + ", ".join(f"{c} double" for c in FEATURE_COLS))
