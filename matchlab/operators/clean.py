@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import goal_diff, parse_bool, parse_date, result_code, to_int
+from matchlab.operators.intervals import latest_period
 from matchlab.operators.skew import ranged
 from matchlab.session import materialize
 
@@ -44,12 +45,11 @@ def normalise_names(df: DataFrame, former_names: DataFrame, cols=("home_team", "
             out = (out.join(m, on=c, how="left")
                    .withColumn(c, F.coalesce(F.col(f"_{c}_new"), F.col(c))).drop(f"_{c}_new"))
         return out.select(*df.columns)
-    lk = name_lookup(former_names, with_dates=True).groupBy("former").agg(F.sort_array(F.collect_list(F.struct(
-        F.coalesce("start_date", F.lit("0001-01-01").cast("date")).alias("s"), "current", F.col("end_date").alias("e"))), False).alias("names"))
+    lk = name_lookup(former_names, with_dates=True)
     for c in cols:
-        m = lk.select(F.col("former").alias(c), F.col("names").alias("_names"))
-        valid = F.filter("_names", lambda x: (F.col("date") >= x["s"]) & (x["e"].isNull() | (F.col("date") <= x["e"])))
-        out = out.join(m, on=c, how="left").withColumn(c, F.coalesce(F.get(valid, F.lit(0))["current"], F.col(c))).drop("_names")
+        names = lk.select(F.col("former").alias(c), F.col("start_date").alias("_s"), F.col("end_date").alias("_e"), F.col("current").alias("_new"))
+        found = latest_period(out.select(c, "date"), names, [c], "date", "_s", "_e", "_new")
+        out = out.join(found, [c, "date"], "left").withColumn(c, F.coalesce("_new", c)).drop("_new")
     return out.select(*df.columns)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import label_code, label_text, result_text
 from matchlab.operators import boosting
-from matchlab.operators.skew import running_total
+from matchlab.operators.skew import ranged, running_total
 from matchlab.schemas import FEATURE_COLS, LABEL_MAP
 from matchlab.session import discard, materialize, materialize_counted, scratch_path
 
@@ -49,6 +49,27 @@ def split_bucket(col: str = "match_id") -> Column:
     return F.conv(F.substring(F.md5(F.col(col).cast("string")), 1, 8), 16, 10).cast("bigint") % 10000
 
 
+def stratified_split(df: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "match_id", label: str = "label"):
+    """(train, test) with exactly round(ratio * n) test rows of each class of
+    n rows (half up): those with the smallest md5 of their key (ties: smallest
+    key). Rows get their rank within the class from sorted ranges and the counts
+    of earlier ranges, so a class of any size is spread over many tasks, and the
+    split is the same on any layout. Rows are told apart by their key; rows with
+    the same key may come in either part."""
+    r = ranged(df.withColumn("_h", F.md5(F.col(key).cast("string"))), [label, "_h", key], name="split")
+    part = [label, "_range"]
+    counts = r.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    by_class = Window.partitionBy(label)
+    counts = counts.select(*[F.col(c).alias(f"{c}_") for c in part],
+                           F.coalesce(F.sum("_n").over(by_class.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                           F.floor(F.sum("_n").over(by_class) * F.lit(cfg.test_ratio) + 0.5).alias("_take"))
+    rank = F.row_number().over(Window.partitionBy(*part).orderBy("_h", key))
+    both = r.withColumn("_rank", rank).join(counts, F.col(label).eqNullSafe(F.col(f"{label}_")) & (F.col("_range") == F.col("_range_")))
+    test = F.col("_before") + F.col("_rank") <= F.col("_take")
+    both = materialize(both.select(*df.columns, test.alias("_test")), "split")
+    return both.where("NOT _test").drop("_test"), both.where("_test").drop("_test")
+
+
 def split(df: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "match_id"):
     """(train, test) by hash bucket; each class keeps the ratio in
     expectation (the share of a class of n rows in the test part has a

@@ -96,17 +96,29 @@ def _borders(r: DataFrame, key: str, inputs: list[str], depth: int) -> DataFrame
     return before.select(*part, F.inline("_b"))
 
 
-def _ranged(tv: DataFrame, cfg: FeatureConfig, key: str, days: DataFrame | None = None) -> DataFrame:
+def _row_frames(tv: DataFrame, cfg: FeatureConfig, key: str, shift: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``tv`` in written ranges, and its rows with the row frames, which begin
+    and end ``shift`` rows later."""
     depth = _depth()
     inputs = sorted({c for _, c, _, _ in ROW_FRAMES + COUNT_FRAMES})
     r = ranged(tv, [key, "day", "match_id"], cfg.range_partitions)
-    calendar = _calendar(day_sums(r, cfg, key) if days is None else days, cfg, key)
     borders = _borders(r, key, inputs, depth).withColumn("_border", F.lit(True))
     both = r.withColumn("_border", F.lit(False)).unionByName(borders, allowMissingColumns=True)
     w = Window.partitionBy(key, "_range").orderBy("day", "match_id")
-    rows = both.select("*", *[F.avg(c).over(w.rowsBetween(lo, hi)).alias(n) for n, c, lo, hi in ROW_FRAMES],
-                       *[F.count(c).over(w.rowsBetween(lo, hi)).alias(n) for n, c, lo, hi in COUNT_FRAMES]).where("NOT _border")
-    return rows.join(calendar, [key, "day"], "left").select(*tv.columns, *[n for n, _, _, _ in ROW_FRAMES + COUNT_FRAMES], *[n for n, _, _, _ in range_frames(cfg)])
+    rows = both.select("*", *[F.avg(c).over(w.rowsBetween(lo + shift, hi + shift)).alias(n) for n, c, lo, hi in ROW_FRAMES],
+                       *[F.count(c).over(w.rowsBetween(lo + shift, hi + shift)).alias(n) for n, c, lo, hi in COUNT_FRAMES]).where("NOT _border")
+    return r, rows.select(*tv.columns, *[n for n, _, _, _ in ROW_FRAMES + COUNT_FRAMES])
+
+
+def _ranged(tv: DataFrame, cfg: FeatureConfig, key: str, days: DataFrame | None = None) -> DataFrame:
+    r, rows = _row_frames(tv, cfg, key)
+    calendar = _calendar(day_sums(r, cfg, key) if days is None else days, cfg, key)
+    return rows.join(calendar, [key, "day"], "left").select(*rows.columns, *[n for n, _, _, _ in range_frames(cfg)])
+
+
+def after_matches(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "team") -> DataFrame:
+    """Row frames that end with the row itself: a team's form once the match is played."""
+    return _row_frames(tv, cfg, key, 1)[1]
 
 
 def rolling_features(tv: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "team", days: DataFrame | None = None) -> DataFrame:

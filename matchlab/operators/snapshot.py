@@ -108,7 +108,13 @@ def fixture_features(fixtures: DataFrame, form: DataFrame, h2h: DataFrame,
     f = f.withColumn("_ta", pair_a(h, a)).withColumn("_tb", pair_b(h, a))
     hh = h2h.select(F.col("team_a").alias("_ta"), F.col("team_b").alias("_tb"),
                     F.col("h2h_team_a_win_rate").alias("_r"), F.col("h2h_total").alias("_n"))
-    f = f.join(hh, on=["_ta", "_tb"], how="left")
+    return assemble(f.join(hh, on=["_ta", "_tb"], how="left"), cfg)
+
+
+def assemble(f: DataFrame, cfg: FeatureConfig = NOTEBOOK) -> DataFrame:
+    """The 18 model inputs of fixtures with ``_home_*`` and ``_away_*`` stems,
+    ``_ta`` (the pair's first team), ``_r`` and ``_n`` (its rate and total)."""
+    h = F.col("home_team")
     flipped = 1.0 - F.col("_r") - cfg.h2h_flip_constant
     if cfg.h2h_flip_clamp:
         flipped = F.greatest(F.lit(0.0), flipped)

@@ -9,7 +9,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from matchlab.config import NOTEBOOK
-from matchlab.operators import clean, h2h, incremental, marts, ml, quality, reports, snapshot
+from matchlab.operators import asof, clean, h2h, incremental, marts, ml, quality, reports, snapshot
 from matchlab.operators.features import match_features, pair_features, team_features
 from matchlab.operators.perspective import team_view
 from matchlab.schemas import FEATURE_COLS, RESULTS
@@ -467,6 +467,30 @@ def j07_j08_unknown_teams(spark, sf):
     return fixture_inputs(spark, sf, mf)
 
 
+def dated_fixtures(spark, sf):
+    """Every fixture three times: at its date, and on two dates among the matches."""
+    f = fixtures(spark, sf)
+    dates = F.array(F.date_add(F.lit(_dt.date(1996, 1, 1)), (F.col("fixture_id") % 900).cast("int")),
+                    F.date_add(F.lit(_dt.date(1999, 1, 1)), (F.col("fixture_id") % 700).cast("int")), F.col("match_date"))
+    return f.select("group_name", "home_team", "away_team", F.posexplode(dates).alias("_k", "match_date"), "fixture_id").select(
+        (F.col("fixture_id") * 10 + F.col("_k")).alias("fixture_id"), "group_name", "home_team", "away_team", "match_date")
+
+
+def j07_j08_as_of(spark, sf):
+    return asof.fixture_features_as_of(dated_fixtures(spark, sf), materialize(matches(spark, sf), "matches"), NOTEBOOK)
+
+
+def m03_stratified_split(spark, sf):
+    """The exact stratified split of the labelled matches, by id."""
+    train, test = ml.stratified_split(ml.training_set(features(spark, sf, reuse=False), NOTEBOOK).select("match_id", "label"), NOTEBOOK)
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+
+
+def s11_content_check(spark, sf):
+    m = matches(spark, sf).withColumn("year", F.year("date"))
+    return files.write_verified(m, scratch_path(spark, "matches_rt"), "matches", partition_by=["year"], sort_within=["date", "match_id"])
+
+
 def m17_drivers_fixed(spark, sf):
     train, _ = train_test(spark, sf)
     scored = reports.top_k(fixed_predictions(spark, sf, keep_features=True), 10)

@@ -74,6 +74,40 @@ def write_counted(df: DataFrame, path: str, name: str = "rows", **kw) -> DataFra
         F.when(F.col("rows_read") == F.lit(written), "PASS").otherwise("FAIL").alias("status"))
 
 
+def content_sums(df: DataFrame) -> list:
+    """Aggregates that tell tables of different content apart, whatever the
+    order of rows: the number of rows and the sums of two 64-bit hashes of each row
+    (each column with a mark for null, so that nulls in different places differ)."""
+    marked = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    two = [F.xxhash64(F.lit(seed), *marked).cast("decimal(38,0)") for seed in (1, 2)]
+    return [F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias(f"h{i}") for i, h in enumerate(two)]]
+
+
+def write_verified(df: DataFrame, path: str, name: str = "rows", **kw) -> DataFrame:
+    """S05 + S11: write, and compare what is read back with what was written by
+    content: (table_name, rows_written, rows_read, same_content, status). The
+    sums are taken on the write path (``observe``) and in one scan of the table."""
+    from pyspark.sql import Observation
+
+    from matchlab.session import discard, materialize
+    obs = Observation(f"content_{name}")
+    staged = materialize(df.observe(obs, *content_sums(df)), f"staged_{name}")
+    written = obs.get
+    write_table(staged, path, **kw)
+    discard(staged)
+    return compare_content(df.sparkSession, path, name, written, df.columns)
+
+
+def compare_content(spark: SparkSession, path: str, name: str, written: dict, columns: list[str]) -> DataFrame:
+    back = read_parquet(spark, path).select(*columns)
+    n, same = F.col("n") == written["n"], F.lit(True)
+    for h in ("h0", "h1"):
+        same = same & (F.col(h) == F.lit(written[h]).cast("decimal(38,0)"))
+    return back.agg(*content_sums(back)).select(
+        F.lit(name).alias("table_name"), F.lit(written["n"]).cast("bigint").alias("rows_written"), F.col("n").alias("rows_read"),
+        same.alias("same_content"), F.when(n & same, "PASS").otherwise("FAIL").alias("status"))
+
+
 def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
     """The first n rows (in ``order_by`` order when given)."""
     return (df.orderBy(*order_by) if order_by else df).limit(n)
