@@ -709,6 +709,12 @@ FROM per_team"""
 SELECT match_id, label, CASE WHEN k <= take THEN 'test' ELSE 'train' END AS part FROM r"""
     q["s11_content_check"] = _with(_MATCHES) + ("SELECT 'matches' AS table_name, count(*) AS rows_written, count(*) AS rows_read, "
                                                 "true AS same_content, 'PASS' AS status FROM matches")
+    q["l10_ordered_files"] = _with(_MATCHES) + (
+        "SELECT match_id, date, home_team, away_team, row_number() OVER (ORDER BY date, match_id) AS position FROM matches")
+    q["a06_result_strings"] = _with(_MATCHES, _tv()) + """, n AS (
+  SELECT team, CASE WHEN win = 1 THEN 'W' WHEN draw = 1 THEN 'D' ELSE 'L' END AS code,
+         row_number() OVER (PARTITION BY team ORDER BY day, match_id) - 1 AS k FROM tv)
+SELECT team, k // 100 AS part, string_agg(code, '' ORDER BY k) AS results FROM n GROUP BY 1, 2"""
     q["j07_j08_as_of"] = _with(_MATCHES, _tv(), _FIX, _AS_OF) + "SELECT * FROM ff"
     q["m07_fixed_trees"] = _SQL_ML + """, s AS (
   SELECT match_id,
@@ -844,6 +850,10 @@ SELECT group_name,
        string_agg(substr(home_team, 1, 3) || '-' || substr(away_team, 1, 3) || ': ' || predicted_result,
                   ' | ' ORDER BY match_date, fixture_id) AS results
 FROM preds GROUP BY group_name"""
+    q["l15_group_line_parts"] = P + """, n AS (
+  SELECT group_name, substr(home_team, 1, 3) || '-' || substr(away_team, 1, 3) || ': ' || predicted_result AS t,
+         row_number() OVER (PARTITION BY group_name ORDER BY match_date, fixture_id) - 1 AS k FROM preds)
+SELECT group_name, k // 4 AS part, string_agg(t, ' | ' ORDER BY k) AS results FROM n GROUP BY 1, 2"""
     q["j09_predictions_with_features"] = P + "SELECT p.*, " + ", ".join(
         f"f.{c}" for c in _FEATURES) + " FROM preds p JOIN ff f ON p.fixture_id = f.fixture_id"
     q["m19_result_text"] = P + """

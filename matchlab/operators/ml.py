@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import label_code, label_text, result_text
 from matchlab.operators import boosting
-from matchlab.operators.skew import ranged, running_total
+from matchlab.operators.selection import exact_ranks
+from matchlab.operators.skew import positions
 from matchlab.schemas import FEATURE_COLS, LABEL_MAP
 from matchlab.session import discard, materialize, materialize_counted, scratch_path
 
@@ -56,17 +57,9 @@ def stratified_split(df: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "m
     of earlier ranges, so a class of any size is spread over many tasks, and the
     split is the same on any layout. Rows are told apart by their key; rows with
     the same key may come in either part."""
-    r = ranged(df.withColumn("_h", F.md5(F.col(key).cast("string"))), [label, "_h", key], name="split")
-    part = [label, "_range"]
-    counts = r.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    by_class = Window.partitionBy(label)
-    counts = counts.select(*[F.col(c).alias(f"{c}_") for c in part],
-                           F.coalesce(F.sum("_n").over(by_class.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-                           F.floor(F.sum("_n").over(by_class) * F.lit(cfg.test_ratio) + 0.5).alias("_take"))
-    rank = F.row_number().over(Window.partitionBy(*part).orderBy("_h", key))
-    both = r.withColumn("_rank", rank).join(counts, F.col(label).eqNullSafe(F.col(f"{label}_")) & (F.col("_range") == F.col("_range_")))
-    test = F.col("_before") + F.col("_rank") <= F.col("_take")
-    both = materialize(both.select(*df.columns, test.alias("_test")), "split")
+    placed = positions(df.withColumn("_h", F.md5(F.col(key).cast("string"))), [label], ["_h", key], "_rank", "_n")
+    test = F.col("_rank") <= F.floor(F.col("_n") * F.lit(cfg.test_ratio) + 0.5)
+    both = materialize(placed.select(*df.columns, test.alias("_test")), "split")
     return both.where("NOT _test").drop("_test"), both.where("_test").drop("_test")
 
 
@@ -80,26 +73,12 @@ def split(df: DataFrame, cfg: FeatureConfig = NOTEBOOK, key: str = "match_id"):
 
 
 def feature_medians(df: DataFrame, cols=FEATURE_COLS) -> DataFrame:
-    """Exact median per column (mean of the two middle values for an
-    even count), distributed with bounded tasks:
-
-    1. values are counted per (column, value) — partial aggregation, so a
-       value held by a third of the rows costs one row per map task;
-    2. the running count over the distinct values of each column is
-       ``skew.running_total``: range-partitioned, so however many distinct
-       values a column has, no task holds more than one range.
-    """
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                                 F.col(c).cast("double").alias("v")) for c in cols])))
-    hist = long.filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("k"))
-    n = hist.groupBy("column_name").agg(F.sum("k").alias("n"))
-    h = running_total(hist, ["column_name"], "v", "k", "cum").join(n, on="column_name")
-    lo = F.floor((F.col("n") + 1) / 2)
-    hi = F.ceil((F.col("n") + 1) / 2)
-    # value at rank r = smallest v with cum >= r
-    return h.groupBy("column_name").agg(
-        ((F.min(F.when(F.col("cum") >= lo, F.col("v"))) + F.min(F.when(F.col("cum") >= hi, F.col("v")))) / 2.0)
-        .alias("median"))
+    """column_name, median per column (mean of the two middle values
+    for an even count), by exact selection (``selection.exact_ranks``): a few
+    scans of the columns, no shuffle of rows. Columns without values are left out."""
+    found = exact_ranks(df, list(cols), lambda n: sorted({(n + 1) // 2, n // 2 + 1}))
+    rows = [(c, (min(v.values()) + max(v.values())) / 2.0) for c, (_, v) in found.items() if v]
+    return df.sparkSession.createDataFrame(rows, "column_name string, median double")
 
 
 def impute_values(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, cols=FEATURE_COLS) -> dict:

@@ -5,9 +5,12 @@ rows of a test table (one row per declared test)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
-from matchlab.operators.skew import ranged, running_total
+from matchlab.operators.selection import exact_ranks
+from matchlab.operators.skew import ranged
 from matchlab.session import materialize
 
 
@@ -51,23 +54,18 @@ def class_distribution(df: DataFrame, col: str = "result") -> DataFrame:
 def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """column_name and one column ``p{100*prob}`` per probability: exact
     quantiles with linear interpolation between the two nearest ranks (the
-    pandas / ``quantile_cont`` rule). Values are counted per (column,
-    value) with partial aggregation and ranked with a range-partitioned
-    running count, so no task holds a whole column."""
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                                 F.col(c).cast("double").alias("v")) for c in cols])))
-    hist = long.filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("k"))
-    n = hist.groupBy("column_name").agg(F.sum("k").alias("n"))
-    h = running_total(hist, ["column_name"], "v", "k", "cum").join(n, on="column_name")
-    aggs, outs = [], []
-    for i, p in enumerate(probs):
-        pos = (F.col("n") - 1) * float(p)
-        aggs += [F.min(F.when(F.col("cum") >= F.floor(pos) + 1, F.col("v"))).alias(f"_lo{i}"),
-                 F.min(F.when(F.col("cum") >= F.ceil(pos) + 1, F.col("v"))).alias(f"_hi{i}"),
-                 F.max(pos - F.floor(pos)).alias(f"_f{i}")]
-        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}"))
-                    .alias(f"p{int(round(p * 100))}"))
-    return h.groupBy("column_name").agg(*aggs).select("column_name", *outs)
+    pandas / ``quantile_cont`` rule), by exact selection: a few scans of the
+    columns, no shuffle of rows. Columns without values are left out."""
+    def at(n, p):
+        return (n - 1) * float(p)
+
+    found = exact_ranks(df, cols, lambda n: sorted({int(f(at(n, p))) + 1 for p in probs for f in (math.floor, math.ceil)}))
+    rows = []
+    for c, (n, v) in found.items():
+        if n:
+            ends = [(v[math.floor(at(n, p)) + 1], v[math.ceil(at(n, p)) + 1], at(n, p) - math.floor(at(n, p))) for p in probs]
+            rows.append((c, *[lo + (hi - lo) * part for lo, hi, part in ends]))
+    return df.sparkSession.createDataFrame(rows, "column_name string, " + ", ".join(f"p{int(round(p * 100))} double" for p in probs))
 
 
 def column_summary(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from matchlab.functions.columns import day_month, flip_result, pair_a, pair_b, pct_text, result_text
 from matchlab.operators.perspective import group_members, predicted_wins
+from matchlab.operators.skew import positions
 
 
 def last_n(matches: DataFrame, n: int = 10) -> DataFrame:
@@ -33,6 +34,16 @@ def ordered_string(df: DataFrame, keys, order_col: str, text_col: str, sep: str,
     return df.groupBy(*keys).agg(F.array_join(F.transform(s, lambda x: x["t"]), sep).alias(out))
 
 
+def ordered_string_parts(df: DataFrame, keys: list[str], order: list[str], text_col: str, sep: str, out: str, rows_per_part: int = 10_000) -> DataFrame:
+    """A06 for groups of any size: per group and part (from 0), ``text_col`` of
+    ``rows_per_part`` rows joined by ``sep``; a group's parts joined by ``sep`` in
+    their order are its whole string. Rows get their place from sorted ranges
+    (``order`` tells a group's rows apart), so no task or row holds a group."""
+    placed = positions(df.select(*keys, *order, F.col(text_col).alias("_t")), keys, order, "_place")
+    placed = placed.withColumn("part", F.floor((F.col("_place") - 1) / rows_per_part))
+    return ordered_string(placed, [*keys, "part"], "_place", "_t", sep, out)
+
+
 def form_summary(last: DataFrame) -> DataFrame:
     """Per team over its last-n rows: wins, draws, losses, n,
     win_rate, form (results newest first, e.g. 'WDLWW'). The group is
@@ -96,12 +107,16 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
         F.count_if(r == "L").alias("n_away_wins"))
 
 
-def group_lines(predictions: DataFrame) -> DataFrame:
+def group_lines(predictions: DataFrame, rows_per_part: int | None = None) -> DataFrame:
     """One text line per group, e.g. 'Mex-Sou: W | Kor-Cze: D', ordered
-    by match date then fixture id."""
+    by match date then fixture id; with ``rows_per_part`` in numbered parts
+    of so many fixtures, for groups too large for one row."""
     t = F.concat(F.substring("home_team", 1, 3), F.lit("-"), F.substring("away_team", 1, 3),
                  F.lit(": "), F.col("predicted_result"))
     p = predictions.select("group_name", F.struct("match_date", "fixture_id").alias("_o"), t.alias("_t"))
+    if rows_per_part:
+        q = p.select("group_name", "_o.*", "_t")
+        return ordered_string_parts(q, ["group_name"], ["match_date", "fixture_id"], "_t", " | ", "results", rows_per_part)
     return ordered_string(p, ["group_name"], "_o", "_t", " | ", "results")
 
 

@@ -34,3 +34,19 @@ def running_total(df: DataFrame, group: list[str], order: str, amount: str, out:
     if not inclusive:   # strictly before: drop the rows tied with this one
         run = run - F.sum(amount).over(Window.partitionBy(*key, order))
     return r.join(totals, on=key, how="inner").select(*df.columns, (F.col("_before") + run).alias(out))
+
+
+def positions(df: DataFrame, group: list[str], order: list[str], out: str, size: str | None = None, partitions: int | None = None) -> DataFrame:
+    """``df`` with each row's place in its group (from 1, by ``order``, which
+    tells a group's rows apart) and, if ``size`` is given, the group's number
+    of rows: places within (group, range) plus the counts of earlier ranges."""
+    r = ranged(df, [*group, *order], partitions, "positions")
+    part = [*group, "_range"]
+    counts = r.groupBy(*part).agg(F.count(F.lit(1)).alias("_c"))
+    of_group = Window.partitionBy(*group) if group else Window.partitionBy()     # one row a range
+    before = F.coalesce(F.sum("_c").over(of_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*[F.col(c).alias(f"{c}_") for c in part], before.alias("_b"), F.sum("_c").over(of_group).alias("_all"))
+    place = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in part]
+    j = r.withColumn("_place", place).join(counts, same)
+    return j.select(*df.columns, (F.col("_b") + F.col("_place")).alias(out), *([F.col("_all").alias(size)] if size else []))

@@ -491,6 +491,23 @@ def s11_content_check(spark, sf):
     return files.write_verified(m, scratch_path(spark, "matches_rt"), "matches", partition_by=["year"], sort_within=["date", "match_id"])
 
 
+def l10_ordered_files(spark, sf):
+    """Every match with its place in date order, from files that follow each other."""
+    path, order = scratch_path(spark, "matches_by_date"), ["date", "match_id"]
+    files.write_ordered(matches(spark, sf).select("match_id", "date", "home_team", "away_team"), path, order)
+    return files.read_ordered(spark, path, order)
+
+
+def a06_result_strings(spark, sf):
+    """Every team's results in the order of its matches, in parts of 100."""
+    tv = team_view(matches(spark, sf)).withColumn("code", F.when(F.col("win") == 1, "W").when(F.col("draw") == 1, "D").otherwise("L"))
+    return reports.ordered_string_parts(tv, ["team"], ["day", "match_id"], "code", "", "results", 100)
+
+
+def l15_group_line_parts(spark, sf):
+    return reports.group_lines(fixed_predictions(spark, sf), 4)
+
+
 def m17_drivers_fixed(spark, sf):
     train, _ = train_test(spark, sf)
     scored = reports.top_k(fixed_predictions(spark, sf, keep_features=True), 10)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 # text fields are written and read verbatim (no blank trimming), so
 # padded names survive a round trip and the cleaning step trims them
@@ -74,6 +74,41 @@ def write_counted(df: DataFrame, path: str, name: str = "rows", **kw) -> DataFra
         F.when(F.col("rows_read") == F.lit(written), "PASS").otherwise("FAIL").alias("status"))
 
 
+def write_ordered(df: DataFrame, path: str, order: list[str], partitions: int | None = None) -> DataFrame:
+    """Files that follow each other in ``order`` (range partitions, sorted
+    inside; with an id as last column a hot date spreads over several files), and
+    below ``path`` a table of them, which is returned: ``file`` (number, from
+    0), ``path``, ``first``, ``last`` (keys), ``n_rows``, ``before`` (rows in
+    earlier files), ``follows`` (not before the last key of the file before). One
+    row a file is taken from the files themselves."""
+    cols = [F.col(c) for c in order]
+    parted = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    parted.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    key = F.struct(*order)
+    files = spark.read.schema(df.schema).parquet(path).groupBy(F.input_file_name().alias("path")).agg(
+        F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("n_rows"))
+    w = Window.partitionBy().orderBy("first", "last", "path")         # one row a file
+    files = files.select((F.row_number().over(w) - 1).alias("file"), "path", "first", "last", "n_rows",
+                         F.coalesce(F.sum("n_rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+                         F.coalesce(F.lag("last").over(w) <= F.col("first"), F.lit(True)).alias("follows"))
+    files.coalesce(1).write.mode("overwrite").parquet(f"{path}/_files")        # Spark's readers skip names with an underscore
+    return spark.read.parquet(f"{path}/_files")
+
+
+def read_ordered(spark: SparkSession, path: str, order: list[str], position: str = "position") -> DataFrame:
+    """What ``write_ordered`` wrote, with each row's place (from 1) in the
+    order over all files: its place in its own file after the rows of the files
+    before. Files that don't follow each other raise ValueError."""
+    files = spark.read.parquet(f"{path}/_files")
+    if not files.where("NOT follows").isEmpty():
+        raise ValueError(f"the files of {path} don't follow each other")
+    rows = spark.read.parquet(path).withColumn("_path", F.input_file_name())
+    place = F.row_number().over(Window.partitionBy("_path").orderBy(*order))
+    return rows.withColumn("_n", place).join(files.select(F.col("path").alias("_path"), "before"), "_path").select(
+        *[c for c in rows.columns if c != "_path"], (F.col("before") + F.col("_n")).alias(position))
+
+
 def content_sums(df: DataFrame) -> list:
     """Aggregates that tell tables of different content apart, whatever the
     order of rows: the number of rows and the sums of two 64-bit hashes of each row
