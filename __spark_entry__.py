@@ -813,6 +813,7 @@ FROM rk WHERE rank <= 5"""
     ) + _drivers("(value - mean) / (std + 1e-9) * w", "JOIN st USING (feature)")
     q["l11_pair_predictions"] = P + ("SELECT p.* FROM preds p, (SELECT home_team AS x, away_team AS y FROM fixtures ORDER BY fixture_id LIMIT 1) f "
                                      "WHERE (home_team = x AND away_team = y) OR (home_team = y AND away_team = x)")
+    q["p20_fixed_clock"] = P + "SELECT * EXCLUDE (predicted_at), TIMESTAMP '2002-06-01 06:30:00' AS predicted_at FROM preds"
     q["l16_inventory"] = _with(_MATCHES, _FIX) + """
 , t AS (SELECT 'matches' AS table_name, count(*) AS n_rows FROM matches UNION ALL SELECT 'fixtures', count(*) FROM fixtures)
 SELECT * FROM t UNION ALL SELECT 'TOTAL', CAST(sum(n_rows) AS BIGINT) FROM t"""
