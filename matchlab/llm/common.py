@@ -37,10 +37,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def release() -> None:
-    """Deletes what ``materialize`` has written so far: for callers that have
-    stored all results that read it."""
-    while _KEPT:
+def kept() -> int:
+    """How many tables ``materialize`` has written so far."""
+    return len(_KEPT)
+
+
+def release(since: int) -> None:
+    """Deletes what ``materialize`` has written after ``kept()`` was ``since``: for
+    a caller that has stored all results that read it, and that nothing else
+    used the library meanwhile."""
+    while len(_KEPT) > since:
         session.discard(_KEPT.pop())
 
 

@@ -21,9 +21,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from matchlab.llm.common import column, held_out, slices
+from matchlab.llm.common import column, held_out, materialize, slices
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
@@ -106,14 +106,18 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
 
 
 def predict(df: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str = "text",
-            pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """``df`` with the predicted language and its posterior probability."""
+            pred_col: str = "lang_pred", score_col: str = "score", fit_col: str | None = None) -> DataFrame:
+    """``df`` with the predicted language and its posterior probability; with
+    ``fit_col``, also the mean log-probability of the text's n-grams in that
+    language, and (``fit_col`` + ``_n``) their number."""
     if matrix.nbytes > (MATRIX_MB << 20) + 4096:
         raise ValueError("the matrix is too large to broadcast")
-    if {pred_col, score_col} & set(df.columns):
-        df = df.drop(pred_col, score_col)
+    fit = [fit_col, f"{fit_col}_n"] if fit_col else []
+    if {pred_col, score_col, *fit} & set(df.columns):
+        df = df.drop(pred_col, score_col, *fit)
     held = df.sparkSession.sparkContext.broadcast(matrix)
-    schema = StructType([*df.schema.fields, StructField(pred_col, StringType()), StructField(score_col, DoubleType())])
+    schema = StructType([*df.schema.fields, StructField(pred_col, StringType()), StructField(score_col, DoubleType()),
+                         *(StructField(c, kind()) for c, kind in zip(fit, (DoubleType, LongType)))])
 
     def run(batches):
         m = held.value[:BUCKETS + 1]
@@ -127,13 +131,20 @@ def predict(df: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str =
                 for b in got:
                     logs += np.add.reduceat(m[b], starts, axis=0, dtype=np.float64)
             counts = [len(ws) for ws in cut]
-            logs = np.add.reduceat(logs, np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64), axis=0) + prior
+            first = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
+            bare = np.add.reduceat(logs, first, axis=0)
+            logs = bare + prior
             preds, scores = ["und"] * len(texts), [0.0] * len(texts)
             for i, t in enumerate(texts):
                 if langs and any(map(str.isalpha, t)):
                     k = int(logs[i].argmax())
                     preds[i], scores[i] = langs[k], float(1 / np.exp(logs[i] - logs[i, k]).sum())
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], schema.names)
+            more = []
+            if fit:
+                grams = np.add.reduceat(sum(np.add.reduceat((b < BUCKETS).astype(np.int64), starts) for b in got), first)
+                own = [float(bare[i, langs.index(x)] / grams[i]) if x != "und" else 0.0 for i, x in enumerate(preds)]
+                more = [pa.array(own, pa.float64()), pa.array(grams, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64()), *more], schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -147,9 +158,52 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return predict(df.select(df[id_col].alias("doc_id"), out.alias("held_out"), df[text_col].alias("text")), langs, matrix).drop("text")
 
 
-def keep_identified(df: DataFrame, least: float = 0.5, text_col: str = "text", lang_col: str = "lang",
+#: Texts with at least so many n-grams teach a language's band, if there are so many of them.
+BAND_GRAMS, BAND_TEXTS = 300, 20
+_STEPS = 64
+
+
+def bands(fits: DataFrame, margin: float) -> dict[str, tuple[float, float]]:
+    """For each language of ``fits`` (``lang``, ``fit``) the median fit and how far
+    below it a text may lie: ``margin``, or 12 robust standard deviations if that is
+    more. Fits are counted in steps of 1/64, so the driver gets a bounded table."""
+    counts: dict[str, list] = {}
+    for r in fits.groupBy("lang", F.round(F.col("fit") * _STEPS).cast("int").alias("step")).count().collect():
+        counts.setdefault(r["lang"], []).append((r["step"] / _STEPS, r["count"]))
+
+    def median(pairs):
+        x, n = np.array(sorted(pairs)).T
+        return float(x[np.searchsorted(np.cumsum(n), n.sum() / 2)])
+
+    out = {}
+    for lang, pairs in counts.items():
+        if sum(n for _, n in pairs) >= BAND_TEXTS:
+            m = median(pairs)
+            out[lang] = m, max(margin, 12 * 1.4826 * median([(abs(x - m), n) for x, n in pairs]))
+    return out
+
+
+def keep_identified(df: DataFrame, least: float = 0.5, margin: float = 2.0, text_col: str = "text", lang_col: str = "lang",
                     id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` whose language can be told with probability ``least`` or more; its own columns."""
-    langs, matrix = train(df.where(~held_out(df[id_col], 4, 2)), text_col, lang_col)
-    found = predict(df, langs, matrix, text_col, "_lang_pred", "_lang_score")
-    return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least)).select(*df.columns)
+    """The rows of ``df`` whose language can be told with probability ``least``
+    or more, and whose n-grams are as likely in it as those of its training
+    texts: their mean log-probability isn't below the language's median by more
+    than ``margin`` (see ``bands``; for n below ``BAND_GRAMS`` n-grams by
+    sqrt(BAND_GRAMS / n) times that). Posteriors saturate after a few words
+    whatever the text is; this keeps out what is in none of the languages.
+    (Junk that is a good part of a language's labelled rows is learnt with it.) A
+    language with fewer than ``BAND_TEXTS`` longer training texts has no band; if no
+    row is labelled, nothing can be told and all rows stay. Own columns only."""
+    learnt = ~held_out(df[id_col], 4, 2)
+    langs, matrix = train(df.where(learnt), text_col, lang_col)
+    if not langs:
+        return df
+    found = materialize(predict(df.withColumn("_lang_learnt", learnt & df[lang_col].isNotNull()), langs, matrix, text_col, "_lang_pred", "_lang_score", "_lang_fit"), "lang_fit")
+    known = bands(found.where((F.col("_lang_pred") != "und") & F.col("_lang_learnt") & (F.col("_lang_fit_n") >= BAND_GRAMS))
+                  .select(F.col("_lang_pred").alias("lang"), F.col("_lang_fit").alias("fit")), margin)
+    rows = [(x, *known[x]) for x in known]      # a row a language: their number is bounded by the matrix's size
+    table = df.sparkSession.createDataFrame(rows, "_lang_pred string, _lang_median double, _lang_reach double")
+    short = F.greatest(F.lit(1.0), F.sqrt(BAND_GRAMS / F.col("_lang_fit_n")))
+    inside = F.col("_lang_fit") >= F.col("_lang_median") - F.col("_lang_reach") * short
+    out = found.join(F.broadcast(table), "_lang_pred", "left")
+    return out.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least) & F.coalesce(inside, F.lit(True))).select(*df.columns)

@@ -131,8 +131,10 @@ def dedup_lines(df: DataFrame, run: int = 2, id_col: str = "doc_id", text_col: s
 
 def drop_repeated_lines(df: DataFrame, run: int = 2, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``df`` with kept texts (and their lengths in ``chars_col``, if there),
-    without the documents of which nothing but blank lines is left."""
-    out = dedup_lines(df, run, id_col, text_col).where((F.col("n_removed") == 0) | F.col(text_col).rlike("[^ \t-\r]"))
+    without the documents of which nothing but blank lines is left. Columns of
+    the input that have the counts' names keep their values."""
+    own = {c: f"_own_{c}" for c in ("n_lines", "n_removed", "n_runs") if c in df.columns}
+    out = dedup_lines(df.withColumnsRenamed(own), run, id_col, text_col).where((F.col("n_removed") == 0) | F.col(text_col).rlike("[^ \t-\r]"))
     if chars_col in df.columns:
         out = out.withColumn(chars_col, F.length(text_col).cast(df.schema[chars_col].dataType))
-    return out.select(*df.columns)
+    return out.drop(*own).withColumnsRenamed({v: k for k, v in own.items()}).select(*df.columns)

@@ -315,9 +315,11 @@ def dedup_digests(df: DataFrame, length: int = 200, id_col: str = "doc_id", text
 
 def drop_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``df`` with what is left of its texts (and their lengths in
-    ``chars_col``, if there), without the documents of which nothing is left."""
-    out = remove_repeats(df, length, GRAM, id_col, text_col, as_text=True).where((F.col("n_removed") == 0) | (F.col("kept") != ""))
+    ``chars_col``, if there), without the documents of which nothing is left.
+    Columns of the input that have the counts' names keep their values."""
+    own = {c: f"_own_{c}" for c in ("n_bytes", "n_removed", "n_spans", "kept") if c in df.columns}
+    out = remove_repeats(df.withColumnsRenamed(own), length, GRAM, id_col, text_col, as_text=True).where((F.col("n_removed") == 0) | (F.col("kept") != ""))
     out = out.withColumn(text_col, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(text_col)))
     if chars_col in df.columns:
         out = out.withColumn(chars_col, F.length(text_col).cast(df.schema[chars_col].dataType))
-    return out.select(*df.columns)
+    return out.drop(*own).withColumnsRenamed({v: k for k, v in own.items()}).select(*df.columns)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from llm_cases import TEXTS, by_id, docs, edge, empty
@@ -69,3 +70,40 @@ def test_stage_keeps_columns(spark):
     out = keep_identified(df)
     assert out.columns == df.columns
     assert {r.doc_id for r in out.collect()} >= {4, 5, 9, 11, 12} and not {0, 1, 2, 3, 7} & {r.doc_id for r in out.collect()}
+
+
+def test_nothing_learnt_keeps_all(spark):
+    none = edge(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert keep_identified(none).count() == none.count() and keep_identified(empty(spark)).count() == 0
+
+
+def test_fit_by_brute_force(spark):
+    import numpy as np
+    df = docs(spark, ["the cat and the hat", "le chat et la souris", "the dog", "", None], ["en", "fr", "en", None, None])
+    names, m = train(df)
+    for r in predict(df, names, m, fit_col="fit").collect():
+        if r.lang_pred == "und":
+            assert r.fit == 0.0
+        else:
+            own = np.concatenate([b[b < BUCKETS] for b in features([r.text])[0]])
+            assert r.fit_n == len(own) and abs(r.fit - m[own, names.index(r.lang_pred)].astype(float).mean()) < 1e-6
+
+
+def test_junk_goes_and_clean_texts_stay(spark):
+    """Random Latin and Cyrillic letters and reversed texts, an eighth of all rows. Random letters
+    are labelled like their originals, so they are learnt from, too; reversed texts aren't (a twentieth of
+    labelled rows in one scheme is learnt as the language's own)."""
+    rnd = random.Random(1)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    long = [r for r in rows if r.text and len(r.text) > 300]
+    junk = []
+    for r in long[:150]:
+        how = len(junk) % 3
+        letter = (lambda: rnd.choice("abcdefghijklmnopqrstuvwxyz")) if how == 0 else (lambda: chr(rnd.randint(0x430, 0x44F)))
+        text = r.text[::-1] if how == 2 else "".join(letter() if c.isalpha() else c for c in r.text)
+        junk.append((10**6 + len(junk), text, r.lang if how < 2 else None))
+    df = spark.createDataFrame([(r.doc_id, r.text, r.lang) for r in rows] + junk, "doc_id bigint, text string, lang string").repartition(4)
+    left = {r.doc_id for r in keep_identified(df).collect()}
+    assert sum(i in left for i, _, _ in junk) <= 0.05 * len(junk)
+    worded = [r.doc_id for r in rows if r.text and any(map(str.isalpha, r.text))]
+    assert sum(i in left for i in worded) >= 0.99 * len(worded)
