@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlab.llm.common import importable, load, release
+from matchlab.llm.common import importable, kept, load, release
 from matchlab.llm.langid import keep_identified
 from matchlab.llm.linededup import drop_repeated_lines
 from matchlab.llm.minhash import drop_near_duplicates
@@ -17,41 +17,35 @@ from matchlab.llm.suffixdedup import drop_repeats
 from matchlab.session import discard, materialize
 
 
-def _begin(spark: SparkSession) -> None:
-    """``docs`` is stored and read again, so what the stage before has written
-    for itself can go."""
-    importable(spark)
-    release()
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told with probability 0.5 or more."""
-    _begin(spark)
+    """Documents whose language can be told with probability 0.5 or more, and
+    whose n-grams are as likely in it as those of other texts."""
+    importable(spark)
     return keep_identified(docs, 0.5)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of two or more lines deleted; documents with nothing left go."""
-    _begin(spark)
+    importable(spark)
     return drop_repeated_lines(docs, run=2)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of documents whose sets of five-word
     shingles have a similarity of 0.8 or more."""
-    _begin(spark)
+    importable(spark)
     return drop_near_duplicates(docs, percent=80, size=5)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes in strings of 200 bytes that occur elsewhere removed; documents with nothing left go."""
-    _begin(spark)
+    importable(spark)
     return drop_repeats(docs, length=200)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, cut and packed into sequences of 1024 ids."""
-    _begin(spark)
+    importable(spark)
     return pack(docs, TOKENIZER)
 
 
@@ -65,7 +59,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = load(spark, sf_dir), None
     for name, stage in STAGES:
+        since = kept()
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(since)      # what the stage wrote for itself; its result is stored
         if before is not None:
             discard(before)
         before = docs
