@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from matchlab.llm.common import column, held_out, materialize, slices
+from matchlab.llm.common import column, held_out, slices
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
@@ -198,9 +198,11 @@ def keep_identified(df: DataFrame, least: float = 0.5, margin: float = 2.0, text
     langs, matrix = train(df.where(learnt), text_col, lang_col)
     if not langs:
         return df
-    found = materialize(predict(df.withColumn("_lang_learnt", learnt & df[lang_col].isNotNull()), langs, matrix, text_col, "_lang_pred", "_lang_score", "_lang_fit"), "lang_fit")
-    known = bands(found.where((F.col("_lang_pred") != "und") & F.col("_lang_learnt") & (F.col("_lang_fit_n") >= BAND_GRAMS))
+    names = "_lang_pred", "_lang_score", "_lang_fit"
+    taught = predict(df.where(learnt & df[lang_col].isNotNull()).select(text_col), langs, matrix, text_col, *names)
+    known = bands(taught.where((F.col("_lang_pred") != "und") & (F.col("_lang_fit_n") >= BAND_GRAMS))
                   .select(F.col("_lang_pred").alias("lang"), F.col("_lang_fit").alias("fit")), margin)
+    found = predict(df, langs, matrix, text_col, *names)
     rows = [(x, *known[x]) for x in known]      # a row a language: their number is bounded by the matrix's size
     table = df.sparkSession.createDataFrame(rows, "_lang_pred string, _lang_median double, _lang_reach double")
     short = F.greatest(F.lit(1.0), F.sqrt(BAND_GRAMS / F.col("_lang_fit_n")))
