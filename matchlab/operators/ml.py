@@ -170,14 +170,17 @@ def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest",
 
 
 def _training_input(train: DataFrame, max_rows: int) -> DataFrame:
-    """The training table dealt over ``TRAIN_PARTITIONS`` by id and written
-    once: MLlib passes over it many times."""
-    data, n = materialize_counted(train.repartition(TRAIN_PARTITIONS, "match_id").sortWithinPartitions("match_id"), "training")
+    """The training table, written once (MLlib passes over it several times) and
+    dealt over ``TRAIN_PARTITIONS`` by id, sorted, as it is read: which files a
+    scan's partition holds depends on how the file system lists them."""
+    data, n = materialize_counted(train, "training")
     if n > max_rows:
         share = F.pmod(F.xxhash64("match_id"), F.lit(1_000_000)) < int(1_000_000 * max_rows / n)
-        data, whole = materialize(data.where(share).repartition(TRAIN_PARTITIONS, "match_id").sortWithinPartitions("match_id"), "training"), data
+        data, whole = materialize(data.where(share), "training"), data
         discard(whole)
-    return data
+    dealt = data.repartition(TRAIN_PARTITIONS, "match_id").sortWithinPartitions("match_id")
+    dealt._scratch = data._scratch
+    return dealt
 
 
 def predict(model, df: DataFrame) -> DataFrame:
