@@ -75,7 +75,7 @@ FROM f"""
 
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later copies of runs of two or more lines deleted, as digests."""
+    """Later copies of runs of two or more lines, and of lines of 200 or more characters, deleted, as digests."""
     from pyspark.sql import functions as F
 
     from matchlab.llm.linededup import dedup_lines
@@ -89,7 +89,9 @@ k AS (SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i)
       WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]')),
 w AS (SELECT doc_id, k, line AS a, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS b FROM k),
 r AS (SELECT doc_id, k, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, k) AS nth FROM w WHERE b IS NOT NULL),
-g AS (SELECT doc_id, k FROM r WHERE nth > 1 UNION SELECT doc_id, k + 1 FROM r WHERE nth > 1),
+s AS (SELECT doc_id, k, row_number() OVER (PARTITION BY line ORDER BY doc_id, k) AS nth FROM k WHERE length(line) >= 200),
+g AS (SELECT doc_id, k FROM r WHERE nth > 1 UNION SELECT doc_id, k + 1 FROM r WHERE nth > 1
+      UNION SELECT doc_id, k FROM s WHERE nth > 1),
 m AS (SELECT k.doc_id, k.i, 1 AS gone, CASE WHEN p.k IS NULL THEN 1 ELSE 0 END AS begins
       FROM k JOIN g USING (doc_id, k) LEFT JOIN g p ON p.doc_id = g.doc_id AND p.k = g.k - 1)
 SELECT l.doc_id, count(*) AS n_lines, CAST(sum(coalesce(gone, 0)) AS BIGINT) AS n_removed,

@@ -5,20 +5,21 @@ import numpy as np
 import pytest
 from llm_cases import by_id, docs, edge, empty
 
-from matchlab.llm.linededup import dedup_lines, drop_repeated_lines, select
+from matchlab.llm.linededup import dedup_lines, drop_repeated_lines, line_hashes, select, window_hashes
 
 
-def brute(rows, run):
+def brute(rows, run, alone=200):
     """id -> n_lines, n_removed, n_runs, kept text."""
     first, lines = {}, {i: (t or "").split("\n") for i, t in rows}
     solid = {i: [k for k, x in enumerate(x) if x.strip(" \t\r\x0b\x0c")] for i, x in lines.items()}
-    wins = lambda i: [(s, tuple(lines[i][k] for k in solid[i][s:s + run])) for s in range(len(solid[i]) - run + 1)]
+    wins = lambda i: [(s, tuple(lines[i][k] for k in solid[i][s:s + n])) for n in (run, 1) for s in range(len(solid[i]) - n + 1)
+                      if n == run or len(lines[i][solid[i][s]]) >= alone]
     for i in sorted(lines):
         for s, w in wins(i):
             first.setdefault(w, (i, s))
     out = {}
     for i in lines:
-        gone = {k for s, w in wins(i) if first[w] != (i, s) for k in range(s, s + run)}
+        gone = {k for s, w in wins(i) if first[w] != (i, s) for k in range(s, s + len(w))}
         cut = {solid[i][k] for k in gone}
         out[i] = len(lines[i]), len(gone), sum(k - 1 not in gone for k in gone), "\n".join(x for k, x in enumerate(lines[i]) if k not in cut)
     return out
@@ -37,6 +38,27 @@ def test_brute_force(spark, run):
     assert {i: (r.n_lines, r.n_removed, r.n_runs, r.text) for i, r in by_id(dedup_lines(df, run)).items()} == want
 
 
+@pytest.mark.parametrize("run, alone", [(1, 9), (2, 15), (3, 8), (9, 1)])
+def test_lines_alone(spark, run, alone):
+    df = docs(spark, some_texts(10 * run))
+    want = brute([(r.doc_id, r.text) for r in df.collect()], run, alone)
+    assert {i: (r.n_lines, r.n_removed, r.n_runs, r.text) for i, r in by_id(dedup_lines(df, run, alone)).items()} == want
+
+
+def test_no_long_line_stays_twice(spark):
+    """Lengths count code points; a line one short of the limit stays; a line twice in one text goes, too."""
+    long, short = "ж" * 200, "ж" * 199
+    out = by_id(dedup_lines(docs(spark, [f"{long}\na\n{short}", f"b\n{long}\nc", f"{short}\nd\n{long}\ne\n{long}", long])))
+    assert [out[i].text for i in range(4)] == [f"{long}\na\n{short}", "b\nc", f"{short}\nd\ne", ""]
+    assert [out[i].n_runs for i in range(4)] == [0, 1, 2, 1]
+
+
+def test_hash_halves():
+    h = line_hashes(["a", "b", "a", "b"])
+    assert (window_hashes(h, 2)[0] == window_hashes(h, 2)[2]).all() and len({tuple(x) for x in window_hashes(h, 2).tolist()}) == 2
+    assert not set(window_hashes(h, 1).ravel().tolist()) & set(h.ravel().tolist())
+
+
 def test_driver_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = brute([(r.doc_id, r.text) for r in df.collect()], 2)
