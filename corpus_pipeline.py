@@ -25,7 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of two or more lines deleted; documents with nothing left go."""
+    """Later copies of runs of two or more lines, and of lines of 200 or more
+    characters, deleted; documents with nothing left go."""
     importable(spark)
     return drop_repeated_lines(docs, run=2)
 
