@@ -108,12 +108,12 @@ def fingerprints(docs: DataFrame, run: int, alone: int) -> DataFrame:
 
 def later_windows(marks: DataFrame) -> DataFrame:
     """``doc_id, uid, later`` (start, size) of the windows that occur earlier too."""
-    # tables of their own: the lines are hashed once, and AQE can split a hot line's rows in the join
+    # tables of their own: the lines are hashed once, and AQE can split the rows of a hot line or window in the joins
     marks = materialize(marks, "marks")
     again = materialize(marks.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "marks-again")
-    wins = marks.join(again, "fp").select("doc_id", "uid", F.inline("wins"))
+    wins = materialize(marks.join(again, "fp").select("doc_id", "uid", F.inline("wins")), "windows")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid", "start")
-    first = wins.groupBy("win", "win2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("win", "win2", "first")
+    first = materialize(wins.groupBy("win", "win2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("win", "win2", "first"), "windows-first")
     return wins.join(first, ["win", "win2"]).where(place > F.col("first")).groupBy("doc_id", "uid").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("later"))
 
 
