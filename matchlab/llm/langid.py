@@ -29,7 +29,8 @@ ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
 MATRIX_MB = 256
 _PARTS = 16
-_STEP = 1 << 19
+_STEP = 1 << 19          # characters of a window of a long text
+_SLICE = 1 << 18         # bytes of text whose n-grams are held at once
 
 
 def features(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -62,7 +63,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
-        for part in slices(batches, most=_STEP):
+        for part in slices(batches, most=_SLICE):
             langs = np.array(column(part, "lang").to_pylist(), object)
             texts = column(part, "text").to_pylist()
             for lang in dict.fromkeys(langs):
@@ -122,7 +123,7 @@ def predict(df: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str =
     def run(batches):
         m = held.value[:BUCKETS + 1]
         prior = held.value[BUCKETS + 1].astype(np.float64)
-        for part in slices(batches, text_col, most=_STEP):
+        for part in slices(batches, text_col, most=_SLICE):
             texts = [t or "" for t in column(part, text_col).to_pylist()]
             cut = [windows(t) for t in texts]
             got, starts = features([w for ws in cut for w in ws])
