@@ -36,7 +36,7 @@ from matchlab.session import discard, importable, materialize, materialize_count
 
 UNIT = float(1 << 24)
 #: Rows of the training table that a partition holds about.
-PARTITION_ROWS = 200_000
+PARTITION_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -71,21 +71,23 @@ class Tree:
 
 
 def nodes_of(tree: Tree, bins: np.ndarray) -> np.ndarray:
-    """The node that each row of ``bins`` ends in."""
-    feature, cut = np.array(tree.feature), np.array(tree.cut)
-    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-    while True:
-        f = feature[at]
-        inside = f >= 0
-        if not inside.any():
-            return at
-        right = bins[rows, np.maximum(f, 0)] > cut[at]
-        at = np.where(inside, 2 * at + 1 + right, at)
+    """The node that each row of ``bins`` ends in. Whole columns are compared,
+    once an inner node; columns that lie in one piece (Fortran order) are fastest."""
+    kind = np.min_scalar_type(len(tree.feature)).type
+
+    def end(i):
+        if tree.feature[i] < 0:
+            return kind(i)
+        left, right = end(2 * i + 1), end(2 * i + 2)
+        goes_right = np.negative((bins[:, tree.feature[i]] > tree.cut[i]).astype(kind))      # all bits or none
+        return left ^ (goes_right & (left ^ right))
+
+    return np.broadcast_to(end(0), len(bins))
 
 
 def add_scores(trees: list, bins: np.ndarray, scores: np.ndarray) -> np.ndarray:
     """Scores after the rounds in ``trees``, added one after the other."""
-    scores = scores.copy()
+    scores = scores.copy(order="K")
     for own in trees:
         for k, t in enumerate(own):
             scores[:, k] += np.array(t.value)[nodes_of(t, bins)]
@@ -111,43 +113,62 @@ def columns_of(turn: int, k: int, n: int, p: Params) -> list[int]:
     return sorted(np.random.default_rng([p.seed, turn, k]).permutation(n)[:take].tolist())
 
 
-def histogram(ids, labels, held, bins, scores, trees, growing, level, turn, p: Params) -> dict:
-    """One task's sums: cell -> [gradient, hessian, rows]; cell -1 has the loss
-    of the validation rows (in the first pass of a round)."""
-    n_features = bins.shape[1]
-    prob = softmax(add_scores(trees, bins, scores))
-    out = {}
-    if level == 0 and held.any():
-        loss = -np.log(np.maximum(prob[held, labels[held]], 1e-15))
-        out[-1] = [int(np.rint(loss * UNIT).sum()), 0, int(held.sum())]
-    use = ~held & sampled(ids, turn, p)
-    bins, labels, prob = bins[use], labels[use], prob[use]
-    first, width = 2**level - 1, 2**level
-    for k in range(p.classes):
-        at = nodes_of(growing[k], bins) if level else np.zeros(len(bins), np.int64)
-        inside = at >= first
-        q = prob[inside, k]
-        g = np.rint((q - (labels[inside] == k)) * UNIT)
-        h = np.rint(np.maximum(2 * q * (1 - q), 1e-16) * UNIT)
-        at, own = at[inside] - first, bins[inside]
-        for f in columns_of(turn, k, n_features, p):
-            cell = at * p.bins + own[:, f]
-            count = np.bincount(cell, minlength=width * p.bins)
-            sums = np.bincount(cell, g, width * p.bins), np.bincount(cell, h, width * p.bins)
-            for c in np.flatnonzero(count).tolist():
-                out[((k * width + c // p.bins) * n_features + f) * p.bins + c % p.bins] = [int(sums[0][c]), int(sums[1][c]), int(count[c])]
-    return out
-
-
-def grow(growing: list, level: int, turn: int, cells: dict, n_features: int, p: Params) -> bool:
+class Histogram:
+    """One task's sums: gradients and hessians per cell (class, node, feature,
+    bin), and the loss of the validation rows (in the first pass of a round)."""
+
+    def __init__(self, since: list, growing: list, level: int, turn: int, n_features: int, p: Params):
+        self.since, self.growing, self.level, self.turn, self.p = since, growing, level, turn, p
+        self.g, self.h = np.zeros((2, p.classes, 2**level, n_features, p.bins), np.int64)
+        self.loss, self.held = 0, 0
+
+    def add(self, ids, labels, held, bins, scores) -> None:
+        p, width = self.p, 2**self.level
+        use = ~held & sampled(ids, self.turn, p)
+        if self.level == 0 and held.any():
+            prob = softmax(add_scores(self.since, pick(bins, held), pick(scores, held)))
+            loss = -np.log(np.maximum(prob[np.arange(len(prob)), labels[held]], 1e-15))
+            self.loss += int(np.rint(loss * UNIT).sum())
+            self.held += len(loss)
+        bins, labels = pick(bins, use), labels[use]
+        prob = softmax(add_scores(self.since, bins, pick(scores, use)))
+        for k in range(p.classes):
+            at, q, own, label = np.zeros(len(bins), np.intp), prob[:, k], bins, labels
+            if self.level:
+                at = nodes_of(self.growing[k], bins).astype(np.intp) - (width - 1)
+                inside = at >= 0
+                if not inside.all():
+                    at, q, own, label = at[inside], q[inside], pick(bins, inside), labels[inside]
+            at *= p.bins
+            g = np.rint((q - (label == k)) * UNIT)
+            h = np.rint(np.maximum(2 * q * (1 - q), 1e-16) * UNIT)
+            for f in columns_of(self.turn, k, bins.shape[1], p):
+                cell = at + own[:, f]
+                self.g[k, :, f] += np.bincount(cell, g, width * p.bins).astype(np.int64).reshape(width, p.bins)
+                self.h[k, :, f] += np.bincount(cell, h, width * p.bins).astype(np.int64).reshape(width, p.bins)
+
+    def rows(self) -> tuple:
+        """cell, gradients, hessians; cell -1 has the validation rows' loss and number."""
+        g, h = self.g.ravel(), self.h.ravel()
+        found = np.flatnonzero((g != 0) | (h != 0))
+        if not self.held:
+            return found, g[found], h[found]
+        return tuple(np.concatenate([[x], y]) for x, y in ((-1, found), (self.loss, g[found]), (self.held, h[found])))
+
+
+def pick(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Those rows, every column in one piece."""
+    return x.T.compress(rows, axis=1).T
+
+
+def grow(growing: list, level: int, turn: int, sums: tuple, n_features: int, p: Params) -> bool:
     """Splits the nodes of a level by the summed histograms; False: none was split."""
     width, first, any_split = 2**level, 2**level - 1, False
     shape = (p.classes, width, n_features, p.bins)
     g, h = np.zeros(shape), np.zeros(shape)
-    for c, (gs, hs, _) in cells.items():
-        if c >= 0:
-            i = np.unravel_index(c, shape)
-            g[i], h[i] = gs / UNIT, hs / UNIT
+    cells, gs, hs = sums
+    own = cells >= 0
+    g.ravel()[cells[own]], h.ravel()[cells[own]] = gs[own] / UNIT, hs[own] / UNIT
     for k, tree in enumerate(growing):
         use = columns_of(turn, k, n_features, p)
         for node in range(width):
@@ -200,10 +221,13 @@ class Booster:
         return len(self.trees)
 
     def bins(self, values: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(c, values[:, i], side="left") for i, c in enumerate(self.cuts)], axis=1).astype(np.uint8)
+        out = np.empty((len(values), len(self.cuts)), np.uint8, order="F")
+        for i, c in enumerate(self.cuts):
+            out[:, i] = np.searchsorted(c, values[:, i], side="left")
+        return out
 
     def probabilities(self, values: np.ndarray) -> np.ndarray:
-        return softmax(add_scores(self.trees, self.bins(values), np.zeros((len(values), self.params.classes))))
+        return softmax(add_scores(self.trees, self.bins(values), np.zeros((len(values), self.params.classes), order="F")))
 
     def transform(self, df: DataFrame) -> DataFrame:
         importable(df.sparkSession)
@@ -212,7 +236,7 @@ class Booster:
         @F.pandas_udf("array<double>")
         def score(*values):
             import pandas as pd
-            return pd.Series(list(model.value.probabilities(np.stack([v.to_numpy(np.float64) for v in values], axis=1))))
+            return pd.Series(list(np.ascontiguousarray(model.value.probabilities(np.stack([v.to_numpy(np.float64) for v in values], axis=1)))))
 
         filled = [F.coalesce(F.col(c).cast("double"), F.lit(float(self.fill.get(c, 0.0)))) for c in self.columns]
         out = df.withColumn("_p", score(*filled))
@@ -275,8 +299,7 @@ def fit(train: DataFrame, columns: list[str], held: Column, p: Params = Params()
         for b in batches:
             x = bare.bins(np.stack([b.column(3 + i).to_numpy(zero_copy_only=False) for i in range(len(columns))], axis=1))
             zeros = np.zeros((b.num_rows, p.classes))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([r.tobytes() for r in x], pa.binary()),
-                                              pa.array([r.tobytes() for r in zeros], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _packed(x), _packed(zeros)], names)
 
     names = ["_id", "_label", "_held", "_bins", "_scores"]
     schema = "_id bigint, _label int, _held boolean, _bins binary, _scores binary"
@@ -289,10 +312,21 @@ def fit(train: DataFrame, columns: list[str], held: Column, p: Params = Params()
     return model
 
 
+def _packed(x: np.ndarray) -> pa.Array:
+    """A matrix as binary values, one a row."""
+    x = np.ascontiguousarray(x)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(x.strides[0]), len(x), [None, pa.py_buffer(x)]).cast(pa.binary())
+
+
+def _matrix(column: pa.Array, kind, width: int) -> np.ndarray:
+    """The inverse of ``_packed``, every column in one piece."""
+    x = column.cast(pa.binary(width * np.dtype(kind).itemsize))
+    return np.asfortranarray(np.frombuffer(x.buffers()[1], kind)[x.offset * width:][:len(x) * width].reshape(-1, width))
+
+
 def _arrays(b: pa.RecordBatch, p: Params, n_features: int):
-    bins = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(b.num_rows, n_features)
-    scores = np.frombuffer(b"".join(b.column(4).to_pylist())).reshape(b.num_rows, p.classes)
-    return (b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False), bins, scores)
+    return (b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False),
+            _matrix(b.column(3), np.uint8, n_features), _matrix(b.column(4), np.float64, p.classes))
 
 
 def _rounds(model: Booster, state: DataFrame, p: Params) -> None:
@@ -303,22 +337,20 @@ def _rounds(model: Booster, state: DataFrame, p: Params) -> None:
         since = model.trees[written:]
 
         def work(batches):
-            total = {}
+            own = Histogram(since, growing, level, turn, n_features, p)
             for b in batches:
-                for c, x in histogram(*_arrays(b, p, n_features), since, growing, level, turn, p).items():
-                    old = total.get(c)
-                    total[c] = x if old is None else [u + v for u, v in zip(old, x)]
-            keys = list(total)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[pa.array([total[c][i] for c in keys], pa.int64()) for i in range(3)]],
-                                             ["cell", "g", "h", "n"])
+                if b.num_rows:
+                    own.add(*_arrays(b, p, n_features))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in own.rows()], ["cell", "g", "h"])
 
-        sums = model.state.mapInArrow(work, "cell bigint, g bigint, h bigint, n bigint").groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n"))
-        return {r[0]: tuple(r[1:]) for r in sums.collect()}
+        sums = model.state.mapInArrow(work, "cell bigint, g bigint, h bigint").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+        return tuple(sums[c].to_numpy() for c in ("cell", "g", "h"))
 
     for turn in range(p.rounds + 1):
         growing = [Tree.root(p.max_depth) for _ in range(p.classes)]
         first = cells(growing, 0, turn)
-        if turn and -1 in first and stop.add(first[-1][0] / UNIT / first[-1][2]):
+        loss = np.flatnonzero(first[0] == -1)
+        if turn and len(loss) and stop.add(int(first[1][loss[0]]) / UNIT / int(first[2][loss[0]])):
             break
         if turn == p.rounds:
             break
@@ -334,7 +366,7 @@ def _rounds(model: Booster, state: DataFrame, p: Params) -> None:
             def carry(batches):
                 for b in batches:
                     _, _, _, bins, scores = _arrays(b, p, n_features)
-                    yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([r.tobytes() for r in add_scores(since, bins, scores)], pa.binary())], b.schema.names)
+                    yield pa.RecordBatch.from_arrays([*b.columns[:4], _packed(add_scores(since, bins, scores))], b.schema.names)
 
             model.state = materialize(old.mapInArrow(carry, old.schema), "boosting")
             discard(old)

@@ -142,3 +142,52 @@ def test_model_of_the_18_features(spark):
     assert ml.load_metadata(base)["best_iteration"] == model.best_iteration == len(model.trees)
     a, b = (rows(ml.predict(m, df).orderBy("match_id"), "prediction", "win_prob") for m in (model, ml.load_model(base)))
     assert a == b
+
+
+def test_a_tasks_sums_stay_in_one_table():
+    """Batches are added up in arrays; only the sums of a whole task leave it."""
+    rng, p = np.random.default_rng(5), Params(subsample=1.0, colsample=1.0, bins=8, max_depth=2)
+    n, growing = 300, [boosting.Tree.root(2) for _ in range(3)]
+    for k, t in enumerate(growing):
+        t.feature[0], t.cut[0], t.value[1], t.value[2] = k, 3, -.25, .5
+    ids, labels, held = np.arange(n), rng.integers(0, 3, n).astype(np.int32), rng.random(n) < .2
+    bins, scores = rng.integers(0, 8, (n, 4)).astype(np.uint8), rng.normal(size=(n, 3))
+    for level in (0, 1):
+        sums = boosting.Histogram([growing], growing, level, 1, 4, p)
+        for i in range(0, n, 70):
+            sums.add(*(x[i:i + 70] for x in (ids, labels, held, bins, scores)))
+        found = {c: (g, h) for c, g, h in zip(*sums.rows())}
+        new = scores + np.where(bins[:, :3] > 3, .5, -.25)
+        prob, want = softmax(new), {}
+        for i in np.flatnonzero(~held):
+            for k in range(3):
+                node = int(bins[i, k] > 3) if level else 0
+                for f in range(4):
+                    cell, q = ((k * 2**level + node) * 4 + f) * 8 + int(bins[i, f]), prob[i, k]
+                    g, h = want.get(cell, (0, 0))
+                    want[cell] = g + int(np.rint((q - (labels[i] == k)) * boosting.UNIT)), h + int(np.rint(2 * q * (1 - q) * boosting.UNIT))
+        if not level:
+            want[-1] = int(np.rint(-np.log(prob[held, labels[held]]) * boosting.UNIT).sum()), int(held.sum())
+        assert found == want
+
+
+def test_packed_rows():
+    for x in (np.arange(12, dtype=np.uint8).reshape(4, 3), np.linspace(0, 1, 8).reshape(4, 2)):
+        packed = boosting._packed(np.asfortranarray(x))
+        assert packed.to_pylist() == [r.tobytes() for r in x]
+        assert (boosting._matrix(packed.slice(1, 2), x.dtype, x.shape[1]) == x[1:3]).all()
+
+
+def test_nodes_of_deep_trees():
+    rng = np.random.default_rng(2)
+    tree, bins = boosting.Tree.root(8), rng.integers(0, 64, (200, 5)).astype(np.uint8)
+    for i in range(255):
+        if rng.random() < .9:
+            tree.feature[i], tree.cut[i] = int(rng.integers(0, 5)), int(rng.integers(10, 50))
+    want = []
+    for r in bins:
+        i = 0
+        while tree.feature[i] >= 0:
+            i = 2 * i + 1 + int(r[tree.feature[i]] > tree.cut[i])
+        want.append(i)
+    assert boosting.nodes_of(tree, bins).tolist() == want
