@@ -70,6 +70,11 @@ class SymbolQueue:
         return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
+def mapped(path: str, kind, n: int) -> np.ndarray:
+    """A new file as an array; a plain one, whose parts are cheaper to take."""
+    return np.asarray(np.memmap(path, kind, "w+", shape=(n,)))
+
+
 class _Handed:
     """Common prefixes of the suffixes handed to each symbol's queue, one after the other."""
 
@@ -127,7 +132,7 @@ class Suffixes:
         self.top = int(text.max()) + 1
 
     def _file(self, name: str, kind, n: int) -> np.ndarray:
-        return np.memmap(os.path.join(self.folder, name), kind, "w+", shape=(n,))
+        return mapped(os.path.join(self.folder, name), kind, n)
 
     # the starred suffixes
 
@@ -278,10 +283,10 @@ def repeats(pieces: list[bytes], length: int, memory: int = 1 << 22) -> list[np.
         return []
     ends = np.cumsum(sizes)
     with tempfile.TemporaryDirectory() as folder:
-        text = np.memmap(os.path.join(folder, "text"), np.uint16, "w+", shape=(int(ends[-1]),))
+        text = mapped(os.path.join(folder, "text"), np.uint16, int(ends[-1]))
         for p, e in zip(pieces, ends):
             text[e - len(p) - 1:e - 1] = np.frombuffer(p, np.uint8).astype(np.uint16) + 1
-        begins = np.memmap(os.path.join(folder, "begins"), bool, "w+", shape=text.shape)
+        begins = mapped(os.path.join(folder, "begins"), bool, len(text))
         for positions, prefixes in Suffixes(text, length, folder, memory).buckets():
             room = ends[np.searchsorted(ends, positions, side="right")] - 1 - positions
             common = np.minimum(prefixes[1:], np.minimum(room[1:], room[:-1]))

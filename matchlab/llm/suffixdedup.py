@@ -12,12 +12,15 @@ places that can match together:
 2. An anchor's context is what lies in reach of a string around it. Contexts
    that occur twice as a whole are covered as a whole; so copies, whatever
    their number, are settled by a grouped count.
-3. Of the anchors with several different contexts one place of each is
-   taken. The anchor's hash is the shard; in a shard the places of one
+3. The strings around an anchor, by where they begin, are dealt into
+   ``PARTS`` groups; those of a group have a core of bytes in common. Only
+   contexts that share a core with another context of their anchor can hold a
+   repeat, and only in that core's strings; one place of each is taken. The
+   anchor's hash is the shard; in a shard the places of one
    document are joined to pieces, so no place is in it twice. The suffixes of
    a shard are sorted externally (see ``induced``), and neighbours with
    ``length`` bytes in common are repeats.
-4. An anchor with more than ``HOT`` different contexts (a phrase of many
+4. An anchor with more than ``HOT`` such contexts (a phrase of many
    documents) goes to no shard. The strings of ``length`` bytes around it are
    counted by their 128-bit hashes, after those that share no longer part
    with another context have dropped out by a count of such parts.
@@ -45,12 +48,17 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from matchlab.llm.common import column, materialize, partitions_for, slices
 from matchlab.llm.induced import repeats
+from matchlab.session import discard
 
 GRAM = 40
 SHARD_MB = 4
+#: Groups of the strings around a place.
+PARTS = 4
 #: Contexts of an anchor that one shard takes; strings whose common part is counted at first.
 HOT, WIDTH = 2048, 20
 
+_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+
 
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """Polynomial hashes of all k-grams, by doubling."""
@@ -76,6 +84,12 @@ def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 def anchors(data: bytes, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the selected k-grams."""
+    at, h = selected(data, length, k)
+    return at, h[at]
+
+
+def selected(data: bytes, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the selected k-grams, and the hashes of all."""
     if len(data) < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
@@ -85,8 +99,27 @@ def anchors(data: bytes, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     # a place is selected if its hash is the smallest of a window around it,
     # that is, the largest among the windows' smallest
     edge = np.zeros(w - 1, np.uint64)
-    at = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), w, np.maximum) == h)
-    return at, h[at]
+    return np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), w, np.maximum) == h), h
+
+
+def part_bounds(length: int, k: int) -> list[int]:
+    """Strings of part j begin [j] to [j + 1] bytes before a place."""
+    return [(length - k) * j // PARTS for j in range(PARTS + 1)]
+
+
+def core_hashes(at: np.ndarray, h: np.ndarray, length: int, k: int) -> np.ndarray:
+    """64 / ``PARTS`` bits for each part of the contexts of the places ``at`` (0: it has
+    no string within the text): a hash of what the part's strings have in common;
+    ``h``: the hashes of all k-grams."""
+    bounds, wide = part_bounds(length, k), 64 // PARTS
+    first, last = -np.array(bounds[:-1]), length - k - np.array(bounds[1:])
+    steps = np.arange(-(-int((last - first).max()) // k) + 1)
+    cover = np.minimum(first[:, None] + k * steps, last[:, None])       # k-grams that cover the core
+    x = h[np.clip(at[:, None, None] + cover, 0, len(h) - 1)] * (_FACTORS[0] * (2 * steps.astype(np.uint64) + np.uint64(1)))
+    x = x.sum(axis=2, dtype=np.uint64) * _FACTORS[1]
+    x = (x >> np.uint64(32)) % np.uint64((1 << wide) - 1) + np.uint64(1)
+    x[(at[:, None] + first < 0) | (at[:, None] + last >= len(h))] = 0
+    return (x << (np.uint64(wide) * np.arange(PARTS, dtype=np.uint64))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def _sliding(x: np.ndarray, w: int, pick) -> np.ndarray:
@@ -100,21 +133,23 @@ def _sliding(x: np.ndarray, w: int, pick) -> np.ndarray:
 
 
 def find_anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """``row, doc_id, uid, fps, ctxs, places`` of each text with anchors; row: a
-    number of its own, ctxs: hashes of the contexts. To be written before use."""
+    """``row, doc_id, uid, fps, ctxs, cores, places`` of each text with anchors; row: a
+    number of its own, ctxs, cores: hashes of the contexts and of their parts' cores. To be
+    written before use."""
 
     def work(batches):
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 33
         for part in slices(batches):
-            rows, fps, ctxs, places, sizes = [], [], [], [], []
+            rows, fps, ctxs, cores, places, sizes = [], [], [], [], [], []
             for row, text in enumerate(column(part, "text").to_pylist()):
                 data = text.encode()
-                at, h = anchors(data, length, k)
+                at, h = selected(data, length, k)
                 if not len(at):
                     continue
                 rows.append(row)
-                fps.append(h)
+                fps.append(h[at])
+                cores.append(core_hashes(at, h, length, k))
                 places.append(at)
                 sizes.append(len(at))
                 reach = length - k
@@ -127,13 +162,15 @@ def find_anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
                     pa.array(np.arange(number - len(rows), number)), column(part, "doc_id").take(take), column(part, "uid").take(take),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(fps).view(np.int64))),
                     pa.ListArray.from_arrays(ends, pa.array(np.array(ctxs, np.uint64).view(np.int64))),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places), pa.int32()))], ["row", "doc_id", "uid", "fps", "ctxs", "places"])
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(cores))),
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(places), pa.int32()))], ["row", "doc_id", "uid", "fps", "ctxs", "cores", "places"])
 
-    return docs.mapInArrow(work, f"row bigint, doc_id {dict(docs.dtypes)['doc_id']}, uid bigint, fps array<bigint>, ctxs array<bigint>, places array<int>")
+    return docs.mapInArrow(work, f"row bigint, doc_id {dict(docs.dtypes)['doc_id']}, uid bigint, fps array<bigint>, ctxs array<bigint>, cores array<bigint>, places array<int>")
 
 
 def cut_pieces(wanted: DataFrame, length: int, k: int) -> DataFrame:
-    """``shard, row, start, piece``: the joined contexts of each shard; ``wanted``: row and text with spots (shard, place)."""
+    """``shard, row, start, piece``: the joined strings of each shard; ``wanted``: row and
+    text with spots (shard, place, lo, hi): strings that begin ``lo`` to ``hi`` bytes before a place."""
 
     def work(batches):
         for part in slices(batches):
@@ -141,16 +178,15 @@ def cut_pieces(wanted: DataFrame, length: int, k: int) -> DataFrame:
             for at, (text, spots) in enumerate(zip(column(part, "text").to_pylist(), column(part, "spots").to_pylist())):
                 data, by = text.encode(), {}
                 for s in spots:
-                    by.setdefault(s["shard"], []).append(s["place"])
-                for shard, places in by.items():
-                    start = end = None
-                    for p in sorted(set(places)):
-                        a, b = max(p - (length - k), 0), min(p + length, len(data))
-                        if end is None or a > end:
-                            if end is not None:
-                                out.append((at, shard, start, data[start:end]))
+                    by.setdefault(s["shard"], []).append((max(s["place"] - s["hi"], 0), min(s["place"] - s["lo"] + length, len(data))))
+                for shard, spans in by.items():
+                    spans.sort()
+                    start, end = spans[0]
+                    for a, b in spans:
+                        if a > end:
+                            out.append((at, shard, start, data[start:end]))
                             start = a
-                        end = b
+                        end = max(end, b)
                     out.append((at, shard, start, data[start:end]))
             if out:
                 rows, shards, starts, pieces = zip(*out)
@@ -218,8 +254,9 @@ def common_parts(wanted: DataFrame, length: int, k: int, width: int) -> DataFram
 
 
 def counted_repeats(spots: DataFrame, texts_of, length: int, k: int) -> DataFrame:
-    """``row, a, b``: the repeated strings around places ``row, place``, by counts only."""
-    now = spots.select("row", "place", F.lit(0).alias("lo"), F.lit(length - k).alias("hi"))
+    """``row, a, b``: the repeated strings that begin ``lo`` to ``hi`` bytes before
+    places (``row, place, lo, hi``), by counts only."""
+    now = spots.groupBy("row", "place").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     for width in (WIDTH, 1):
         wanted = texts_of(now.groupBy("row").agg(F.collect_list(F.struct("place", "lo", "hi")).alias("spots")))
         found = materialize(common_parts(wanted, length, k, width), "parts")
@@ -236,28 +273,38 @@ def repeated_spans(docs: DataFrame, length: int = 200, k: int = GRAM) -> DataFra
     found = materialize(find_anchors(docs, length, k), "anchors")
     # a table of its own, so that AQE can split a hot anchor's rows in the join
     again = materialize(found.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "anchors-again")
-    every = found.select("row", F.inline(F.arrays_zip("fps", "ctxs", "places"))).toDF("row", "fp", "ctx", "place")
+    every = found.select("row", F.inline(F.arrays_zip("fps", "ctxs", "cores", "places"))).toDF("row", "fp", "ctx", "cores", "place")
     hits = materialize(every.join(again, "fp"), "anchors-met")
-    kinds = materialize(hits.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "place")).alias("rep")), "contexts")
+    names = materialize(found.select("row", "doc_id", "uid"), "anchored")
+    discard(found)
+    kinds = materialize(hits.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("row", "place", "cores")).alias("rep")), "contexts")
     # contexts that occur twice as a whole
     whole = hits.join(kinds.where("c > 1").select("fp", "ctx"), ["fp", "ctx"]).groupBy("row").agg(F.collect_list("place").alias("places"))
-    # one place of each context of an anchor with several
+    whole = materialize(whole, "contexts-again")
+    discard(hits)
+    # one place of each context that shares a core with another one of its anchor, and the strings of such parts
+    wide, bounds = 64 // PARTS, F.array(*map(F.lit, part_bounds(length, k)))
+    cores = F.array(*[F.shiftrightunsigned("rep.cores", wide * j).bitwiseAND((1 << wide) - 1) for j in range(PARTS)])
+    parts = kinds.select("fp", "rep.row", "rep.place", F.posexplode(cores).alias("part", "core")).where("core != 0")
+    shared = materialize(parts.groupBy("fp", "part", "core").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp", "part", "core"), "cores-again")
+    several = parts.join(shared, ["fp", "part", "core"]).groupBy("fp", "row", "place").agg(
+        F.get(bounds, F.min("part")).alias("lo"), F.get(bounds, F.max("part") + 1).alias("hi"))
+    several = materialize(several, "contexts-several")
+    counts = materialize(several.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")), "anchors-several")
     shards = partitions_for(docs, SHARD_MB)
-    several = materialize(kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "anchors-several")
-    names = found.select("row", "doc_id", "uid")
 
     def texts_of(spots: DataFrame) -> DataFrame:
         a, b = docs.alias("a"), spots.join(names, "row").alias("b")
         return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.uid") == F.col("b.uid"))).select("b.row", "a.text", "b.spots")
 
-    spots = kinds.join(several.where(f"kinds <= {HOT}").select("fp"), "fp").select(
-        "rep.row", F.struct(F.pmod(F.hash("fp"), F.lit(4 * shards)).alias("shard"), F.col("rep.place").alias("place")).alias("spot"))
+    spots = several.join(counts.where(f"kinds <= {HOT}").select("fp"), "fp").select(
+        "row", F.struct(F.pmod(F.hash("fp"), F.lit(shards)).alias("shard"), "place", "lo", "hi").alias("spot"))
     wanted = texts_of(spots.groupBy("row").agg(F.collect_list("spot").alias("spots")))
     pieces = materialize(cut_pieces(wanted, length, k), "pieces").repartition(shards, "shard").sortWithinPartitions("shard")
     partial = shard_repeats(pieces, length)
-    hot = several.where(f"kinds > {HOT}").select("fp")
+    hot = counts.where(f"kinds > {HOT}").select("fp")
     if not hot.isEmpty():
-        partial = partial.union(counted_repeats(kinds.join(hot, "fp").select("rep.row", "rep.place"), texts_of, length, k))
+        partial = partial.union(counted_repeats(several.join(hot, "fp"), texts_of, length, k))
     partial = partial.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return materialize(whole.join(partial, "row", "full").join(names, "row").dropDuplicates(["doc_id", "uid"]).select("doc_id", "uid", "places", "spans"), "spans")
 

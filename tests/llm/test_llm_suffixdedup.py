@@ -118,3 +118,45 @@ def test_common_phrase_goes_to_no_shard(spark, monkeypatch):
     texts += [text(rnd.randint(0, 90)) + long[rnd.randint(0, 30):] + text(rnd.randint(0, 90)) for _ in range(30)]
     same(docs(spark, texts), 200)
     assert not most or max(most) <= 8
+
+
+def test_short_phrase_makes_no_pieces(spark, monkeypatch):
+    """Contexts that have only a phrase in common that is shorter than any core hold no
+    repeat; those that share a core are held against each other."""
+    from matchlab.llm import suffixdedup
+    seen, plain = [], suffixdedup.shard_repeats
+
+    def spy(pieces, length):
+        seen.append({r.row for r in pieces.select("row").distinct().collect()})
+        return plain(pieces, length)
+
+    monkeypatch.setattr(suffixdedup, "shard_repeats", spy)
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefghij é") for _ in range(n))
+    short, long = text(60), text(230)
+    same(docs(spark, [text(rnd.randint(150, 300)) + short + text(rnd.randint(150, 300)) for _ in range(40)]), 200)
+    assert not seen[-1]
+    same(docs(spark, [text(150) + short + text(150) for _ in range(20)] + [text(150) + long[rnd.randint(0, 20):] + text(150) for _ in range(5)]), 200)
+    assert len(seen[-1]) == 5
+
+
+def test_equal_strings_share_a_core():
+    """The bits that choose contexts: where two texts have a string in common, anchors in both agree in the string's part."""
+    from matchlab.llm.suffixdedup import PARTS, core_hashes, part_bounds, selected
+    rnd, wide = random.Random(3), 64 // PARTS
+    text = lambda n: bytes(rnd.choice(b"abcdefghij") for _ in range(n))
+    for length, k in ((200, 40), (30, 7), (12, 12), (13, 12)):
+        bounds = part_bounds(length, k)
+        for _ in range(60):
+            s, found = text(length), []
+            for _ in range(2):
+                before = text(rnd.randint(0, length))
+                data = before + s + text(rnd.randint(0, length))
+                at, h = selected(data, length, k)
+                bits = core_hashes(at, h, length, k).view(np.uint64)
+                found.append({int(p) - len(before): [int(x) >> wide * j & (1 << wide) - 1 for j in range(PARTS)] for p, x in zip(at, bits)})
+            both = [p for p in found[0].keys() & found[1].keys() if 0 <= p <= length - k]
+            assert both
+            for p in both:
+                own = [j for j in range(PARTS) if bounds[j] <= p <= bounds[j + 1]]
+                assert own and all(found[0][p][j] == found[1][p][j] != 0 for j in own)
