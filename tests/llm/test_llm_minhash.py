@@ -162,3 +162,31 @@ def test_template_makes_no_pairs(spark):
     pairs = {(r.a, r.b) for r in minhash._candidates(left, 85).collect()}
     links = {tuple(sorted((i, j))) for i in range(70) for j in range(i) if texts[i].replace("v5 ", "w5 ") == texts[j].replace("v5 ", "w5 ")}
     assert {tuple(sorted(p)) for p in pairs} == links and len(links) == 10
+
+
+def test_large_group_makes_rows_by_node(spark, monkeypatch):
+    """Near copies that share their rarest shingles with many others: pairs aren't listed."""
+    from matchlab.llm import minhash
+    stored, counts = minhash._stored, []
+
+    def count(edges):
+        out = stored(edges)
+        counts.append(out[1][0])
+        return out
+
+    monkeypatch.setattr(minhash, "_stored", count)
+    rnd = random.Random(11)
+    texts = []
+    for k in range(160):
+        own = [f"w{i}" for i in range(120)]
+        for i in rnd.sample(range(2, 118, 3), 9):
+            own[i] = "x"
+        texts.append(" ".join(own))
+    texts += [t.replace("w0 ", "v0 ") for t in texts[:20]]
+    sets = [shingles(t, 3) for t in texts]
+    want = {(i, j) for j in range(180) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    rows = [(k, k, bytearray(s.tobytes())) for k, s in enumerate(shingle_sets(texts, Words()))]
+    left = spark.createDataFrame(rows, "node bigint, comp bigint, hashes binary").repartition(4)
+    links = minhash._compare_blocks(left.select("node", "comp"), left.select("node", "hashes"), 85, 32).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in links} == want and len(want) >= 20
+    assert max(counts) <= 6 * len(texts)
