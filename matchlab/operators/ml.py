@@ -113,9 +113,6 @@ def scaler_stats(train: DataFrame, cols=FEATURE_COLS, digits: int = 9) -> DataFr
 #: Partitions of the training table. MLlib samples rows by partition, so a
 #: fixed number, by hash of the id and sorted, gives the same model on any cluster.
 TRAIN_PARTITIONS = 32
-#: At most about so many labelled rows are fitted on; above it, rows are taken
-#: by hash of their id, in equal shares of any group.
-TRAIN_ROWS = 50_000_000
 
 
 def _classifier(model: str, cfg: FeatureConfig, num_trees: int, max_depth: int, subsample: float,
@@ -145,23 +142,23 @@ def _prepare(data: DataFrame, medians: dict | None, scale: bool) -> list:
 def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest", num_trees: int = 300,
         max_depth: int = 4, rate: float = 0.05, subsample: float = 0.8, colsample: float = 0.8,
         early_stopping_rounds: int = 20, validation_ratio: float = 0.1, min_instances: int = 3,
-        min_gain: float | None = None, medians: dict | None = None, max_rows: int = TRAIN_ROWS):
+        min_gain: float | None = None, medians: dict | None = None):
     """M04+M05 (+M06 for ``model='gbt'``): a fitted model whose
     ``transform`` adds ``probability`` (3 classes) and ``prediction``.
     ``min_instances`` and ``min_gain`` (none given: 0.1 for ``gbt``, else 0)
-    limit leaves and splits.
+    limit leaves and splits. Every model is fitted on all rows of ``train``.
 
     ``gbt``: ``boosting.fit`` with ``num_trees`` rounds at most, stopped by
     ``early_stopping_rounds`` on a hash-held-out validation part of ``train``
     (never the test split); ``min_instances`` is the least hessian sum of a
-    leaf; all labelled rows are used."""
+    leaf."""
     if model == "gbt":
         p = boosting.Params(num_trees, max_depth, rate, subsample, colsample, float(min_instances), 0.1 if min_gain is None else min_gain,
                             patience=early_stopping_rounds, classes=len(LABEL_MAP), seed=cfg.seed)
         held = ((split_bucket("match_id") * 7919) % 10000) < int(validation_ratio * 10000)
         return boosting.fit(train, FEATURE_COLS, held, p, fill=medians)
     min_gain = min_gain or 0.0
-    data = _training_input(train, max_rows)
+    data = _training_input(train)
     try:
         clf = _classifier(model, cfg, num_trees, max_depth, subsample, colsample, min_instances, min_gain)
         return Pipeline(stages=[*_prepare(data, medians, model == "logistic"), clf]).fit(data)
@@ -169,12 +166,13 @@ def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest",
         discard(data)
 
 
-def _training_input(train: DataFrame, max_rows: int) -> DataFrame:
-    """The training table, written once (MLlib passes over it several times) and
+def _training_input(train: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """The training table, all of it, written once (MLlib passes over it several times) and
     dealt over ``TRAIN_PARTITIONS`` by id, sorted, as it is read: which files a
-    scan's partition holds depends on how the file system lists them."""
+    scan's partition holds depends on how the file system lists them. Only a caller
+    that asks for about ``max_rows`` rows gets a part, by hash of the id; ``fit`` never does."""
     data, n = materialize_counted(train, "training")
-    if n > max_rows:
+    if max_rows is not None and n > max_rows:
         share = F.pmod(F.xxhash64("match_id"), F.lit(1_000_000)) < int(1_000_000 * max_rows / n)
         data, whole = materialize(data.where(share), "training"), data
         discard(whole)

@@ -91,3 +91,13 @@ def test_raw_drivers(spark):
     d = ml.drivers(scored, None, imp, k=2, scale="raw").orderBy("rank").collect()
     assert [r["feature"] for r in d] == [FEATURE_COLS[16], FEATURE_COLS[14]]
     assert d[0]["score"] == 16.0
+
+
+def test_training_uses_every_row_however_many(spark, monkeypatch):
+    """A table that counts as larger than any earlier bound on rows gives the model of all its rows."""
+    df = _toy(spark, 900)
+    whole = ml.feature_importance(ml.fit(df, NOTEBOOK, "logistic")).collect()
+    counted = ml.materialize_counted
+    monkeypatch.setattr(ml, "materialize_counted", lambda d, name: (counted(d, name)[0], 10**9))
+    assert ml.feature_importance(ml.fit(df, NOTEBOOK, "logistic")).collect() == whole
+    assert ml._training_input(df).count() == 900
