@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -209,6 +210,7 @@ class Patience:
 @dataclass
 class Booster:
     """A fitted ensemble; ``transform`` adds ``probability`` and ``prediction``."""
+    settings: ClassVar = Params
     columns: list
     cuts: list
     trees: list
@@ -262,7 +264,7 @@ class Booster:
     def load(cls, path: str, spark: SparkSession):
         d = json.loads(spark.read.parquet(path).first()["model"])
         return cls(d["columns"], [np.array(c) for c in d["cuts"]], [[Tree(**t) for t in own] for own in d["trees"]],
-                   Params(**d["params"]), d["fill"], d["losses"])
+                   cls.settings(**d["params"]), d["fill"], d["losses"])
 
 
 def quantile_cuts(df: DataFrame, columns: list[str], bins: int) -> list[np.ndarray]:

@@ -3,8 +3,8 @@
 The original fits a boosted-tree library on one machine. ``model="gbt"`` is
 its counterpart: three-class boosted trees with the original's limits, grown
 on histograms that Spark sums (``boosting``), stopped on the joint log loss. The
-default is MLlib's random forest with the original's tree count, depth and
-sampling rates; multinomial logistic regression is an option. Metrics,
+default is a random forest with the original's tree count, depth and sampling
+rates, grown the same way (``forest``); MLlib's multinomial logistic regression is an option. Metrics,
 baselines and drivers are DataFrame aggregates.
 """
 
@@ -15,18 +15,18 @@ import json
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matchlab.config import FeatureConfig, NOTEBOOK
 from matchlab.functions.columns import label_code, label_text, result_text
-from matchlab.operators import boosting
+from matchlab.operators import boosting, forest
 from matchlab.operators.selection import exact_ranks
 from matchlab.operators.skew import positions
 from matchlab.schemas import FEATURE_COLS, LABEL_MAP
-from matchlab.session import discard, materialize, materialize_counted, scratch_path
+from matchlab.session import discard, materialize, materialize_counted
 
 EPS = 1e-15
 PROB_COLS = ["win_prob", "draw_prob", "loss_prob"]
@@ -110,33 +110,18 @@ def scaler_stats(train: DataFrame, cols=FEATURE_COLS, digits: int = 9) -> DataFr
 
 # ---------------------------------------------------------------- M05-M07
 
-#: Partitions of the training table. MLlib samples rows by partition, so a
+#: Partitions of the training table of a linear model. MLlib adds up by partition, so a
 #: fixed number, by hash of the id and sorted, gives the same model on any cluster.
 TRAIN_PARTITIONS = 32
 
 
-def _classifier(model: str, cfg: FeatureConfig, num_trees: int, max_depth: int, subsample: float,
-                colsample: float, min_instances: int, min_gain: float):
-    if model == "forest":
-        return RandomForestClassifier(
-            featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=max_depth,
-            subsamplingRate=subsample, featureSubsetStrategy=str(colsample), minInstancesPerNode=min_instances,
-            minInfoGain=min_gain, seed=cfg.seed)
-    if model == "logistic":
-        return LogisticRegression(featuresCol="features", labelCol="label", family="multinomial",
-                                  maxIter=200, regParam=0.01)
-    raise ValueError(f"unknown model {model!r}")
-
-
-def _prepare(data: DataFrame, medians: dict | None, scale: bool) -> list:
-    """Pipeline stages from the 18 columns to ``features``. Nulls are filled
+def _prepare(medians: dict | None) -> list:
+    """Pipeline stages from the 18 columns to ``features``, scaled. Nulls are filled
     with ``medians`` inside the pipeline, so a saved model has them, too."""
     fill = ", ".join(f"coalesce(CAST({c} AS DOUBLE), {float((medians or {}).get(c, 0.0))!r}D) AS _x_{c}" for c in FEATURE_COLS)
-    stages = [SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
-              VectorAssembler(inputCols=[f"_x_{c}" for c in FEATURE_COLS], outputCol="features_raw" if scale else "features")]
-    if scale:       # a linear model only: trees don't depend on the scale
-        stages.append(StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True))
-    return stages
+    return [SQLTransformer(statement=f"SELECT *, {fill} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"_x_{c}" for c in FEATURE_COLS], outputCol="features_raw"),
+            StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)]
 
 
 def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest", num_trees: int = 300,
@@ -157,11 +142,15 @@ def fit(train: DataFrame, cfg: FeatureConfig = NOTEBOOK, model: str = "forest",
                             patience=early_stopping_rounds, classes=len(LABEL_MAP), seed=cfg.seed)
         held = ((split_bucket("match_id") * 7919) % 10000) < int(validation_ratio * 10000)
         return boosting.fit(train, FEATURE_COLS, held, p, fill=medians)
-    min_gain = min_gain or 0.0
+    if model == "forest":
+        p = forest.Params(num_trees, max_depth, subsample, colsample, min_instances, min_gain or 0.0, classes=len(LABEL_MAP), seed=cfg.seed)
+        return forest.fit(train, FEATURE_COLS, p, fill=medians)
+    if model != "logistic":
+        raise ValueError(f"unknown model {model!r}")
     data = _training_input(train)
     try:
-        clf = _classifier(model, cfg, num_trees, max_depth, subsample, colsample, min_instances, min_gain)
-        return Pipeline(stages=[*_prepare(data, medians, model == "logistic"), clf]).fit(data)
+        clf = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=200, regParam=0.01)
+        return Pipeline(stages=[*_prepare(medians), clf]).fit(data)
     finally:
         discard(data)
 
@@ -368,10 +357,6 @@ def feature_importance(model, top: int | None = None) -> DataFrame:
     last = model.stages[-1] if isinstance(model, PipelineModel) else None
     if isinstance(model, boosting.Booster):
         df = spark.createDataFrame(model.importance(), "feature string, mean_gain double, n_splits bigint").withColumn("importance", F.col("mean_gain"))
-    elif last is not None and hasattr(last, "featureImportances"):
-        stats = {r["feature"]: r for r in tree_split_stats(model, scratch_path(spark, "forest")).collect()}      # 18 rows at most
-        rows = [(c, float(stats[c]["mean_gain"]) if c in stats else 0.0, int(stats[c]["n_splits"]) if c in stats else 0) for c in FEATURE_COLS]
-        df = spark.createDataFrame(rows, "feature string, mean_gain double, n_splits bigint").withColumn("importance", F.col("mean_gain"))
     else:
         coef = last.coefficientMatrix.toArray()
         imp = [float(sum(abs(coef[r][i]) for r in range(coef.shape[0]))) for i in range(len(FEATURE_COLS))]
@@ -385,19 +370,14 @@ def feature_importance(model, top: int | None = None) -> DataFrame:
 
 
 def tree_split_stats(model, path: str) -> DataFrame:
-    """M12 (gain and weight per feature): save the forest and aggregate its
-    own node table: mean gain per split and split count per feature."""
-    model.write().overwrite().save(path)
+    """M12 (gain and weight per feature): save the trees to ``path`` and aggregate
+    the stored nodes: mean gain per split and split count per feature."""
     spark = _spark()
-    # the classifier is the last pipeline stage; Spark resolves the glob on
-    # any file system
-    data = spark.read.parquet(f"{path}/stages/{len(model.stages) - 1}_*/data")
-    nodes = data.select(F.col("nodeData.split.featureIndex").alias("fi"), F.col("nodeData.gain").alias("gain"),
-                        F.col("nodeData.leftChild").alias("left"))
-    splits = nodes.filter(F.col("left") >= 0)
-    names = spark.createDataFrame(list(enumerate(FEATURE_COLS)), "fi int, feature string")
-    return (splits.groupBy("fi").agg(F.avg("gain").alias("mean_gain"), F.count(F.lit(1)).alias("n_splits"))
-            .join(names, on="fi").select("feature", "mean_gain", "n_splits"))
+    model.save(path, spark)
+    schema = "columns array<string>, trees array<array<struct<feature:array<int>,gain:array<double>>>>"
+    trees = spark.read.parquet(path).select(F.from_json("model", schema).alias("m")).select("m.columns", F.explode(F.flatten("m.trees")).alias("t"))
+    nodes = trees.select("columns", F.inline(F.arrays_zip("t.feature", "t.gain")).alias("fi", "gain")).where("fi >= 0")
+    return nodes.groupBy(F.element_at("columns", F.col("fi") + 1).alias("feature")).agg(F.avg("gain").alias("mean_gain"), F.count(F.lit(1)).alias("n_splits"))
 
 
 # ---------------------------------------------------------------- M14-M19
@@ -458,8 +438,9 @@ def save_model(model, path: str, metadata: dict) -> None:
     md = dict(metadata)
     if isinstance(model, boosting.Booster):
         model.save(f"{path}/model", _spark())
-        md.setdefault("best_iteration", model.best_iteration)
-        md["model"] = "gbt"
+        md["model"] = "forest" if isinstance(model, forest.Forest) else "gbt"
+        if md["model"] == "gbt":
+            md.setdefault("best_iteration", model.best_iteration)
     else:
         model.write().overwrite().save(f"{path}/model")
     spark = _spark()
@@ -475,8 +456,10 @@ def load_metadata(path: str) -> dict:
 
 
 def load_model(path: str):
-    if load_metadata(path).get("model") == "gbt":
-        return boosting.Booster.load(f"{path}/model", _spark())
+    kinds = {"gbt": boosting.Booster, "forest": forest.Forest}
+    kind = load_metadata(path).get("model")
+    if kind in kinds:
+        return kinds[kind].load(f"{path}/model", _spark())
     return PipelineModel.load(f"{path}/model")
 
 
