@@ -121,3 +121,56 @@ def test_model_bytes_is_a_bound():
         s = Sums()
         s.add(np.random.default_rng(n).integers(0, SYMBOLS**ORDER, n).astype(np.uint32))
         assert sum(a.nbytes for a in model_arrays([s])) <= quality.model_bytes(len(s.codes))
+
+
+def test_other_scripts_have_bands(spark):
+    """Random Cyrillic letters against Cyrillic syllables; all letters but a-z were three symbols."""
+    rnd = random.Random(9)
+    syllables = ["ба", "то", "рин", "ка", "сел", "мо", "тен", "лу"]
+    texts = [" ".join("".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 3))) for _ in range(200)) for _ in range(80)]
+    texts.append(" ".join("".join(rnd.choice("бвгджзклмнпрстфхцчшщаеиоу") for _ in range(5)) for _ in range(200)))
+    texts.append(" ".join("".join(rnd.sample(w, len(w))) for w in texts[0].split()))        # shuffled letters
+    got = by_id(judge(docs(spark, texts, ["ru"] * 82)))
+    assert not got[80].kept and not got[81].kept and sum(got[i].kept for i in range(80)) >= 78      # all kept before
+
+
+def test_letters_by_brute_force(spark, monkeypatch):
+    """Every document's log-perplexity from the two models, written anew, in blocks of a few documents."""
+    rnd = random.Random(3)
+    texts = [" ".join("".join(rnd.choice("abéèж1!，𝒳") for _ in range(rnd.randint(1, 4))) for _ in range(60)) for _ in range(9)]
+    langs = ["x"] * 6 + [None] * 3
+    monkeypatch.setattr(quality, "BLOCK_EVENTS", 300)
+    got = by_id(judge(docs(spark, texts, langs)))
+    known = set("abcdefghijklmnopqrstuvwxyz ")
+    grams4, logs = Counter(), {}
+    for i, (t, lang) in enumerate(zip(texts, langs)):
+        s = Sums()
+        for j in range(9):
+            if langs[j] == lang:
+                s.add(grams(symbols(texts[j]), ORDER)[ORDER - 1:])
+        own = expand(model_arrays([s]), 0)[grams(symbols(t), ORDER)[ORDER - 1:]]
+        c = "   " + t
+        logs[i] = []
+        for k in range(3, len(c)):
+            clean = set(c[k - 3:k]) <= known
+            kind = table()[ord(c[k])] if clean else "any"
+            if not clean or c[k] not in known:
+                grams4[lang, kind, c[k - 3:k + 1]] += 1
+                logs[i].append((lang, kind, c[k - 3:k + 1]))
+            if clean:
+                logs[i].append(float(own[k - 3]))
+    levels = {4: grams4}
+    for n in (3, 2, 1):
+        levels[n] = Counter((x, k, g[1:]) for x, k, g in levels[n + 1])
+    d = {n: discounts(np.array(list(levels[n].values()))) for n in levels}
+
+    def prob(lang, kind, g):
+        n = len(g)
+        own = {x: v for x, v in levels[n].items() if x[:2] == (lang, kind) and x[2][:-1] == g[:-1]}
+        below = prob(lang, kind, g[1:]) if n > 1 else 1 / (len(own) + 1)
+        v = levels[n][lang, kind, g]
+        return (v - d[n][min(v, 3)]) / sum(own.values()) + sum(d[n][min(x, 3)] for x in own.values()) / sum(own.values()) * below
+
+    p = {x: math.log(prob(*x)) for x in grams4}
+    for i, own in logs.items():
+        assert math.isclose(got[i].log_ppl, -sum(p[x] if isinstance(x, tuple) else x for x in own) / len(texts[i]), rel_tol=1e-6)
