@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 from llm_cases import TEXTS, by_id, docs, edge, empty
 
+from matchlab.llm import suffixtree
 from matchlab.llm.letters import Sums
 from matchlab.llm.minhash import Words
 from matchlab.llm.suffixtree import DEPTH, SYMBOLS, Tokens, grow, lm_scores
@@ -97,3 +98,73 @@ def test_token_probabilities_sum_to_one(spark):
     # score("w") = p(w | start) * p(end | w); compare through documents "w" and the tree's own sums instead
     assert all(math.isfinite(got[i].score) for i in free) and base.count() == 9
     assert sum(10 ** got[i].score for i in free) <= 1 + 1e-9
+
+
+def test_held_out_texts_beat_a_word_bigram(spark):
+    """-3.294 a token for a word bigram with 20 pseudo-counts; without contexts of words it was -3.859."""
+    rows = [r for r in lm_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect() if r.held_out]
+    assert sum(r.score for r in rows) / sum(r.n_tokens for r in rows) > -3.294
+
+
+def tokens_with_logs(spark, monkeypatch, df, depth):
+    """doc_id -> each token's natural log-probability."""
+    with monkeypatch.context() as m:
+        m.setattr(suffixtree, "WORD_DEPTH", depth)
+        m.setattr(suffixtree, "finish", lambda state, tokens: state)
+        out = {}
+        for r in lm_scores(df).collect():
+            logs, _ = suffixtree.opened(r.asDict(), sum(r.sizes))
+            for i, own in zip(r.doc_id, np.split(logs.astype(float) * math.log(10), np.cumsum(r.sizes)[:-1])):
+                out[i] = own.tolist()
+        return out
+
+
+def test_word_contexts_by_brute_force(spark, monkeypatch):
+    rnd = np.random.RandomState(3)
+    words = [f"w{i}" for i in range(30)]
+    chain = {(a, b): rnd.choice(words, 2).tolist() for a in words for b in words}
+    texts = []
+    for _ in range(60):
+        t = rnd.choice(words, 2).tolist()
+        while len(t) < 40:
+            t.append(rnd.choice(chain[t[-2], t[-1]]))
+        texts.append(" ".join(t))
+    df = docs(spark, texts)
+    split = {r.doc_id: [*r.text.split(), "end"] for r in df.select("doc_id", "text").collect()}
+    train = [i for i in split if zlib.crc32(str(i).encode()) % 10]
+    logs = tokens_with_logs(spark, monkeypatch, df, 0)
+    bar = math.log(sum(len(split[i]) for i in train)) / 2
+    n = Counter(w for i in train for w in split[i])
+    open_ = {(i, k) for i, t in split.items() for k in range(1, len(t)) if n[t[k - 1]] >= 2}
+    kept_at = []
+    for depth in range(1, 4):
+        c, gain, after = Counter(), Counter(), {}
+        key = lambda i, k: tuple(split[i][k - depth:k])
+        for i, k in sorted(open_):
+            if i in train:
+                c[key(i, k), split[i][k]] += 1
+                gain[key(i, k)] -= logs[i][k]
+        for (s, w), v in c.items():
+            after.setdefault(s, Counter())[w] = v
+        kept = {s for s, x in after.items() if (total := sum(x.values())) >= 2
+                and gain[s] + sum(v * math.log(v / total) for v in x.values()) > max(len(x) - 1, 1) * bar}
+        kept_at.append(len(kept))
+        counted = {(i, k): after.get(key(i, k), {}).get(split[i][k], 0) for i, k in open_}
+        for i, k in {(i, k) for i, k in open_ if key(i, k) in kept}:
+            x = after[key(i, k)]
+            logs[i][k] = math.log((x[split[i][k]] + len(x) * math.exp(logs[i][k])) / (sum(x.values()) + len(x)))
+        open_ = {(i, k) for i, k in open_ if k > depth and counted.get((i, k - 1), 0) >= 2}
+        got = tokens_with_logs(spark, monkeypatch, df, depth)
+        for i, own in logs.items():
+            assert np.allclose(own, got[i], atol=1e-4), (depth, i)
+    assert kept_at[1]
+
+
+def test_texts_that_occur_twice_score_apart(spark):
+    rnd = np.random.RandomState(8)
+    texts = [" ".join(f"{rnd.choice(list('abcdefgh'))}{rnd.randint(400)}" for _ in range(80)) for _ in range(60)]
+    twice = [i for i in range(60, 90) if zlib.crc32(str(i).encode()) % 10]
+    got = by_id(lm_scores(docs(spark, texts + texts[:30])))
+    a = [got[i].score / got[i].n_tokens for i in twice]
+    b = [got[i].score / got[i].n_tokens for i in range(30, 60)]
+    assert np.mean(a) > np.mean(b) + 0.5
